@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The reproduced pipeline is whole-dataset batch (land, clean, model, score, cluster). It has
+no stream source, watermark, windowed state or late-data rule, so nothing is built here.
+"""
