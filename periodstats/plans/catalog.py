@@ -55,3 +55,4 @@ def _fields(fields, names):
 # ---------------------------------------------------------------------------- imports of
 # the query modules register their entries
 from . import queries_core  # noqa: E402,F401
+from . import queries_more  # noqa: E402,F401

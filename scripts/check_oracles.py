@@ -32,8 +32,13 @@ def main():
     bad = 0
     for name in names:
         t0 = time.time()
-        df = catalog.run(name, spark, sf)
-        rows = [tuple(r) for r in df.collect()]
+        try:
+            df = catalog.run(name, spark, sf)
+            rows = [tuple(r) for r in df.collect()]
+        except Exception as e:  # report and go on
+            bad += 1
+            print(f"{name:28s} ERROR {str(e).splitlines()[0][:300]}")
+            continue
         ts = time.time() - t0
         sql = catalog.oracle(name)
         if sql is None:
