@@ -56,3 +56,5 @@ def _fields(fields, names):
 # the query modules register their entries
 from . import queries_core  # noqa: E402,F401
 from . import queries_more  # noqa: E402,F401
+from . import queries_ml  # noqa: E402,F401
+from . import queries_files  # noqa: E402,F401

@@ -18,7 +18,7 @@ from ..operators import conform as silver_ops
 from ..operators import features as feature_ops
 from ..operators import star
 from ..session import scratch_path
-from ..sources import binding
+from ..sources import binding, landing
 from ..spec import (DIM_PLAYER_FIELDS, DIM_SEASON_FIELDS, DIM_TEAM_FIELDS, FACT_FIELDS,
                     FEATURE_FIELDS, REJECTED_FIELDS, SILVER_FIELDS, Spec, struct_of)
 
@@ -107,6 +107,24 @@ class Warehouse:
             keep_key=True)
         self._write("features", feature_ops.build_features(wide))
 
+    # -- files: raw season files and the Bronze landing ------------------------
+    def landing(self) -> tuple[str, str]:
+        """Write the raw season files once, land them into Bronze; (raw_root, bronze_root)."""
+        with self._lock:
+            if "landing" not in self._built:
+                landing.write_raw_files(self.raw_frames(), self.team_files(), self.path("raw"))
+                landing.land(self.spark, self.path("raw"), self.path("bronze"), binding.SEASONS)
+                self._built.add("landing")
+        return self.path("raw"), self.path("bronze")
+
+    def silver_from_files(self) -> tuple[DataFrame, DataFrame]:
+        """(clean, rejected) computed from the landed Bronze files instead of the binding."""
+        _, bronze = self.landing()
+        players = landing.bronze_rows(self.spark, bronze, landing.PLAYERS)
+        teams = landing.bronze_rows(self.spark, bronze, landing.TEAMS)
+        rows = silver_ops.conformed_rows([players], teams, self.spec)
+        return silver_ops.split_clean_rejected(rows)
+
     # -- convenience --------------------------------------------------------
     def silver(self) -> DataFrame:
         return self.read("silver")
