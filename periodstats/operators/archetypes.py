@@ -137,7 +137,11 @@ def cluster_playing_styles(features: DataFrame, season: str, n_clusters: int | N
         .collect()}
 
     todo = [p for p in spec.cluster_features if st.get(p) == CLUSTERED]
-    data = {p: vectors.where(F.col("position") == p) for p in todo}
+    # one cached input per position: MLlib then reads it directly instead of persisting a
+    # copy per fit
+    data = {p: vectors.where(F.col("position") == p).cache() for p in todo}
+    for d in data.values():
+        d.count()
 
     def fit(job):
         position, r = job

@@ -91,19 +91,31 @@ def with_validity(rows: DataFrame) -> DataFrame:
                              "reject_reason": F.concat_ws(",", *failed)})
 
 
+def silver_status(rows: DataFrame) -> DataFrame:
+    """Every input row once, with ``status`` ('clean' or 'rejected') and ``reject_reason``.
+
+    One pass: the first copy per (code, season) among valid rows comes from a partial
+    aggregate joined back on (code, season, ingest_seq); a row is clean when it is valid and
+    is that first copy. Later valid copies are rejected as ``duplicate``."""
+    status = with_validity(rows)
+    first = status.where("is_valid").groupBy("code", "season") \
+        .agg(F.min("ingest_seq").alias("ingest_seq")).withColumn("is_first", F.lit(True))
+    marked = status.join(first, ["code", "season", "ingest_seq"], "left")
+    clean = F.col("is_valid") & F.col("is_first").isNotNull()
+    return marked.select(
+        *SILVER_COLUMNS,
+        F.when(clean, F.lit(None).cast("string"))
+        .when(F.col("is_valid"), F.lit("duplicate"))
+        .otherwise(F.col("reject_reason")).alias("reject_reason"),
+        F.when(clean, F.lit("clean")).otherwise(F.lit("rejected")).alias("status"))
+
+
 def split_clean_rejected(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(clean, rejected). Duplicates are judged among valid rows only; later copies are
     rejected with reason ``duplicate``. Nothing is lost: clean + rejected = input."""
-    status = with_validity(rows)
-    valid = status.where("is_valid")
-    first = valid.groupBy("code", "season").agg(F.min("ingest_seq").alias("ingest_seq")) \
-        .withColumn("is_first", F.lit(True))
-    marked = valid.join(first, ["code", "season", "ingest_seq"], "left")
-    clean = marked.where(F.col("is_first").isNotNull()).select(*SILVER_COLUMNS)
-    dups = marked.where(F.col("is_first").isNull()) \
-        .withColumn("reject_reason", F.lit("duplicate")).select(*REJECTED_COLUMNS)
-    invalid = status.where(~F.col("is_valid")).select(*REJECTED_COLUMNS)
-    return clean, invalid.unionByName(dups)
+    st = silver_status(rows)
+    return (st.where(F.col("status") == "clean").select(*SILVER_COLUMNS),
+            st.where(F.col("status") == "rejected").select(*REJECTED_COLUMNS))
 
 
 def season_counts(clean: DataFrame, rejected: DataFrame) -> DataFrame:

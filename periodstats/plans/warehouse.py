@@ -19,17 +19,20 @@ from ..operators import features as feature_ops
 from ..operators import star
 from ..session import scratch_path
 from ..sources import binding, landing
-from ..spec import (DIM_PLAYER_FIELDS, DIM_SEASON_FIELDS, DIM_TEAM_FIELDS, FACT_FIELDS,
+from ..spec import (RAW_FIELDS, L, S, DIM_PLAYER_FIELDS, DIM_SEASON_FIELDS, DIM_TEAM_FIELDS, FACT_FIELDS,
                     FEATURE_FIELDS, REJECTED_FIELDS, SILVER_FIELDS, Spec, struct_of)
 
 GOLD_TABLES = ["dim_player", "dim_team", "dim_season", "dim_position",
                "fact_player_season_stats"]
 _SCHEMAS = {
+    "raw_rows": RAW_FIELDS + [("season", S), ("ingest_seq", L)],
+    "raw_teams": [("season", S), ("id", L), ("name", S)],
     "silver": SILVER_FIELDS, "rejected": REJECTED_FIELDS, "dim_player": DIM_PLAYER_FIELDS,
     "dim_team": DIM_TEAM_FIELDS, "dim_season": DIM_SEASON_FIELDS,
     "fact_player_season_stats": FACT_FIELDS, "features": FEATURE_FIELDS,
 }
-_PARTITIONED = {"silver": "season", "rejected": "season", "features": "season"}
+_PARTITIONED = {"raw_rows": "season", "silver": "season", "rejected": "season",
+                "features": "season"}
 
 
 class Warehouse:
@@ -50,10 +53,15 @@ class Warehouse:
         return binding.team_files(self.spark, self.sf_dir)
 
     def conformed(self) -> DataFrame:
-        return silver_ops.conformed_rows(self.raw_frames(), self.team_files(), self.spec)
+        """Raw rows of all seasons in the Silver layout (read from the materialised raw rows)."""
+        return silver_ops.conformed_rows([self.read("raw_rows")], self.read("raw_teams"),
+                                         self.spec)
 
     # -- storage ------------------------------------------------------------
     def path(self, name: str) -> str:
+        if name in ("silver", "rejected"):
+            status = "clean" if name == "silver" else "rejected"
+            return f"{self.root}/silver_status/status={status}"
         return f"{self.root}/{name}"
 
     def _write(self, name: str, df: DataFrame) -> None:
@@ -73,17 +81,24 @@ class Warehouse:
     def _ensure(self, name: str) -> None:
         with self._lock:
             layer = {"silver": "silver", "rejected": "silver", "features": "features",
-                     "dim_position": None}.get(name, "gold")
+                     "raw_rows": "raw", "raw_teams": "raw", "dim_position": None}.get(name, "gold")
             if layer is None or layer in self._built:
                 return
             getattr(self, f"_build_{layer}")()
             self._built.add(layer)
 
     # -- layers -------------------------------------------------------------
+    def _build_raw(self) -> None:
+        # the raw season rows conformed to one schema: the lineitem scan and aggregation run
+        # once here; every later pass reads this (much smaller) table
+        self._write("raw_rows", silver_ops.union_seasons(self.raw_frames()))
+        self._write("raw_teams", self.team_files())
+
     def _build_silver(self) -> None:
-        clean, rejected = silver_ops.split_clean_rejected(self.conformed())
-        self._write("silver", clean)
-        self._write("rejected", rejected)
+        # one pass over the raw rows; clean and rejected rows land in sibling partitions
+        status = silver_ops.silver_status(self.conformed())
+        status.write.mode("overwrite").partitionBy("status", "season") \
+            .parquet(self.path("silver_status"))
 
     def _build_gold(self) -> None:
         silver = self.read("silver")

@@ -64,7 +64,8 @@ CORE_FIELDS = [
 # Actual-versus-expected inputs, absent before the layout change.
 XG_FIELDS = [("expected_goals", D), ("expected_assists", D), ("expected_goal_involvements", D)]
 
-RAW_SCHEMA = StructType([StructField(n, t) for n, t in CORE_FIELDS + XG_FIELDS])
+RAW_FIELDS = CORE_FIELDS + XG_FIELDS
+RAW_SCHEMA = StructType([StructField(n, t) for n, t in RAW_FIELDS])
 
 SILVER_FIELDS = CORE_FIELDS + XG_FIELDS + [
     ("team_name", S), ("season", S), ("season_start_year", L), ("season_end_year", L),
