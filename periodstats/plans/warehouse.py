@@ -38,18 +38,27 @@ _PARTITIONED = {"raw_rows": "season", "silver": "season", "rejected": "season",
 class Warehouse:
     """Builds and serves the layers for one input folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None,
-                 spec: Spec = Spec()):
+    def __init__(self, spark: SparkSession, sf_dir: str | None, root: str | None = None,
+                 spec: Spec = Spec(), frames: list[DataFrame] | None = None,
+                 teams: DataFrame | None = None):
+        """``frames``/``teams`` replace the TPC-H binding as raw input when given (tests,
+        other sources): per-layout player frames with ``season`` and ``ingest_seq``, and
+        team files with ``season, id, name``."""
         self.spark, self.sf_dir, self.spec = spark, sf_dir, spec
+        self._frames, self._teams = frames, teams
         self.root = root or scratch_path(spark, "warehouse")
         self._built: set[str] = set()
         self._lock = threading.RLock()
 
     # -- raw inputs ---------------------------------------------------------
     def raw_frames(self) -> list[DataFrame]:
+        if self._frames is not None:
+            return self._frames
         return binding.raw_season_frames(self.spark, self.sf_dir)
 
     def team_files(self) -> DataFrame:
+        if self._teams is not None:
+            return self._teams
         return binding.team_files(self.spark, self.sf_dir)
 
     def conformed(self) -> DataFrame:
@@ -128,7 +137,9 @@ class Warehouse:
         with self._lock:
             if "landing" not in self._built:
                 landing.write_raw_files(self.raw_frames(), self.team_files(), self.path("raw"))
-                landing.land(self.spark, self.path("raw"), self.path("bronze"), binding.SEASONS)
+                seasons = [r.season for r in self.team_files().select("season").distinct()
+                           .collect()]  # one row per configured season
+                landing.land(self.spark, self.path("raw"), self.path("bronze"), sorted(seasons))
                 self._built.add("landing")
         return self.path("raw"), self.path("bronze")
 
