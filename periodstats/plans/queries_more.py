@@ -277,6 +277,24 @@ def transfer_history(spark, sf):
     return quality.team_changes(warehouse(spark, sf).features())
 
 
+CLUB_PLAYER = "Supplier#000000002/2001"  # an entity present at every scale, with a transfer
+
+
+@register("player_club_history", [("season", S), ("team_name", S)], W(O.WIDE, f"""
+SELECT s.season, t.team_name FROM fact f
+JOIN dim_player p ON f.player_key = p.player_key
+JOIN dim_team t ON f.team_key = t.team_key
+JOIN dim_season s ON f.season_key = s.season_key
+WHERE p.web_name = '{CLUB_PLAYER}' ORDER BY s.season"""))
+def player_club_history(spark, sf):
+    """One player's club per season: a point lookup on the latest name, then the star join."""
+    g = warehouse(spark, sf).gold()
+    p = g["dim_player"].where(F.col("web_name") == CLUB_PLAYER).select("player_key")
+    rows = (g["fact_player_season_stats"].join(p, "player_key")
+            .join(g["dim_team"], "team_key").join(F.broadcast(g["dim_season"]), "season_key"))
+    return rows.select("season", "team_name").orderBy("season")
+
+
 _PROJECTIONS = {
     "per90": [n for n, _ in PER_90],
     "xg_residuals": RESIDUAL_FIELDS,

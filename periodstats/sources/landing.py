@@ -101,7 +101,8 @@ def manifest(spark: SparkSession, bronze_root: str) -> DataFrame:
     return b.groupBy("season").agg(
         F.concat_ws(",", F.sort_array(F.collect_set("file"))).alias("files"),
         F.first("source").alias("source"),
-        F.max("ingested_at").alias("ingested_at_utc"),
+        F.date_format(F.max("ingested_at"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+        .alias("ingested_at_utc"),
         F.count(F.lit(1)).cast("bigint").alias("parts"))
 
 
