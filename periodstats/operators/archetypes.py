@@ -37,6 +37,7 @@ CLUSTERED = "clustered"
 TOO_FEW_PLAYERS = "insufficient_players_for_clustering"
 TOO_FEW_FEATURES = "insufficient_feature_data"
 NOT_CLUSTERED = "not_clustered"
+ROWS_PER_PARTITION = 500_000  # rows of 5 doubles per K-Means input partition
 
 
 def validate_cluster_count(n_clusters: int) -> None:
@@ -126,20 +127,19 @@ def cluster_playing_styles(features: DataFrame, season: str, n_clusters: int | N
     restarts = spec.kmeans_restarts if restarts is None else restarts
     long, status = cluster_inputs(features, season, k, spec)
     spark = features.sparkSession
-    status = status.cache()
-    vectors = _vectors(long).cache()
-    vectors.count()  # materialise once: every fit below reads the cached vectors
-    # one row per configured position: a driver-side list bounded by the position map
-    st = {r["position"]: r["status"] for r in status.collect()}
+    long = long.cache()  # read by the status, the feature lists and the vectors below
+    # one row per configured position: driver-side lists bounded by the position map
+    st = {r["position"]: (r["status"], r["players"]) for r in status.collect()}
     usable = {r["position"]: r["features"] for r in long.groupBy("position").agg(
         F.sort_array(F.collect_set(F.struct("feature_idx", "feature"))).alias("features"))
         .select("position", F.transform("features", lambda s: s["feature"]).alias("features"))
         .collect()}
-
-    todo = [p for p in spec.cluster_features if st.get(p) == CLUSTERED]
-    # one cached input per position: MLlib then reads it directly instead of persisting a
-    # copy per fit
-    data = {p: vectors.where(F.col("position") == p).cache() for p in todo}
+    vectors = _vectors(long)
+    todo = [p for p in spec.cluster_features if st.get(p, (None,))[0] == CLUSTERED]
+    # one cached input per position, partitioned by its known size: MLlib reads it directly
+    # (no copy per fit) and a small position is not spread over many tiny tasks
+    data = {p: vectors.where(F.col("position") == p)
+            .repartition(max(1, -(-st[p][1] // ROWS_PER_PARTITION))).cache() for p in todo}
     for d in data.values():
         d.count()
 
@@ -174,7 +174,9 @@ def cluster_playing_styles(features: DataFrame, season: str, n_clusters: int | N
     else:
         out = base.withColumns({"cluster": F.lit(None).cast("bigint"),
                                 "cluster_label": F.lit(None).cast("string")})
-    out = out.join(F.broadcast(status.select("position", "status")), "position", "left")
+    status_df = spark.createDataFrame([(p, v[0]) for p, v in st.items()],
+                                      "position string, status string")
+    out = out.join(F.broadcast(status_df), "position", "left")
     return out.withColumns({
         "cluster": F.coalesce(F.col("cluster"), F.lit(-1).cast("bigint")),
         "cluster_label": F.coalesce(
