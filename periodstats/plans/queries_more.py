@@ -13,7 +13,7 @@ from ..operators import features as feature_ops
 from ..operators import measures, quality, scoring
 from ..session import scratch_path
 from ..sources.binding import LAYOUT_CHANGE_YEAR
-from ..spec import (DIM_PLAYER_FIELDS, DIM_POSITION_FIELDS, DIM_SEASON_FIELDS, DIM_TEAM_FIELDS,
+from ..spec import (RAW_FIELDS, DIM_PLAYER_FIELDS, DIM_POSITION_FIELDS, DIM_SEASON_FIELDS, DIM_TEAM_FIELDS,
                     FEATURE_FIELDS, PER_90, RESIDUAL_FIELDS, SILVER_FIELDS, WIDE_FIELDS, B, D, L,
                     S)
 from . import oracle as O
@@ -100,6 +100,28 @@ def grain_duplicates(spark, sf):
     return quality.grain_duplicates(valid)
 
 
+@register("team_lookup_duplicates", [("season", S), ("id", L), ("copies", L)], W(O.SILVER, """
+SELECT season, team AS id, count(*) AS copies FROM teams GROUP BY season, team
+HAVING count(*) > 1"""))
+def team_lookup_duplicates(spark, sf):
+    """A team file repeating an id would duplicate player rows in the lookup join."""
+    return quality.grain_duplicates(warehouse(spark, sf).read("raw_teams"), ("season", "id"))
+
+
+_RAW_COLS = [n for n, _ in RAW_FIELDS]
+
+
+@register("silver_missing_cols", [("season", S), ("column_name", S)], W(O.SILVER, " UNION ALL ".join(
+    f"SELECT season, '{c}' AS column_name FROM raw GROUP BY season HAVING count({c}) = 0"
+    for c in _RAW_COLS)))
+def silver_missing_cols(spark, sf):
+    """Declared columns with no value at all in a season (absent from that season's files)."""
+    per = warehouse(spark, sf).read("raw_rows").groupBy("season").agg(
+        *[F.count(c).alias(c) for c in _RAW_COLS])
+    long = per.unpivot("season", _RAW_COLS, "column_name", "non_null")
+    return long.where(F.col("non_null") == 0).select("season", "column_name")
+
+
 _NULLCOLS = ["starts", "expected_goals", "expected_assists", "expected_goal_involvements"]
 
 
