@@ -13,6 +13,7 @@ from __future__ import annotations
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import conform as silver_ops
 from ..operators import features as feature_ops
@@ -68,9 +69,6 @@ class Warehouse:
 
     # -- storage ------------------------------------------------------------
     def path(self, name: str) -> str:
-        if name in ("silver", "rejected"):
-            status = "clean" if name == "silver" else "rejected"
-            return f"{self.root}/silver_status/status={status}"
         return f"{self.root}/{name}"
 
     def _write(self, name: str, df: DataFrame) -> None:
@@ -84,7 +82,13 @@ class Warehouse:
         if name == "dim_position":
             return star.dim_position(self.spark)
         fields = _SCHEMAS[name]
-        df = self.spark.read.schema(struct_of(fields)).parquet(self.path(name))
+        if name in ("silver", "rejected"):
+            # one status table; the status partition is pruned (an empty status reads empty)
+            status = "clean" if name == "silver" else "rejected"
+            df = self.spark.read.schema(struct_of(fields + [("status", S)])) \
+                .parquet(self.path("silver_status")).where(F.col("status") == status)
+        else:
+            df = self.spark.read.schema(struct_of(fields)).parquet(self.path(name))
         return df.select(*[n for n, _ in fields])
 
     def _ensure(self, name: str) -> None:
