@@ -143,7 +143,9 @@ class Warehouse:
         """Write the raw season files once, land them into Bronze; (raw_root, bronze_root)."""
         with self._lock:
             if "landing" not in self._built:
-                landing.write_raw_files(self.raw_frames(), self.team_files(), self.path("raw"))
+                frames = self._frames if self._frames is not None else \
+                    binding.layout_frames(self.read("raw_rows"))  # no second lineitem pass
+                landing.write_raw_files(frames, self.read("raw_teams"), self.path("raw"))
                 seasons = [r.season for r in self.team_files().select("season").distinct()
                            .collect()]  # one row per configured season
                 landing.land(self.spark, self.path("raw"), self.path("bronze"), sorted(seasons))

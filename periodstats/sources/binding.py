@@ -164,6 +164,18 @@ def raw_season_frames(spark: SparkSession, sf_dir: str, seasons=SEASONS) -> list
     return frames
 
 
+NEW_COLUMNS = ("starts", "expected_goals", "expected_assists", "expected_goal_involvements")
+
+
+def layout_frames(rows: DataFrame) -> list[DataFrame]:
+    """Split conformed raw rows back into the per-layout frames of the season files: seasons
+    before ``LAYOUT_CHANGE_YEAR`` without the columns their files never had."""
+    year = F.substring("season", 1, 4).cast("int")
+    old = rows.where(year < LAYOUT_CHANGE_YEAR).drop(*NEW_COLUMNS)
+    new = rows.where(year >= LAYOUT_CHANGE_YEAR)
+    return [old, new]
+
+
 def raw_players(spark: SparkSession, sf_dir: str, seasons=SEASONS) -> DataFrame:
     """All raw rows with missing columns as typed NULLs (for landing as files)."""
     frames = raw_season_frames(spark, sf_dir, seasons)
