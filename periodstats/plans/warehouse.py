@@ -11,6 +11,7 @@ planner's broadcast decisions are checked against measured sizes.
 from __future__ import annotations
 
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,11 +102,17 @@ class Warehouse:
             self._built.add(layer)
 
     # -- layers -------------------------------------------------------------
+    def _parallel(self, jobs: dict[str, DataFrame]) -> None:
+        """Write independent tables as concurrent Spark jobs (hides per-job latency)."""
+        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+            for f in [pool.submit(self._write, n, df) for n, df in jobs.items()]:
+                f.result()
+
     def _build_raw(self) -> None:
         # the raw season rows conformed to one schema: the lineitem scan and aggregation run
         # once here; every later pass reads this (much smaller) table
-        self._write("raw_rows", silver_ops.union_seasons(self.raw_frames()))
-        self._write("raw_teams", self.team_files())
+        self._parallel({"raw_rows": silver_ops.union_seasons(self.raw_frames()),
+                        "raw_teams": self.team_files()})
 
     def _build_silver(self) -> None:
         # one pass over the raw rows; clean and rejected rows land in sibling partitions
@@ -115,9 +122,12 @@ class Warehouse:
 
     def _build_gold(self) -> None:
         silver = self.read("silver")
-        self._write("dim_season", star.dim_season(silver))
-        self._write("dim_team", star.dim_team(silver))
-        self._write("dim_player", star.dim_player(silver))
+        # dim_player's numbering checkpoints while the two small dimensions are written
+        with ThreadPoolExecutor(max_workers=1) as pool:
+            players = pool.submit(star.dim_player, silver)
+            self._parallel({"dim_season": star.dim_season(silver),
+                            "dim_team": star.dim_team(silver)})
+            self._write("dim_player", players.result())
         fact = star.fact_table(silver, self.read_raw("dim_player"), self.read_raw("dim_team"),
                                self.read_raw("dim_season"), star.dim_position(self.spark))
         self._write("fact_player_season_stats", fact)
