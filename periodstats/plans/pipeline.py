@@ -31,6 +31,8 @@ def run(spark: SparkSession, sf_dir: str, season: str = "2000", spec: Spec = Spe
         "season": (gold["dim_season"], "season_key", "season_key"),
         "position": (gold["dim_position"], "position_key", "position_key")})
     quality.assert_no_orphans(orphans)   # referential-integrity gate
+    # quarantine as CSV, overwritten every run (no stale file survives a clean rerun)
+    wh.rejected().write.mode("overwrite").option("header", True).csv(wh.path("rejected_rows.csv"))
     features = wh.features()
     clusters = archetypes.cluster_playing_styles(features, season, spec=spec)
     clusters.write.mode("overwrite").option("header", True).csv(
