@@ -12,7 +12,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import archetypes, quality, scoring
+from ..operators import quality, scoring
 from ..sources import export
 from ..spec import Spec
 from .warehouse import GOLD_TABLES, Warehouse
@@ -34,7 +34,7 @@ def run(spark: SparkSession, sf_dir: str, season: str = "2000", spec: Spec = Spe
     # quarantine as CSV, overwritten every run (no stale file survives a clean rerun)
     wh.rejected().write.mode("overwrite").option("header", True).csv(wh.path("rejected_rows.csv"))
     features = wh.features()
-    clusters = archetypes.cluster_playing_styles(features, season, spec=spec)
+    clusters = wh.clusters(season, spec.n_clusters)
     clusters.write.mode("overwrite").option("header", True).csv(
         wh.path(f"player_style_clusters_{season}.csv"))
     outliers = scoring.detect_value_outliers(features, season, spec=spec)

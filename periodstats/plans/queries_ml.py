@@ -84,11 +84,10 @@ _STYLE_CONTRACT = [("code", L), ("season", S), ("position", S), ("minutes", L),
 @register("cluster_styles", _STYLE_CONTRACT, None)
 def cluster_styles(spark, sf):
     """K-Means assignments; MLlib's k-means|| result has no SQL form (rows checked only)."""
-    return archetypes.cluster_playing_styles(warehouse(spark, sf).features(), SEASON, K, SPEC)
+    return warehouse(spark, sf).clusters(SEASON, K)
 
 
 @register("cluster_summary", [("position", S), ("players", L), ("clusters", L),
                               ("labels", L)], None)
 def cluster_summary(spark, sf):
-    styles = archetypes.cluster_playing_styles(warehouse(spark, sf).features(), SEASON, K, SPEC)
-    return archetypes.cluster_summary(styles)
+    return archetypes.cluster_summary(warehouse(spark, sf).clusters(SEASON, K))

@@ -18,7 +18,7 @@ from ..spec import (RAW_FIELDS, DIM_PLAYER_FIELDS, DIM_POSITION_FIELDS, DIM_SEAS
                     S)
 from . import oracle as O
 from .catalog import SEASON, SPEC, register
-from .warehouse import GOLD_TABLES, Warehouse, warehouse
+from .warehouse import GOLD_TABLES, warehouse
 
 W = O.with_ctes
 FT = dict(FEATURE_FIELDS)
@@ -266,9 +266,10 @@ def history_sequence(spark, sf):
 @register("rebuild_idempotent", [("table_name", S), ("rows", L), ("diff_rows", L)],
           W(O.GOLD, "SELECT table_name, rows, 0 AS diff_rows FROM (" + _COUNTS_SQL + ")"))
 def rebuild_idempotent(spark, sf):
-    """Build Gold a second time into a fresh folder and diff every table with the first."""
+    """Build Gold a second time from the same Silver into a fresh folder and diff every
+    table with the first build."""
     first = warehouse(spark, sf)
-    second = Warehouse(spark, sf)
+    second = first.fork()
     parts = []
     for t in GOLD_TABLES:
         a, b = first.read(t), second.read(t)

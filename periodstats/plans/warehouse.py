@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators import conform as silver_ops
 from ..operators import features as feature_ops
-from ..operators import star
+from ..operators import archetypes, star
 from ..session import scratch_path
 from ..sources import binding, landing
 from ..spec import (RAW_FIELDS, L, S, DIM_PLAYER_FIELDS, DIM_SEASON_FIELDS, DIM_TEAM_FIELDS, FACT_FIELDS,
@@ -51,6 +51,19 @@ class Warehouse:
         self.root = root or scratch_path(spark, "warehouse")
         self._built: set[str] = set()
         self._lock = threading.RLock()
+        self._shared: dict[str, str] = {}   # table name -> path in a parent warehouse
+        self._memo: dict[tuple, DataFrame] = {}
+
+    def fork(self) -> "Warehouse":
+        """A warehouse in a fresh folder that reads this one's raw and Silver layers and
+        builds its own Gold and Features (a Gold rebuild from the same Silver)."""
+        self._ensure("silver")
+        child = Warehouse(self.spark, self.sf_dir, spec=self.spec, frames=self._frames,
+                          teams=self._teams)
+        for name in ("raw_rows", "raw_teams", "silver_status"):
+            child._shared[name] = self.path(name)
+        child._built |= {"raw", "silver"}
+        return child
 
     # -- raw inputs ---------------------------------------------------------
     def raw_frames(self) -> list[DataFrame]:
@@ -70,7 +83,7 @@ class Warehouse:
 
     # -- storage ------------------------------------------------------------
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        return self._shared.get(name) or f"{self.root}/{name}"
 
     def _write(self, name: str, df: DataFrame) -> None:
         w = df.write.mode("overwrite")
@@ -163,12 +176,33 @@ class Warehouse:
         return self.path("raw"), self.path("bronze")
 
     def silver_from_files(self) -> tuple[DataFrame, DataFrame]:
-        """(clean, rejected) computed from the landed Bronze files instead of the binding."""
-        _, bronze = self.landing()
-        players = landing.bronze_rows(self.spark, bronze, landing.PLAYERS)
-        teams = landing.bronze_rows(self.spark, bronze, landing.TEAMS)
-        rows = silver_ops.conformed_rows([players], teams, self.spec)
-        return silver_ops.split_clean_rejected(rows)
+        """(clean, rejected) computed from the landed Bronze files instead of the binding;
+        the status pass is written once per run."""
+        with self._lock:
+            if "files_status" not in self._built:
+                _, bronze = self.landing()
+                players = landing.bronze_rows(self.spark, bronze, landing.PLAYERS)
+                teams = landing.bronze_rows(self.spark, bronze, landing.TEAMS)
+                rows = silver_ops.conformed_rows([players], teams, self.spec)
+                silver_ops.silver_status(rows).write.mode("overwrite") \
+                    .partitionBy("status", "season").parquet(self.path("files_status"))
+                self._built.add("files_status")
+        fields = _SCHEMAS["rejected"] + [("status", S)]
+        st = self.spark.read.schema(struct_of(fields)).parquet(self.path("files_status"))
+        return (st.where(F.col("status") == "clean").select(*[n for n, _ in SILVER_FIELDS]),
+                st.where(F.col("status") == "rejected").select(*[n for n, _ in REJECTED_FIELDS]))
+
+    def clusters(self, season: str, n_clusters: int) -> DataFrame:
+        """Cluster assignments of one season, fitted once per run and written."""
+        key = ("clusters", season, n_clusters)
+        with self._lock:
+            if key not in self._memo:
+                out = archetypes.cluster_playing_styles(self.features(), season, n_clusters,
+                                                        self.spec)
+                path = self.path(f"clusters/season={season}/k={n_clusters}")
+                out.write.mode("overwrite").parquet(path)
+                self._memo[key] = self.spark.read.schema(out.schema).parquet(path)
+        return self._memo[key]
 
     # -- convenience --------------------------------------------------------
     def silver(self) -> DataFrame:

@@ -20,11 +20,10 @@ def test_end_to_end_pipeline(spark):
     all_teams = teams
     for t in extra_teams:
         all_teams = all_teams.unionByName(t)
-    wh = Warehouse(spark, None, frames=[frames[0], newest, *extra], teams=all_teams)
+    spec = Spec(n_clusters=3, kmeans_restarts=2)
+    wh = Warehouse(spark, None, frames=[frames[0], newest, *extra], teams=all_teams, spec=spec)
     metrics = {(r.stage, r.metric): r.value
-               for r in pipeline.run(spark, None, "2023-24", Spec(n_clusters=3,
-                                                                  kmeans_restarts=2),
-                                     wh=wh).collect()}
+               for r in pipeline.run(spark, None, "2023-24", spec, wh=wh).collect()}
     assert metrics[("silver", "seasons_processed")] == 5
     assert metrics[("silver", "total_clean_rows")] == 80
     assert metrics[("silver", "total_rejected_rows")] == 0
