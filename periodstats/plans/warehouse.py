@@ -42,12 +42,17 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, sf_dir: str | None, root: str | None = None,
                  spec: Spec = Spec(), frames: list[DataFrame] | None = None,
-                 teams: DataFrame | None = None):
-        """``frames``/``teams`` replace the TPC-H binding as raw input when given (tests,
-        other sources): per-layout player frames with ``season`` and ``ingest_seq``, and
-        team files with ``season, id, name``."""
+                 teams: DataFrame | None = None, raw_root: str | None = None,
+                 seasons: list[str] | None = None):
+        """Raw input, in order of precedence:
+        * ``raw_root`` + ``seasons``: season files on disk (``<raw_root>/<season>/
+          players_raw.csv`` and ``teams.csv``), landed into Bronze and parsed per layout;
+        * ``frames``/``teams``: per-layout player frames with ``season`` and ``ingest_seq``,
+          and team files with ``season, id, name``;
+        * otherwise the TPC-H binding of ``sf_dir``."""
         self.spark, self.sf_dir, self.spec = spark, sf_dir, spec
         self._frames, self._teams = frames, teams
+        self.raw_root, self.seasons = raw_root, seasons
         self.root = root or scratch_path(spark, "warehouse")
         self._built: set[str] = set()
         self._lock = threading.RLock()
@@ -67,11 +72,18 @@ class Warehouse:
 
     # -- raw inputs ---------------------------------------------------------
     def raw_frames(self) -> list[DataFrame]:
+        if self.raw_root is not None:
+            _, bronze = self.landing()
+            return [landing.bronze_rows(self.spark, bronze, landing.PLAYERS)]
         if self._frames is not None:
             return self._frames
         return binding.raw_season_frames(self.spark, self.sf_dir)
 
     def team_files(self) -> DataFrame:
+        if self.raw_root is not None:
+            _, bronze = self.landing()
+            t = landing.bronze_rows(self.spark, bronze, landing.TEAMS)
+            return t.select("season", F.col("id").try_cast("bigint").alias("id"), "name")
         if self._teams is not None:
             return self._teams
         return binding.team_files(self.spark, self.sf_dir)
@@ -166,6 +178,10 @@ class Warehouse:
         """Write the raw season files once, land them into Bronze; (raw_root, bronze_root)."""
         with self._lock:
             if "landing" not in self._built:
+                if self.raw_root is not None:   # files already on disk: land them as they are
+                    landing.land(self.spark, self.raw_root, self.path("bronze"), self.seasons)
+                    self._built.add("landing")
+                    return self.raw_root, self.path("bronze")
                 frames = self._frames if self._frames is not None else \
                     binding.layout_frames(self.read("raw_rows"))  # no second lineitem pass
                 landing.write_raw_files(frames, self.read("raw_teams"), self.path("raw"))
@@ -173,7 +189,7 @@ class Warehouse:
                            .collect()]  # one row per configured season
                 landing.land(self.spark, self.path("raw"), self.path("bronze"), sorted(seasons))
                 self._built.add("landing")
-        return self.path("raw"), self.path("bronze")
+        return (self.raw_root or self.path("raw")), self.path("bronze")
 
     def silver_from_files(self) -> tuple[DataFrame, DataFrame]:
         """(clean, rejected) computed from the landed Bronze files instead of the binding;

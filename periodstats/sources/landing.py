@@ -1,8 +1,10 @@
 """Bronze: land raw season files verbatim, with lineage, and read their rows per layout.
 
-Raw layout (one dataset per season and file kind, as written by Spark's CSV writer):
-``<raw_root>/<kind>/season=<season>/part-*.csv`` with kind in ``players_raw.csv`` and
-``teams.csv``. Each season's player file carries its own header: old seasons lack columns.
+Raw layouts accepted (each season's player file carries its own header; old seasons lack
+columns):
+* one file per season and kind: ``<raw_root>/<season>/players_raw.csv`` and ``teams.csv``;
+* one dataset per season and kind, as Spark's CSV writer makes it:
+  ``<raw_root>/<kind>/season=<season>/part-*.csv``.
 
 * landing (``land``): one ``binaryFile`` scan over all seasons; every file keeps its exact
   bytes plus path, size, modification time, SHA-256, season, kind and ingestion time, and is
@@ -48,8 +50,14 @@ def write_raw_files(frames: list[DataFrame], teams: DataFrame, raw_root: str) ->
 def _files(spark: SparkSession, raw_root: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv") \
         .option("recursiveFileLookup", "true").load(raw_root)
-    kind = F.regexp_extract("path", r"/([^/]+)/season=[^/]+/[^/]+$", 1)
-    season = F.regexp_extract("path", r"/season=([^/]+)/[^/]+$", 1)
+    kinds = "|".join(k.replace(".", r"\.") for k in RAW_FILES)
+    per_season = rf"/([^/]+)/({kinds})$"          # <season>/<kind>
+    written = r"/([^/]+)/season=([^/]+)/[^/]+$"    # <kind>/season=<season>/part-*
+    is_single = F.col("path").rlike(per_season)
+    kind = F.when(is_single, F.regexp_extract("path", per_season, 2)) \
+        .otherwise(F.regexp_extract("path", written, 1))
+    season = F.when(is_single, F.regexp_extract("path", per_season, 1)) \
+        .otherwise(F.regexp_extract("path", written, 2))
     return files.select("path", "modificationTime", "length", "content",
                         season.alias("season"), kind.alias("file"))
 
