@@ -2,13 +2,12 @@
 clusters -> BI export -> run metrics. Every stage is a Spark job over the whole input.
 
 usage: python -m periodstats.plans.pipeline <sf_dir> [season]
+       python -m periodstats.plans.pipeline --raw-root <dir> --seasons 2019-20,2020-21 [season]
 """
 
 from __future__ import annotations
 
 import json
-import sys
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,12 +58,24 @@ def run(spark: SparkSession, sf_dir: str, season: str = "2000", spec: Spec = Spe
 
 
 def main() -> None:
+    import argparse
+
     from ..session import local_session
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    season = sys.argv[2] if len(sys.argv) > 2 else "2000"
+    ap = argparse.ArgumentParser(description=__doc__)
+    ap.add_argument("sf_dir", nargs="?", default="/root/testdata/sf0.01")
+    ap.add_argument("season", nargs="?", default=None)
+    ap.add_argument("--raw-root", default=None, help="folder of <season>/<file>.csv trees")
+    ap.add_argument("--seasons", default=None, help="comma-separated expected seasons")
+    args = ap.parse_args()
     spark = local_session()
     spark.sparkContext.setLogLevel("ERROR")
-    for r in run(spark, sf_dir, season).collect():
+    if args.raw_root:
+        seasons = args.seasons.split(",")
+        wh = Warehouse(spark, None, raw_root=args.raw_root, seasons=seasons)
+        out = run(spark, None, args.season or seasons[-1], wh=wh)
+    else:
+        out = run(spark, args.sf_dir, args.season or "2000")
+    for r in out.collect():
         print(json.dumps(r.asDict()))
 
 
