@@ -26,12 +26,7 @@ UNION ALL SELECT season, '{landing.TEAMS}', count(*) FROM teams GROUP BY season"
 def bronze_files(spark, sf):
     """Rows landed per season and file kind, read from the verbatim Bronze bytes."""
     _, bronze = warehouse(spark, sf).landing()
-    lines = landing._lines(landing.read_bronze(spark, bronze), landing.PLAYERS).unionByName(
-        landing._lines(landing.read_bronze(spark, bronze), landing.TEAMS)
-        .withColumn("kind", F.lit(landing.TEAMS)), allowMissingColumns=True)
-    lines = lines.withColumn("kind", F.coalesce("kind", F.lit(landing.PLAYERS)))
-    return lines.where(F.col("line_no") > 0).groupBy("season", F.col("kind").alias("file")) \
-        .agg(F.count(F.lit(1)).alias("data_rows"))
+    return landing.data_rows(spark, bronze)
 
 
 @register("bronze_manifest", [("season", S), ("files", S), ("source", S)],

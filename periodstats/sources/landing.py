@@ -93,6 +93,8 @@ def land(spark: SparkSession, raw_root: str, bronze_root: str, seasons) -> DataF
     landed = _files(spark, raw_root).where(F.col("season").isin(wanted)).select(
         "season", "file", "path", "modificationTime", "length",
         F.sha2("content", 256).alias("sha256"), "content",
+        # the header line, kept beside the bytes so layouts are known without re-reading them
+        F.regexp_extract(F.decode("content", "UTF-8"), r"^([^\r\n]*)", 1).alias("header"),
         F.current_timestamp().alias("ingested_at"), F.lit(SOURCE).alias("source"))
     landed.write.mode("append").partitionBy("season").parquet(bronze_root)
     return manifest(spark, bronze_root)
@@ -114,37 +116,41 @@ def manifest(spark: SparkSession, bronze_root: str) -> DataFrame:
         F.count(F.lit(1)).cast("bigint").alias("parts"))
 
 
-def _lines(bronze: DataFrame, kind: str) -> DataFrame:
-    """(season, path, line_no, line) of one file kind; line 0 is the header."""
-    files = bronze.where(F.col("file") == kind)
-    text = F.split(F.decode("content", "UTF-8"), r"\r?\n")
-    return files.select("season", "path", F.posexplode(text).alias("line_no", "line")) \
-        .where(F.length("line") > 0)
+def data_rows(spark: SparkSession, bronze_root: str) -> DataFrame:
+    """Data lines (non-empty lines after the header) per landed (season, file kind)."""
+    lines = F.split(F.decode("content", "UTF-8"), r"\r?\n")
+    per_file = read_bronze(spark, bronze_root).select(
+        "season", "file", (F.size(F.filter(lines, lambda x: F.length(x) > 0)) - 1)
+        .alias("n"))
+    return per_file.groupBy("season", "file").agg(F.sum("n").cast("bigint").alias("data_rows"))
 
 
 def bronze_rows(spark: SparkSession, bronze_root: str, kind: str = PLAYERS) -> DataFrame:
     """Rows of every landed file of ``kind`` as strings, one parse per header layout, with
-    ``season`` and ``ingest_seq`` (file order: path, then line number)."""
-    lines = _lines(read_bronze(spark, bronze_root), kind)
-    headers = lines.where(F.col("line_no") == 0).select("path", F.col("line").alias("header"))
-    body = lines.where(F.col("line_no") > 0).join(headers, "path")
-    # distinct layouts: one per schema change, a handful in any history
-    layouts = [r.header for r in headers.select("header").distinct().collect()]
+    ``season`` and ``ingest_seq`` = (file ordinal in the season) << 32 + line number.
+
+    Everything per line is derived inside its file's row - header and ordinal are attached
+    to the file before its lines are exploded - so no line-level join or shuffle exists; a
+    file is one task (Bronze keeps each file as one record)."""
+    bronze = read_bronze(spark, bronze_root).where(F.col("file") == kind)
+    # file ordinal: a window over (season, path) pairs only - one row per file, no content
+    ordinal = bronze.select("season", "path").withColumn("__file", F.row_number().over(
+        Window.partitionBy("season").orderBy("path")).cast("bigint"))
+    files = bronze.join(ordinal, ["season", "path"])
+    text = files.select("season", "header", "__file",
+                        F.decode("content", "UTF-8").alias("__text"))
+    lines = text.select("season", "header", "__file", F.posexplode(
+        F.split("__text", r"\r?\n")).alias("line_no", "line")) \
+        .where((F.col("line_no") > 0) & (F.length("line") > 0))
+    # distinct layouts: one per schema change, a handful in any history (a small column)
+    layouts = [r.header for r in bronze.select("header").distinct().collect()]
     parts = []
     for header in layouts:
-        names = header.split(",")
-        schema = ", ".join(f"`{n}` STRING" for n in names)
-        parsed = body.where(F.col("header") == header).select(
-            "season", "path", "line_no", F.from_csv("line", schema).alias("r"))
-        parts.append(parsed.select("season", "path", "line_no", "r.*"))
+        schema = ", ".join(f"`{n}` STRING" for n in header.split(","))
+        parsed = lines.where(F.col("header") == header).select(
+            "season", "__file", "line_no", F.from_csv("line", schema).alias("r"))
+        parts.append(parsed.select("season", "__file", "line_no", "r.*"))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    # file order = (file ordinal within the season, line number): the ordinal comes from a
-    # window over the file list (one row per file, not per row)
-    ordinal = headers.select("path", F.regexp_extract("path", r"/season=([^/]+)/", 1)
-                             .alias("__season"))
-    ordinal = ordinal.select("path", F.row_number().over(
-        Window.partitionBy("__season").orderBy("path")).cast("bigint").alias("__file"))
-    rows = rows.join(ordinal, "path")
     return rows.withColumn(
         "ingest_seq", F.shiftleft(F.col("__file"), 32) + F.col("line_no").cast("bigint")) \
-        .drop("path", "line_no", "__file")
+        .drop("__file", "line_no")
