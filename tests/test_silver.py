@@ -92,3 +92,16 @@ def test_duplicates_keep_first_valid_copy(spark, synthetic):
     reasons = {(r.code, r.reject_reason) for r in rejected.collect()}
     # an invalid earlier copy does not shadow the valid later one
     assert reasons == {(1031, "duplicate"), (1032, "now_cost")}
+
+
+def test_hot_duplicate_key_keeps_exactly_one_row(spark, synthetic):
+    """One (code, season) with thousands of copies: one clean row, every other copy rejected."""
+    frames, teams = synthetic
+    hot = frames[1].where("code = 1041").select(
+        *[c for c in frames[1].columns if c != "ingest_seq"],
+        F.explode(F.sequence(F.lit(2).cast("bigint"), F.lit(3001).cast("bigint")))
+        .alias("ingest_seq"))
+    clean, rejected = _clean_rejected(spark, [frames[0], frames[1].unionByName(hot)], teams)
+    assert clean.count() == 32
+    assert clean.where("code = 1041 AND season = '2023-24'").first().ingest_seq == 14
+    assert rejected.where("reject_reason = 'duplicate'").count() == 3000
