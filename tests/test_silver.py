@@ -99,7 +99,7 @@ def test_hot_duplicate_key_keeps_exactly_one_row(spark, synthetic):
     frames, teams = synthetic
     hot = frames[1].where("code = 1041").select(
         *[c for c in frames[1].columns if c != "ingest_seq"],
-        F.explode(F.sequence(F.lit(2).cast("bigint"), F.lit(3001).cast("bigint")))
+        F.explode(F.sequence(F.lit(1000).cast("bigint"), F.lit(3999).cast("bigint")))
         .alias("ingest_seq"))
     clean, rejected = _clean_rejected(spark, [frames[0], frames[1].unionByName(hot)], teams)
     assert clean.count() == 32
