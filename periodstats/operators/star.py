@@ -63,7 +63,7 @@ def dim_player(silver: DataFrame) -> DataFrame:
 def fact_table(silver: DataFrame, players: DataFrame, teams: DataFrame, seasons: DataFrame,
                positions: DataFrame) -> DataFrame:
     """One row per player-season with four foreign keys and the measures; ``fact_id`` runs
-    1..n in (season, code, ingest_seq) order."""
+    1..n in Silver order: season, then file order (``ingest_seq``), ``code`` breaking ties."""
     pos = positions.select(F.col("position_code").alias("position"), "position_key")
     joined = (
         silver.join(players.select("code", "player_key"), "code", "left")
@@ -71,22 +71,6 @@ def fact_table(silver: DataFrame, players: DataFrame, teams: DataFrame, seasons:
         .join(F.broadcast(seasons.select("season", "season_key")), "season", "left")
         .join(F.broadcast(pos), "position", "left")
     )
-    order = [F.col("season"), F.col("code"), F.col("ingest_seq")]
+    order = [F.col("season"), F.col("ingest_seq"), F.col("code")]
     numbered = row_numbers(joined, order, "fact_id")
     return numbered.select(*FACT_COLUMNS)
-
-
-def orphan_counts(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Rows of ``fact`` whose foreign key has no dimension row (NULL keys count), per key.
-
-    ``dims`` maps a name to (dimension, key column). One anti join per key; each result is
-    a single count, so the union is tiny."""
-    parts = []
-    for name, (dim, key) in dims.items():
-        missing = fact.select(key).join(dim.select(key), key, "left_anti")
-        parts.append(missing.agg(F.count(F.lit(1)).cast("bigint").alias("orphan_rows"))
-                     .select(F.lit(name).alias("fk"), "orphan_rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out

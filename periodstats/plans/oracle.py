@@ -163,7 +163,7 @@ dim_player AS (
   FROM latest
 ),
 fact AS (
-  SELECT CAST(row_number() OVER (ORDER BY c.season, c.code, c.ingest_seq) AS BIGINT) AS fact_id,
+  SELECT CAST(row_number() OVER (ORDER BY c.season, c.ingest_seq, c.code) AS BIGINT) AS fact_id,
     p.player_key, t.team_key, s.season_key, pos.position_key, {_FACT_MEASURES}
   FROM clean c
   LEFT JOIN dim_player p ON c.code = p.code
