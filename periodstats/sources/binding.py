@@ -75,8 +75,9 @@ def _supplier_years(spark: SparkSession, sf_dir: str, first: int, last: int) ->
     )
     sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nat = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    sup = sup.join(F.broadcast(nat), sup.s_nationkey == nat.n_nationkey, "inner")
-    return agg.join(sup, agg.code == sup.s_suppkey, "inner")
+    # supplier joined on its own (the planner sees its real size), nation broadcast after
+    out = agg.join(sup, agg.code == sup.s_suppkey, "inner")
+    return out.join(F.broadcast(nat), out.s_nationkey == nat.n_nationkey, "inner")
 
 
 def _player_columns(df: DataFrame, with_new_columns: bool) -> DataFrame:
