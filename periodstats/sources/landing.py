@@ -21,6 +21,7 @@ columns):
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -125,6 +126,12 @@ def data_rows(spark: SparkSession, bronze_root: str) -> DataFrame:
     return per_file.groupBy("season", "file").agg(F.sum("n").cast("bigint").alias("data_rows"))
 
 
+def header_names(header: str) -> list[str]:
+    """Column names of a CSV header line (UTF-8 byte-order mark and quotes removed)."""
+    names = next(csv.reader([header.lstrip("\ufeff")]))
+    return [n.strip() for n in names]
+
+
 def bronze_rows(spark: SparkSession, bronze_root: str, kind: str = PLAYERS) -> DataFrame:
     """Rows of every landed file of ``kind`` as strings, one parse per header layout, with
     ``season`` and ``ingest_seq`` = (file ordinal in the season) << 32 + line number.
@@ -146,7 +153,7 @@ def bronze_rows(spark: SparkSession, bronze_root: str, kind: str = PLAYERS) -> D
     layouts = [r.header for r in bronze.select("header").distinct().collect()]
     parts = []
     for header in layouts:
-        schema = ", ".join(f"`{n}` STRING" for n in header.split(","))
+        schema = ", ".join(f"`{n}` STRING" for n in header_names(header))
         parsed = lines.where(F.col("header") == header).select(
             "season", "__file", "line_no", F.from_csv("line", schema).alias("r"))
         parts.append(parsed.select("season", "__file", "line_no", "r.*"))

@@ -90,3 +90,14 @@ def test_season_file_tree_runs_every_layer(spark):
     assert abs(b.goals_minus_xg - 0.3) < 1e-12 and b.seasons_of_history == 2
     names = {(r.season, r.team_name) for r in wh.silver().where("team = 1").collect()}
     assert names == {("2019-20", "Old Town"), ("2023-24", "New Town")}
+
+
+def test_quoted_fields_and_bom(spark):
+    raw, bronze = scratch_path(spark, "t-raw"), scratch_path(spark, "t-bronze")
+    _write(raw, "2023-24", "players_raw.csv",
+           '﻿"code","web_name","minutes"\n7,"Smith, J.",1200\n8,"Ødegaard",900\n')
+    _write(raw, "2023-24", "teams.csv", "id,name\n1,Test FC\n")
+    landing.land(spark, raw, bronze, ["2023-24"])
+    rows = conform.union_seasons([landing.bronze_rows(spark, bronze)])
+    got = {r.code: (r.web_name, r.minutes) for r in rows.collect()}
+    assert got == {7: ("Smith, J.", 1200), 8: ("Ødegaard", 900)}
