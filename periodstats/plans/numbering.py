@@ -25,20 +25,11 @@ from ..session import shared_dir
 _P, _I = "__p", "__i"
 
 
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-
-
 def _partitions(df: DataFrame, n: int | None) -> int:
-    """Range-partition count: at least ``spark.sql.shuffle.partitions``, more when the
-    optimizer's size estimate of the input says partitions would exceed ~128 MB."""
-    if n:
-        return int(n)
-    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # statistics unavailable: keep the session setting
-        return base
-    return max(base, min(-(-size // TARGET_PARTITION_BYTES), 100_000))
+    """Range-partition count: ``spark.sql.shuffle.partitions`` unless given. (The optimizer's
+    size estimate is not used: without column statistics a join's estimate is the product
+    of its inputs' sizes.)"""
+    return int(n or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _tagged(df: DataFrame, order: list[Column], n: int | None) -> DataFrame:
