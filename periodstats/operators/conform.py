@@ -47,10 +47,6 @@ def conform(df: DataFrame, schema: StructType = RAW_SCHEMA,
     return df.select(*cols, *[F.col(k) for k in keep if k in have])
 
 
-def missing_columns(df: DataFrame, schema: StructType = RAW_SCHEMA) -> list[str]:
-    return [f.name for f in schema.fields if f.name not in df.columns]
-
-
 def union_seasons(frames: list[DataFrame], schema: StructType = RAW_SCHEMA) -> DataFrame:
     conformed = [conform(f, schema) for f in frames]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), conformed)

@@ -14,8 +14,6 @@ small, sort-merge otherwise); ``nation`` has 25 rows by definition and is broadc
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -177,12 +175,6 @@ def layout_frames(rows: DataFrame) -> list[DataFrame]:
     return [old, new]
 
 
-def raw_players(spark: SparkSession, sf_dir: str, seasons=SEASONS) -> DataFrame:
-    """All raw rows with missing columns as typed NULLs (for landing as files)."""
-    frames = raw_season_frames(spark, sf_dir, seasons)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
 def team_files(spark: SparkSession, sf_dir: str, seasons=SEASONS) -> DataFrame:
     """Per-season team lookup (``season, id, name``): raw team ids are re-used each season.
 

@@ -71,7 +71,6 @@ SILVER_FIELDS = CORE_FIELDS + XG_FIELDS + [
     ("team_name", S), ("season", S), ("season_start_year", L), ("season_end_year", L),
     ("position", S), ("ingest_seq", L),
 ]
-SILVER_SCHEMA = StructType([StructField(n, t) for n, t in SILVER_FIELDS])
 REJECTED_FIELDS = SILVER_FIELDS + [("reject_reason", S)]
 
 MEASURE_COLUMNS = [
@@ -128,7 +127,6 @@ FEATURE_FIELDS = (
     + [("seasons_of_history", L), ("has_previous_season", B), ("has_xg_data", B),
        ("has_xa_data", B)]
 )
-FEATURE_SCHEMA = StructType([StructField(n, t) for n, t in FEATURE_FIELDS])
 
 OUTLIER_OUTPUT_COLUMNS = [
     "web_name", "team_name", "position", "minutes", "cost_millions", "total_points",
