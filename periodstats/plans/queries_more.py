@@ -141,10 +141,23 @@ def _dim(name, fields):
     return q
 
 
-for _n, _f in (("dim_position", DIM_POSITION_FIELDS), ("dim_season", DIM_SEASON_FIELDS),
-               ("dim_team", DIM_TEAM_FIELDS), ("dim_player", DIM_PLAYER_FIELDS)):
+for _n, _f in (("dim_season", DIM_SEASON_FIELDS), ("dim_team", DIM_TEAM_FIELDS),
+               ("dim_player", DIM_PLAYER_FIELDS)):
     _dim(_n, _f)
 
+
+@register("dim_position", DIM_POSITION_FIELDS + [("fact_rows", L)], W(O.GOLD, """
+SELECT d.position_key, d.position_code, d.position_name, count(f.fact_id) AS fact_rows
+FROM dim_position d LEFT JOIN fact f ON f.position_key = d.position_key
+GROUP BY d.position_key, d.position_code, d.position_name"""))
+def dim_position(spark, sf):
+    """The literal position dimension (all members, used or not) with its fact usage."""
+    g = warehouse(spark, sf).gold()
+    used = g["fact_player_season_stats"].groupBy("position_key").agg(
+        F.count(F.lit(1)).alias("fact_rows"))  # one row per position
+    return g["dim_position"].join(F.broadcast(used), "position_key", "left") \
+        .fillna(0, ["fact_rows"])
+
 _GOLD_SQL_NAMES = {"dim_player": "dim_player", "dim_team": "dim_team",
                    "dim_season": "dim_season", "dim_position": "dim_position",
                    "fact_player_season_stats": "fact"}
