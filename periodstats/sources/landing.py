@@ -6,17 +6,20 @@ columns):
 * one dataset per season and kind, as Spark's CSV writer makes it:
   ``<raw_root>/<kind>/season=<season>/part-*.csv``.
 
-* landing (``land``): one ``binaryFile`` scan over all seasons; every file keeps its exact
-  bytes plus path, size, modification time, SHA-256, season, kind and ingestion time, and is
-  appended to a Parquet table partitioned by season. Before anything is written, the
-  expected (season, kind) pairs are anti-joined with what arrived; a missing or empty
-  required file raises, so a season is landed whole or not at all;
-* manifest: one row per season (sorted file kinds, source, ingestion time);
-* rows (``bronze_rows``): the landed bytes are split into lines with their line number
-  (file order is kept - it decides which copy of a duplicate comes first); the header line of
-  each file names its columns. Files are grouped by header - one parse per distinct layout,
-  never a positional read across layouts - and each group is parsed with ``from_csv`` as all
-  strings; ``conform`` then casts to the declared schema.
+Bronze is two tables below ``bronze_root``:
+* ``lines``: every line of every landed file, verbatim, with its 0-based line number -
+  (season, file, path, line_no, line), partitioned by season. Files are read with Spark's
+  text source, which splits a large file into blocks over many tasks; the line number is
+  the line's position inside its block plus the number of lines in the file's earlier
+  blocks (a small table: one row per block). No file is ever one record or one task.
+* ``files``: one row per landed file - size and modification time from the file system,
+  line count, data-line count, header line, an order-sensitive fingerprint of the lines
+  (sum of xxhash64(line_no, line)), ingestion time, source.
+
+Landing fails before anything is written when an expected (season, kind) file is missing
+or empty, so a season is landed whole or not at all. Reading rows back (``bronze_rows``)
+groups lines by their file's header - one ``from_csv`` parse per distinct layout, never a
+positional read across layouts - and orders them by (file ordinal, line number).
 """
 
 from __future__ import annotations
@@ -31,6 +34,9 @@ from ..spec import RAW_FILES
 
 PLAYERS, TEAMS = RAW_FILES
 SOURCE = "driver tables (TPC-H binding)"
+_KINDS = "|".join(k.replace(".", r"\.") for k in RAW_FILES)
+_PER_SEASON = rf"/([^/]+)/({_KINDS})$"          # <season>/<kind>
+_WRITTEN = r"/([^/]+)/season=([^/]+)/[^/]+$"    # <kind>/season=<season>/part-*
 
 
 def write_raw_files(frames: list[DataFrame], teams: DataFrame, raw_root: str) -> None:
@@ -48,19 +54,21 @@ def write_raw_files(frames: list[DataFrame], teams: DataFrame, raw_root: str) ->
      .partitionBy("season").option("header", True).csv(f"{raw_root}/{TEAMS}"))
 
 
-def _files(spark: SparkSession, raw_root: str) -> DataFrame:
+def _season_kind(path):
+    single = path.rlike(_PER_SEASON)
+    kind = F.when(single, F.regexp_extract(path, _PER_SEASON, 2)) \
+        .otherwise(F.regexp_extract(path, _WRITTEN, 1))
+    season = F.when(single, F.regexp_extract(path, _PER_SEASON, 1)) \
+        .otherwise(F.regexp_extract(path, _WRITTEN, 2))
+    return season.alias("season"), kind.alias("file")
+
+
+def _file_meta(spark: SparkSession, raw_root: str) -> DataFrame:
+    """(path, season, file, length, modificationTime) - file-system metadata only; the
+    binaryFile source does not read file contents when ``content`` is not selected."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv") \
         .option("recursiveFileLookup", "true").load(raw_root)
-    kinds = "|".join(k.replace(".", r"\.") for k in RAW_FILES)
-    per_season = rf"/([^/]+)/({kinds})$"          # <season>/<kind>
-    written = r"/([^/]+)/season=([^/]+)/[^/]+$"    # <kind>/season=<season>/part-*
-    is_single = F.col("path").rlike(per_season)
-    kind = F.when(is_single, F.regexp_extract("path", per_season, 2)) \
-        .otherwise(F.regexp_extract("path", written, 1))
-    season = F.when(is_single, F.regexp_extract("path", per_season, 1)) \
-        .otherwise(F.regexp_extract("path", written, 2))
-    return files.select("path", "modificationTime", "length", "content",
-                        season.alias("season"), kind.alias("file"))
+    return files.select("path", *_season_kind(F.col("path")), "length", "modificationTime")
 
 
 def expected_files(spark: SparkSession, seasons) -> DataFrame:
@@ -72,7 +80,7 @@ def expected_files(spark: SparkSession, seasons) -> DataFrame:
 
 def arrival_check(spark: SparkSession, raw_root: str, seasons) -> DataFrame:
     """Per expected (season, file): number of parts, bytes, present, non-empty."""
-    per = _files(spark, raw_root).groupBy("season", "file").agg(
+    per = _file_meta(spark, raw_root).groupBy("season", "file").agg(
         F.count(F.lit(1)).cast("bigint").alias("parts"),
         F.sum("length").cast("bigint").alias("bytes"))
     out = expected_files(spark, seasons).join(per, ["season", "file"], "left")
@@ -82,34 +90,65 @@ def arrival_check(spark: SparkSession, raw_root: str, seasons) -> DataFrame:
                       (F.coalesce("bytes", F.lit(0)) > 0).alias("non_empty"))
 
 
+def numbered_lines(spark: SparkSession, raw_root: str, seasons) -> DataFrame:
+    """(season, file, path, line_no, line) of the raw files of ``seasons``."""
+    text = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true") \
+        .text(raw_root)
+    path = F.col("_metadata.file_path")
+    raw = text.select(path.alias("path"), *_season_kind(path),
+                      F.col("_metadata.file_block_start").alias("__block"),
+                      F.monotonically_increasing_id().alias("__mid"),
+                      F.col("value").alias("line"))
+    raw = raw.where(F.col("season").isin([str(s) for s in seasons]))
+    # one row per (file, block): rows of a block are contiguous and in order in one task
+    blocks = raw.groupBy("path", "__block").agg(F.count(F.lit(1)).alias("__n"),
+                                                 F.min("__mid").alias("__first"))
+    before = Window.partitionBy("path").orderBy("__block") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    out = raw.join(blocks.drop("__n"), ["path", "__block"])
+    return out.select("season", "file", "path",
+                      (F.col("__off") + F.col("__mid") - F.col("__first")).alias("line_no"),
+                      "line")
+
+
 def land(spark: SparkSession, raw_root: str, bronze_root: str, seasons) -> DataFrame:
-    """Land all seasons' raw files into the Bronze table; returns the manifest."""
+    """Land all seasons' raw files into Bronze (lines + files); returns the manifest."""
     check = arrival_check(spark, raw_root, seasons)
     bad = check.where(~F.col("present") | ~F.col("non_empty")) \
         .select("season", "file").collect()  # at most seasons x kinds rows
     if bad:
         raise FileNotFoundError(
             f"Expected raw file missing or empty: {[f'{r.season}/{r.file}' for r in bad]}")
-    wanted = [str(s) for s in seasons]
-    landed = _files(spark, raw_root).where(F.col("season").isin(wanted)).select(
-        "season", "file", "path", "modificationTime", "length",
-        F.sha2("content", 256).alias("sha256"), "content",
-        # the header line, kept beside the bytes so layouts are known without re-reading them
-        F.regexp_extract(F.decode("content", "UTF-8"), r"^([^\r\n]*)", 1).alias("header"),
-        F.current_timestamp().alias("ingested_at"), F.lit(SOURCE).alias("source"))
-    landed.write.mode("append").partitionBy("season").parquet(bronze_root)
+    lines = numbered_lines(spark, raw_root, seasons) \
+        .withColumn("ingested_at", F.current_timestamp())
+    lines.write.mode("append").partitionBy("season").parquet(f"{bronze_root}/lines")
+    per_file = read_lines(spark, bronze_root).groupBy("season", "file", "path").agg(
+        F.count(F.lit(1)).cast("bigint").alias("lines"),
+        F.count_if((F.col("line_no") > 0) & (F.length("line") > 0)).cast("bigint")
+        .alias("data_lines"),
+        F.max(F.when(F.col("line_no") == 0, F.col("line"))).alias("header"),
+        F.sum(F.xxhash64("line_no", "line").cast("decimal(38,0)")).cast("string")
+        .alias("fingerprint"),
+        F.max("ingested_at").alias("ingested_at"))
+    meta = _file_meta(spark, raw_root).select("path", "length", "modificationTime")
+    files = per_file.join(meta, "path", "left").withColumn("source", F.lit(SOURCE))
+    files.write.mode("append").parquet(f"{bronze_root}/files")
     return manifest(spark, bronze_root)
 
 
-def read_bronze(spark: SparkSession, bronze_root: str) -> DataFrame:
-    b = spark.read.parquet(bronze_root)
+def read_lines(spark: SparkSession, bronze_root: str) -> DataFrame:
+    b = spark.read.parquet(f"{bronze_root}/lines")
     return b.withColumn("season", F.col("season").cast("string"))
 
 
+def read_files(spark: SparkSession, bronze_root: str) -> DataFrame:
+    return spark.read.parquet(f"{bronze_root}/files")
+
+
 def manifest(spark: SparkSession, bronze_root: str) -> DataFrame:
-    """One row per landed season: sorted file kinds, source, latest ingestion time."""
-    b = read_bronze(spark, bronze_root)
-    return b.groupBy("season").agg(
+    """One row per landed season: sorted file kinds, source, latest ingestion time (ISO)."""
+    return read_files(spark, bronze_root).groupBy("season").agg(
         F.concat_ws(",", F.sort_array(F.collect_set("file"))).alias("files"),
         F.first("source").alias("source"),
         F.date_format(F.max("ingested_at"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
@@ -119,11 +158,8 @@ def manifest(spark: SparkSession, bronze_root: str) -> DataFrame:
 
 def data_rows(spark: SparkSession, bronze_root: str) -> DataFrame:
     """Data lines (non-empty lines after the header) per landed (season, file kind)."""
-    lines = F.split(F.decode("content", "UTF-8"), r"\r?\n")
-    per_file = read_bronze(spark, bronze_root).select(
-        "season", "file", (F.size(F.filter(lines, lambda x: F.length(x) > 0)) - 1)
-        .alias("n"))
-    return per_file.groupBy("season", "file").agg(F.sum("n").cast("bigint").alias("data_rows"))
+    return read_files(spark, bronze_root).groupBy("season", "file").agg(
+        F.sum("data_lines").cast("bigint").alias("data_rows"))
 
 
 def header_names(header: str) -> list[str]:
@@ -136,21 +172,17 @@ def bronze_rows(spark: SparkSession, bronze_root: str, kind: str = PLAYERS) -> D
     """Rows of every landed file of ``kind`` as strings, one parse per header layout, with
     ``season`` and ``ingest_seq`` = (file ordinal in the season) << 32 + line number.
 
-    Everything per line is derived inside its file's row - header and ordinal are attached
-    to the file before its lines are exploded - so no line-level join or shuffle exists; a
-    file is one task (Bronze keeps each file as one record)."""
-    bronze = read_bronze(spark, bronze_root).where(F.col("file") == kind)
-    # file ordinal: a window over (season, path) pairs only - one row per file, no content
-    ordinal = bronze.select("season", "path").withColumn("__file", F.row_number().over(
-        Window.partitionBy("season").orderBy("path")).cast("bigint"))
-    files = bronze.join(ordinal, ["season", "path"])
-    text = files.select("season", "header", "__file",
-                        F.decode("content", "UTF-8").alias("__text"))
-    lines = text.select("season", "header", "__file", F.posexplode(
-        F.split("__text", r"\r?\n")).alias("line_no", "line")) \
-        .where((F.col("line_no") > 0) & (F.length("line") > 0))
-    # distinct layouts: one per schema change, a handful in any history (a small column)
-    layouts = [r.header for r in bronze.select("header").distinct().collect()]
+    The per-file table (header, ordinal) has one row per file; it is joined to the lines by
+    path (the planner broadcasts it when small; otherwise a hot file is split by AQE's skew
+    handling, since its other side is a single row)."""
+    files = read_files(spark, bronze_root).where(F.col("file") == kind)
+    files = files.select("path", "header", F.row_number().over(
+        Window.partitionBy("season").orderBy("path")).cast("bigint").alias("__file"))
+    lines = read_lines(spark, bronze_root).where(
+        (F.col("file") == kind) & (F.col("line_no") > 0) & (F.length("line") > 0))
+    lines = lines.join(files, "path").select("season", "header", "__file", "line_no", "line")
+    # distinct layouts: one per schema change, a handful in any history
+    layouts = [r.header for r in files.select("header").distinct().collect()]
     parts = []
     for header in layouts:
         schema = ", ".join(f"`{n}` STRING" for n in header_names(header))

@@ -36,5 +36,5 @@ def test_end_to_end_pipeline(spark):
             .history_sequence(wh.features()).collect()}
     assert set(hist.values()) == {5}
     files = {(r.season, r.file) for r in
-             spark.read.parquet(wh.path("bronze")).select("season", "file").distinct().collect()}
+             spark.read.parquet(wh.path("bronze") + "/files").select("season", "file").distinct().collect()}
     assert len(files) == 10
