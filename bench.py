@@ -37,6 +37,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
 
     from periodstats.plans import catalog
+    from periodstats.plans import warehouse as wh_mod
     from periodstats.plans.warehouse import Warehouse, warehouse
     from periodstats.session import local_session
 
@@ -53,7 +54,11 @@ def main() -> None:
     cold = {"build_layers": _run(warehouse(spark, sf_dir).build_all)}
     for name in names:
         cold[name] = _run(query(name))
-    warm = {"build_layers": _run(Warehouse(spark, sf_dir).build_all)}
+    # warm pass: a freshly built warehouse serves the queries, so results memoised during the
+    # cold pass (clusters, landed files) are computed again, not reused
+    fresh = Warehouse(spark, sf_dir)
+    warm = {"build_layers": _run(fresh.build_all)}
+    wh_mod._CACHE[(spark.sparkContext.applicationId, sf_dir)] = fresh
     for name in names:
         warm[name] = _run(query(name))
 
