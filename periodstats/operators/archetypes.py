@@ -151,7 +151,7 @@ def cluster_playing_styles(features: DataFrame, season: str, n_clusters: int | N
     # every (position, restart) fit is an independent distributed job: submit them together
     jobs = [(p, r) for p in todo for r in range(restarts)]
     best = {}
-    with ThreadPoolExecutor(max_workers=max(1, min(8, len(jobs)))) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, min(16, len(jobs)))) as pool:
         for position, model in pool.map(fit, jobs):
             cur = best.get(position)
             if cur is None or model.summary.trainingCost < cur.summary.trainingCost:
