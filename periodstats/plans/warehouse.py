@@ -109,7 +109,7 @@ class Warehouse:
             return star.dim_position(self.spark)
         fields = _SCHEMAS[name]
         if name in ("silver", "rejected"):
-            # one status table; the status partition is pruned (an empty status reads empty)
+            # one status table partitioned by season; clean / rejected is a row filter
             status = "clean" if name == "silver" else "rejected"
             df = self.spark.read.schema(struct_of(fields + [("status", S)])) \
                 .parquet(self.path("silver_status")).where(F.col("status") == status)
@@ -139,11 +139,17 @@ class Warehouse:
         self._parallel({"raw_rows": silver_ops.union_seasons(self.raw_frames()),
                         "raw_teams": self.team_files()})
 
-    def _build_silver(self) -> None:
-        # one pass over the raw rows; clean and rejected rows land in sibling partitions
-        status = silver_ops.silver_status(self.conformed())
-        status.write.mode("overwrite").partitionBy("status", "season") \
-            .parquet(self.path("silver_status"))
+    def _build_silver(self, seasons: list[str] | None = None) -> None:
+        # one pass over the raw rows; clean and rejected rows of a season share its partition,
+        # so reloading a season (dynamic partition overwrite) replaces both at once
+        rows = self.conformed()
+        if seasons is not None:
+            rows = rows.where(F.col("season").isin(seasons))
+        status = silver_ops.silver_status(rows)
+        w = status.write.mode("overwrite").partitionBy("season")
+        if seasons is not None:
+            w = w.option("partitionOverwriteMode", "dynamic")
+        w.parquet(self.path("silver_status"))
 
     def _build_gold(self) -> None:
         silver = self.read("silver")
@@ -173,6 +179,28 @@ class Warehouse:
         self._write("features", feature_ops.build_features(wide)
                     .sortWithinPartitions("season", "position", "code"))
 
+    # -- incremental reload ---------------------------------------------------
+    def reload_seasons(self, seasons: list[str]) -> None:
+        """Rebuild the raw rows and Silver of ``seasons`` only and swap their partitions in
+        (dynamic partition overwrite); Gold and Features are rebuilt on next read, because
+        surrogate keys are dense over all seasons."""
+        with self._lock:
+            self._ensure("silver")
+            seasons = [str(s) for s in seasons]
+            if self.raw_root is not None:
+                self._built.discard("landing")
+                landing.land(self.spark, self.raw_root, self.path("bronze"), seasons)
+                self._built.add("landing")
+            raw = silver_ops.union_seasons(self.raw_frames()) \
+                .where(F.col("season").isin(seasons))
+            raw.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+                .partitionBy("season").parquet(self.path("raw_rows"))
+            self._build_silver(seasons)
+            self._built -= {"gold", "features", "files_status"}
+            if self.raw_root is None:
+                self._built.discard("landing")  # raw files are rewritten from the new rows
+            self._memo.clear()
+
     # -- files: raw season files and the Bronze landing ------------------------
     def landing(self) -> tuple[str, str]:
         """Write the raw season files once, land them into Bronze; (raw_root, bronze_root)."""

@@ -17,7 +17,8 @@ Bronze is two tables below ``bronze_root``:
   (sum of xxhash64(line_no, line)), ingestion time, source.
 
 Landing fails before anything is written when an expected (season, kind) file is missing
-or empty, so a season is landed whole or not at all. Reading rows back (``bronze_rows``)
+or empty, so a season is landed whole or not at all; landing a season again replaces it
+(dynamic partition overwrite), other seasons stay. Reading rows back (``bronze_rows``)
 groups lines by their file's header - one ``from_csv`` parse per distinct layout, never a
 positional read across layouts - and orders them by (file ordinal, line number).
 """
@@ -48,8 +49,8 @@ def write_raw_files(frames: list[DataFrame], teams: DataFrame, raw_root: str) ->
         cols = [c for c in df.columns if c != "ingest_seq"]
         # range partitions: a large season is split over several files, in code order
         (df.repartitionByRange("season", "code").sortWithinPartitions("code", "ingest_seq")
-         .select(*cols).write.mode("append").partitionBy("season").option("header", True)
-         .csv(f"{raw_root}/{PLAYERS}"))
+         .select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("season").option("header", True).csv(f"{raw_root}/{PLAYERS}"))
     (teams.repartition("season").sortWithinPartitions("id").write.mode("overwrite")
      .partitionBy("season").option("header", True).csv(f"{raw_root}/{TEAMS}"))
 
@@ -120,10 +121,14 @@ def land(spark: SparkSession, raw_root: str, bronze_root: str, seasons) -> DataF
     if bad:
         raise FileNotFoundError(
             f"Expected raw file missing or empty: {[f'{r.season}/{r.file}' for r in bad]}")
+    wanted = [str(s) for s in seasons]
     lines = numbered_lines(spark, raw_root, seasons) \
         .withColumn("ingested_at", F.current_timestamp())
-    lines.write.mode("append").partitionBy("season").parquet(f"{bronze_root}/lines")
-    per_file = read_lines(spark, bronze_root).groupBy("season", "file", "path").agg(
+    # re-landing a season replaces that season only (dynamic partition overwrite)
+    lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("season").parquet(f"{bronze_root}/lines")
+    landed = read_lines(spark, bronze_root).where(F.col("season").isin(wanted))
+    per_file = landed.groupBy("season", "file", "path").agg(
         F.count(F.lit(1)).cast("bigint").alias("lines"),
         F.count_if((F.col("line_no") > 0) & (F.length("line") > 0)).cast("bigint")
         .alias("data_lines"),
@@ -133,7 +138,8 @@ def land(spark: SparkSession, raw_root: str, bronze_root: str, seasons) -> DataF
         F.max("ingested_at").alias("ingested_at"))
     meta = _file_meta(spark, raw_root).select("path", "length", "modificationTime")
     files = per_file.join(meta, "path", "left").withColumn("source", F.lit(SOURCE))
-    files.write.mode("append").parquet(f"{bronze_root}/files")
+    files.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("season").parquet(f"{bronze_root}/files")
     return manifest(spark, bronze_root)
 
 
@@ -143,7 +149,8 @@ def read_lines(spark: SparkSession, bronze_root: str) -> DataFrame:
 
 
 def read_files(spark: SparkSession, bronze_root: str) -> DataFrame:
-    return spark.read.parquet(f"{bronze_root}/files")
+    b = spark.read.parquet(f"{bronze_root}/files")
+    return b.withColumn("season", F.col("season").cast("string"))
 
 
 def manifest(spark: SparkSession, bronze_root: str) -> DataFrame:

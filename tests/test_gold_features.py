@@ -87,3 +87,19 @@ def test_rebuild_is_idempotent(spark, synthetic):
     second = Warehouse(spark, None, frames=frames, teams=teams)
     for t in GOLD_TABLES:
         assert quality.table_diff(first.read(t), second.read(t)).first().diff_rows == 0
+
+
+def test_reload_one_season_swaps_only_that_season(spark, synthetic):
+    frames, teams = synthetic
+    wh = Warehouse(spark, None, frames=frames, teams=teams)
+    before = {(r.code, r.season): r.minutes for r in wh.silver().collect()}
+    changed = frames[1].withColumn("minutes", F.col("minutes") + 1)
+    wh._frames = [frames[0], changed]          # new files arrived for 2023-24
+    wh.reload_seasons(["2023-24"])
+    after = {(r.code, r.season): r.minutes for r in wh.silver().collect()}
+    assert len(after) == 32 and wh.rejected().count() == 0
+    assert all(after[k] == before[k] + (1 if k[1] == "2023-24" else 0) for k in before)
+    fact = wh.read("fact_player_season_stats")
+    assert fact.count() == 32 and fact.agg(F.sum("minutes")).first()[0] == sum(after.values())
+    wh.reload_seasons(["2023-24"])              # idempotent
+    assert {(r.code, r.season): r.minutes for r in wh.silver().collect()} == after

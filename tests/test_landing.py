@@ -113,6 +113,10 @@ def test_season_file_tree_runs_every_layer(spark):
     assert abs(b.goals_minus_xg - 0.3) < 1e-12 and b.seasons_of_history == 2
     names = {(r.season, r.team_name) for r in wh.silver().where("team = 1").collect()}
     assert names == {("2019-20", "Old Town"), ("2023-24", "New Town")}
+    wh.reload_seasons([SEASONS[0]])  # landing a season again replaces it, nothing doubles
+    assert landing.read_files(spark, wh.path("bronze")).count() == 4
+    assert landing.read_lines(spark, wh.path("bronze")).count() == 2 * (17 + 5)
+    assert wh.silver().count() == 32 and wh.features().count() == 32
 
 
 def test_quoted_fields_and_bom(spark):
