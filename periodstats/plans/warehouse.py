@@ -21,8 +21,9 @@ from ..operators import features as feature_ops
 from ..operators import archetypes, star
 from ..session import scratch_path
 from ..sources import binding, landing
-from ..spec import (RAW_FIELDS, L, S, DIM_PLAYER_FIELDS, DIM_SEASON_FIELDS, DIM_TEAM_FIELDS, FACT_FIELDS,
-                    FEATURE_FIELDS, REJECTED_FIELDS, SILVER_FIELDS, Spec, struct_of)
+from ..spec import (DIM_PLAYER_FIELDS, DIM_SEASON_FIELDS, DIM_TEAM_FIELDS, FACT_FIELDS,
+                    FEATURE_FIELDS, RAW_FIELDS, REJECTED_FIELDS, SILVER_FIELDS, L, S, Spec,
+                    struct_of)
 
 GOLD_TABLES = ["dim_player", "dim_team", "dim_season", "dim_position",
                "fact_player_season_stats"]
@@ -33,8 +34,7 @@ _SCHEMAS = {
     "dim_team": DIM_TEAM_FIELDS, "dim_season": DIM_SEASON_FIELDS,
     "fact_player_season_stats": FACT_FIELDS, "features": FEATURE_FIELDS,
 }
-_PARTITIONED = {"raw_rows": "season", "silver": "season", "rejected": "season",
-                "features": "season"}
+_PARTITIONED = {"raw_rows": "season", "features": "season"}
 
 
 class Warehouse:
@@ -64,10 +64,11 @@ class Warehouse:
         builds its own Gold and Features (a Gold rebuild from the same Silver)."""
         self._ensure("silver")
         child = Warehouse(self.spark, self.sf_dir, spec=self.spec, frames=self._frames,
-                          teams=self._teams)
+                          teams=self._teams, raw_root=self.raw_root, seasons=self.seasons)
         for name in ("raw_rows", "raw_teams", "silver_status"):
             child._shared[name] = self.path(name)
-        child._built |= {"raw", "silver"}
+        child._shared["bronze"] = self.path("bronze")
+        child._built |= {"raw", "silver"} | ({"landing"} & self._built)
         return child
 
     # -- raw inputs ---------------------------------------------------------
@@ -118,9 +119,11 @@ class Warehouse:
         return df.select(*[n for n, _ in fields])
 
     def _ensure(self, name: str) -> None:
+        """Build the layer that holds table ``name`` if this run has not built it yet."""
         with self._lock:
             layer = {"silver": "silver", "rejected": "silver", "features": "features",
-                     "raw_rows": "raw", "raw_teams": "raw", "dim_position": None}.get(name, "gold")
+                     "raw_rows": "raw", "raw_teams": "raw",
+                     "dim_position": None}.get(name, "gold")
             if layer is None or layer in self._built:
                 return
             getattr(self, f"_build_{layer}")()
