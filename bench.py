@@ -75,11 +75,17 @@ def main() -> None:
     except Exception as e:  # the oracle timing is informative only
         duck["error"] = str(e)[:200]
 
+    from periodstats.plans.checks import plan_checks
+    try:
+        checks = plan_checks(spark, sf_dir)
+    except Exception as e:  # informative only
+        checks = {"error": str(e)[:200]}
+
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "warm_total_sec", "value": round(sum(warm.values()), 3),
                       "unit": "sec", "queries": warm, "sf": sf, "cpus": int(cpus),
                       "cold_sec": cold, "cold_total_sec": round(sum(cold.values()), 3),
-                      "duckdb_oracle_sec": duck}))
+                      "duckdb_oracle_sec": duck, "plan_checks": checks}))
 
 
 if __name__ == "__main__":

@@ -66,3 +66,9 @@ def test_measure_argmax_is_aggregate_not_window(spark, wh):
         p = _plan(catalog.run(name, spark, SF))
         assert "Window" not in p
         assert re.search(r"(Hash|Sort|ObjectHash)Aggregate", p)
+
+
+def test_bench_plan_checks_all_hold(spark, wh):
+    from periodstats.plans.checks import plan_checks
+    checks = plan_checks(spark, SF)
+    assert checks and all(checks.values()), checks
