@@ -1,8 +1,8 @@
 """End-to-end run: land -> clean -> model -> integrity gate -> features -> scores and
 clusters -> BI export -> run metrics. Every stage is a Spark job over the whole input.
 
-usage: python -m periodstats.plans.pipeline <sf_dir> [season]
-       python -m periodstats.plans.pipeline --raw-root <dir> --seasons 2019-20,2020-21 [season]
+usage: python -m periodstats.plans.runner <sf_dir> [season]
+       python -m periodstats.plans.runner --raw-root <dir> --seasons 2019-20,2020-21 [season]
 """
 
 from __future__ import annotations

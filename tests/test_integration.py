@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fixtures import SEASONS, season_frames
-from periodstats.plans import pipeline
+from periodstats.plans import runner
 from periodstats.plans.warehouse import Warehouse
 from periodstats.spec import Spec
 
 FIVE = ["2019-20", "2020-21", "2021-22", "2022-23", "2023-24"]
 
 
-def test_end_to_end_pipeline(spark):
+def test_end_to_end_run(spark):
     frames, teams = season_frames(spark)
     newest, newest_teams = frames[1], teams.where(F.col("season") == SEASONS[1])
     extra = [newest.withColumn("season", F.lit(s)) for s in FIVE[1:4]]
@@ -23,7 +23,7 @@ def test_end_to_end_pipeline(spark):
     spec = Spec(n_clusters=3, kmeans_restarts=2)
     wh = Warehouse(spark, None, frames=[frames[0], newest, *extra], teams=all_teams, spec=spec)
     metrics = {(r.stage, r.metric): r.value
-               for r in pipeline.run(spark, None, "2023-24", spec, wh=wh).collect()}
+               for r in runner.run(spark, None, "2023-24", spec, wh=wh).collect()}
     assert metrics[("silver", "seasons_processed")] == 5
     assert metrics[("silver", "total_clean_rows")] == 80
     assert metrics[("silver", "total_rejected_rows")] == 0
