@@ -25,6 +25,14 @@ from ..session import shared_dir
 _P, _I = "__p", "__i"
 
 
+def _join_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner equi-join on ``keys`` where NULL matches NULL (a NULL group is still a group)."""
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys]
+    return left.join(r, cond, "inner").drop(*[f"__r_{k}" for k in keys])
+
+
 def _partitions(df: DataFrame, n: int | None) -> int:
     """Range-partition count: ``spark.sql.shuffle.partitions`` unless given. (The optimizer's
     size estimate is not used: without column statistics a join's estimate is the product
@@ -69,7 +77,7 @@ def ranks(df: DataFrame, groups: list[str], value: str, name: str, descending: b
     # weight of the earlier distinct values of the same group inside the same partition
     local = Window.partitionBy(_P, *groups).orderBy(_I).rowsBetween(Window.unboundedPreceding, -1)
     tagged = tagged.withColumn("__before", F.coalesce(F.sum("__w").over(local), F.lit(0)))
-    keyed = tagged.join(offsets, [_P, *groups]).select(
+    keyed = _join_on(tagged, offsets, [_P, *groups]).select(
         *groups, value, (F.col("__off") + F.col("__before") + 1).cast("bigint").alias(name))
     cond = [df[g].eqNullSafe(keyed[g]) for g in groups] + [df[value].eqNullSafe(keyed[value])]
     return df.join(keyed, cond, "inner").select(df["*"], keyed[name])
@@ -85,7 +93,7 @@ def value_positions(df: DataFrame, groups: list[str], value: str, n: int | None
     offsets = _offsets(tagged, groups, "__w").drop("__cnt", "__first")
     local = Window.partitionBy(_P, *groups).orderBy(_I).rowsBetween(Window.unboundedPreceding, -1)
     tagged = tagged.withColumn("__before", F.coalesce(F.sum("__w").over(local), F.lit(0)))
-    return tagged.join(offsets, [_P, *groups]).select(
+    return _join_on(tagged, offsets, [_P, *groups]).select(
         *groups, value, "__w", (F.col("__off") + F.col("__before") + 1).alias("__first"))
 
 
@@ -101,7 +109,7 @@ def exact_median(df: DataFrame, groups: list[str], value: str, name: str = "medi
     lo = F.floor((F.col("__n") + 1) / 2)
     hi = F.ceil((F.col("__n") + 1) / 2)
     last = F.col("__first") + F.col("__w") - 1
-    hit = pos.join(sizes, groups).select(
+    hit = _join_on(pos, sizes, groups).select(
         *groups,
         F.when((F.col("__first") <= lo) & (lo <= last), F.col(value)).alias("__lo"),
         F.when((F.col("__first") <= hi) & (hi <= last), F.col(value)).alias("__hi"))

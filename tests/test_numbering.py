@@ -15,7 +15,7 @@ def _data(spark, n=3000, seed=7):
     rnd = random.Random(seed)
     rows = []
     for i in range(n):
-        g = "hot" if rnd.random() < 0.8 else rnd.choice(["a", "b", "c"])
+        g = "hot" if rnd.random() < 0.8 else rnd.choice(["a", "b", "c", None])
         v = None if rnd.random() < 0.05 else float(rnd.randint(0, 200))
         rows.append((i, g, v))
     return spark.createDataFrame(rows, "id bigint, g string, v double").repartition(5)
@@ -36,11 +36,13 @@ def test_ranks_equal_sql_rank_with_ties_and_nulls(spark):
         Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last())))
     j = got.join(want, "id")
     assert j.count() == 3000 and j.where("r <> want").count() == 0
+    assert got.where("g IS NULL").count() > 0
 
 
 def test_exact_median(spark):
     df = _data(spark)
     got = {r.g: r.median for r in numbering.exact_median(df, ["g"], "v", n=4).collect()}
+    assert None in got
     want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
     assert got.keys() == want.keys()
     assert all(abs(got[k] - want[k]) < 1e-12 for k in got)
