@@ -26,6 +26,7 @@ positional read across layouts - and orders them by (file ordinal, line number).
 from __future__ import annotations
 
 import csv
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -44,15 +45,25 @@ def write_raw_files(frames: list[DataFrame], teams: DataFrame, raw_root: str) ->
     """Write raw season files: one CSV dataset per (kind, season), header included.
 
     ``frames`` are per-layout player frames (each with its own column set) carrying
-    ``season`` and ``ingest_seq``; rows are written in (code, ingest_seq) order."""
-    for df in frames:
+    ``season`` and ``ingest_seq``; rows are written in (code, ingest_seq) order. The player
+    layouts are written one after the other into the same dataset; the team files (another
+    path) are written concurrently."""
+    def players(df):
         cols = [c for c in df.columns if c != "ingest_seq"]
         # range partitions: a large season is split over several files, in code order
         (df.repartitionByRange("season", "code").sortWithinPartitions("code", "ingest_seq")
          .select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("season").option("header", True).csv(f"{raw_root}/{PLAYERS}"))
-    (teams.repartition("season").sortWithinPartitions("id").write.mode("overwrite")
-     .partitionBy("season").option("header", True).csv(f"{raw_root}/{TEAMS}"))
+
+    def team_files():
+        (teams.repartition("season").sortWithinPartitions("id").write.mode("overwrite")
+         .partitionBy("season").option("header", True).csv(f"{raw_root}/{TEAMS}"))
+
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        teams_job = pool.submit(team_files)
+        for df in frames:
+            players(df)
+        teams_job.result()
 
 
 def _season_kind(path):
