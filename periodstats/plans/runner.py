@@ -39,7 +39,8 @@ def run(spark: SparkSession, sf_dir: str, season: str = "2000", spec: Spec = Spe
     outliers = scoring.detect_value_outliers(features, season, spec=spec)
     outliers.coalesce(1).write.mode("overwrite").option("header", True).csv(  # top-N rows
         wh.path(f"hidden_talent_{season}.csv"))
-    export.export_tables(gold, wh.path("bi_export"))
+    exported: dict[str, int] = {}
+    export.export_tables(gold, wh.path("bi_export"), exported)  # rows counted while written
     cnt = F.count(F.lit(1))
     clustered = spark.read.option("header", True).schema(clusters.schema).csv(
         wh.path(f"player_style_clusters_{season}.csv"))
@@ -53,6 +54,10 @@ def run(spark: SparkSession, sf_dir: str, season: str = "2000", spec: Spec = Spe
         ("features", "players"): features.agg(F.count_distinct("code")),
         ("ml", "clustered_players"): clustered.where("cluster >= 0").agg(cnt),
     })
+    written = spark.createDataFrame(  # one row per exported table (five)
+        [("export", f"{t}_rows", n) for t, n in exported.items()],
+        "stage string, metric string, value bigint")
+    metrics = metrics.unionByName(written)
     metrics.coalesce(1).write.mode("overwrite").json(wh.path("run_metrics"))
     return spark.read.schema(metrics.schema).json(wh.path("run_metrics"))
 

@@ -9,19 +9,26 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 SMALL_TABLES = {"dim_position", "dim_season", "dim_team"}
 
 
-def export_tables(tables: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
+def export_tables(tables: dict[str, DataFrame], out_dir: str,
+                  counts: dict[str, int] | None = None) -> dict[str, str]:
+    """Write each table to ``<out_dir>/<name>.csv`` (header line); the rows written are
+    counted by an ``Observation`` in the same job (no second pass) into ``counts``."""
     paths = {}
     for name, df in tables.items():
-        w = df.coalesce(1) if name in SMALL_TABLES else df
+        obs = Observation(f"export_{name}")
+        w = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        w = w.coalesce(1) if name in SMALL_TABLES else w
         path = f"{out_dir}/{name}.csv"
         w.write.mode("overwrite").option("header", True).csv(path)
         paths[name] = path
+        if counts is not None:
+            counts[name] = int(obs.get["rows"])
     return paths
 
 

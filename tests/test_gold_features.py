@@ -120,3 +120,13 @@ def test_bi_export_round_trips_every_table(spark, synthetic):
         assert quality.table_diff(gold[name], back).first().diff_rows == 0, name
     counts = {r.table_name: r.rows for r in export.count_rows(gold).collect()}
     assert counts["fact_player_season_stats"] == 32 and counts["dim_position"] == 4
+
+
+def test_export_counts_rows_while_writing(spark, synthetic):
+    from periodstats.session import scratch_path
+    from periodstats.sources import export
+    gold = _wh(spark, synthetic).gold()
+    counts: dict[str, int] = {}
+    export.export_tables(gold, scratch_path(spark, "t-export"), counts)
+    assert counts == {"dim_player": 16, "dim_team": 5, "dim_season": 2, "dim_position": 4,
+                      "fact_player_season_stats": 32}
