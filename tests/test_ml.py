@@ -108,3 +108,8 @@ def test_outliers_are_position_relative(spark, sample_features):
     fwd = feature_rows(spark, position="FWD", code0=2000, prefix="FWD Player")
     out = scoring.detect_value_outliers(sample_features.unionByName(fwd), "2023-24", 16)
     assert {r.position for r in out.collect()} == {"MID", "FWD"}
+
+
+def test_clustering_empty_season_keeps_output_schema(spark, sample_features):
+    out = archetypes.cluster_playing_styles(sample_features, "1990-91", 3, FAST)
+    assert out.count() == 0 and {"cluster", "cluster_label"} <= set(out.columns)
