@@ -40,3 +40,23 @@ def test_entry_and_contract(spark):
     df = entry_mod.entry(spark)
     assert df.columns[0] == "web_name" and df.count() >= 0
     assert set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
+
+
+def test_cluster_queries_invariants_on_driver_tables(spark):
+    """No SQL form for K-Means: every cohort row kept, ids 0..k-1 all used per clustered
+    position, labels name the position and one of its features."""
+    sf = "/root/testdata/sf0.01"
+    styles = catalog.run("cluster_styles", spark, sf).collect()
+    cohort = catalog.run("cohort", spark, sf).collect()
+    assert sorted(r.code for r in styles) == sorted(r.code for r in cohort)
+    status = {r.position: r.status for r in catalog.run("cluster_status", spark, sf).collect()}
+    for pos, st in status.items():
+        rows = [r for r in styles if r.position == pos]
+        if st == "clustered":
+            assert {r.cluster for r in rows} == {0, 1, 2, 3}
+            assert all(r.cluster_label.startswith(f"{pos}_") and
+                       r.cluster_label.endswith("_profile") for r in rows)
+        else:
+            assert {(r.cluster, r.cluster_label) for r in rows} == {(-1, st)}
+    summary = {r.position: r.clusters for r in catalog.run("cluster_summary", spark, sf).collect()}
+    assert summary == {p: (4 if s == "clustered" else 0) for p, s in status.items()}
