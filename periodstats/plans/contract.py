@@ -9,7 +9,6 @@ different engines and can differ in the last bits.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, DoubleType, LongType, StringType
 
 DIGITS = 6
@@ -20,13 +19,15 @@ Contract = list[tuple[str, DataType]]
 
 
 def apply(df: DataFrame, contract: Contract) -> DataFrame:
-    cols = []
+    """Project ``df`` to the contract in one ``selectExpr`` (one JVM call for all columns,
+    instead of several Python-to-JVM calls per column)."""
+    exprs = []
     for name, t in contract:
-        c = F.col(name).cast(t)
+        c = f"CAST(`{name}` AS {t.simpleString()})"
         if t == DoubleType():
-            c = F.round(c, DIGITS) + F.lit(0.0)
-        cols.append(c.alias(name))
-    return df.select(*cols)
+            c = f"(round({c}, {DIGITS}) + 0.0D)"
+        exprs.append(f"{c} AS `{name}`")
+    return df.selectExpr(*exprs)
 
 
 def wrap_sql(sql: str, contract: Contract) -> str:
