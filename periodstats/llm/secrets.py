@@ -1,0 +1,197 @@
+"""Secret scans with multipart credential linking, in built-in functions only.
+
+Base kinds are reported wherever they match. Weak kinds (identifiers, bare high-variety
+strings, endpoints) mean little alone: each is a part, and a weak part is reported only when a
+complementary part lies within its scope, ``scope`` code points around its start. That is an
+interval join: parts are put into bins of the scope's width, and a weak part semi-joins the
+parts of its bin on the exact interval. A semi-join gives a part at most once, and a bin holds
+a bounded number of spans, so there are never all pairs of a group.
+
+Positions come from the pieces between matches (``split``) and the matches themselves
+(``regexp_extract_all``), summed up; both read the whole text.
+
+Defined results: a null text is empty; no match gives zero counts, the hash of the empty
+string and an empty span list; equal texts, rows and ids are judged row by row; a null doc_id
+stays null; an empty table gives an empty result; extra columns are ignored by the scan and
+kept by the redaction.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from periodstats.llm.common import let, materialise, text_of
+
+#: Base kinds, in the order in which they are listed at one start.
+BASE = {
+    "assign": r"""((?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
+              r"""([A-Za-z0-9+/_.=-]+))""",
+    "access": r"(AKIA[A-Z0-9]+)",
+    "hex": r"([0-9a-f]+)",
+}
+_LEAST = {"access": 20, "hex": 24}   # code points of a match
+_ASSIGN_VALUE = 6                    # code points of the assigned value
+
+#: Weak kinds: what they look like, and what an extra test asks of the match.
+WEAK = {
+    "key_id": (r"""(\b(?i:client|access|account|user|login)_?(?i:id|key_?id|name)["']?"""
+               r"""\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{3,})""", None),
+    "secret_part": (r"((?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{32,200}={0,2}(?![A-Za-z0-9+/=_-]))",
+                    r"(?s)^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])"),
+    "endpoint": (r"""((?i:https?|ftp|ssh|postgres(?:ql)?|mysql|mongodb|redis|amqp)"""
+                 r"""://[A-Za-z0-9._:@%/?&=+-]{4,})""", None),
+}
+KINDS = [*BASE, *WEAK]
+_ROLE = {"assign": "secret", "hex": "secret", "secret_part": "secret", "access": "id",
+         "key_id": "id", "endpoint": "endpoint"}
+#: A part of the first role is complete with one of the others.
+COMPLEMENT = {"id": ("secret",), "secret": ("id", "endpoint"), "endpoint": ("secret",)}
+
+_SPANS = "array<struct<start:int,kind:int,end:int>>"
+
+
+@dataclass(frozen=True)
+class Settings:
+    scope: int = 200          # code points on either side of a weak part's start
+    mask: str = "[SECRET]"
+
+
+def _positions(text: Column, pattern: str, kind: str, keep: Column | None) -> Column:
+    """Spans of all matches of ``pattern``; ``keep`` says of each match (m, v) whether it stays."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(2 if kind == "assign" else 1))
+    pieces = F.split(text, pattern)
+    matches = F.arrays_zip(found.alias("m"), value.alias("v"),
+                           F.slice(pieces, 1, F.size(found)).alias("p"))
+    code = KINDS.index(kind)
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.length(x["p"])
+        end = start + F.length(x["m"])
+        span = F.array(F.struct(start.alias("start"), F.lit(code).alias("kind"), end.alias("end")))
+        stays = F.lit(True) if keep is None else keep(x)
+        return F.struct(end.alias("at"),
+                        F.when(stays, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+
+    spans = F.aggregate(matches, zero, step, lambda acc: acc["out"])
+    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_SPANS))
+
+
+def _base_spans(text: Column, kind: str) -> Column:
+    if kind == "assign":
+        keep = lambda x: F.length(x["v"]) >= _ASSIGN_VALUE
+        return _positions(text, BASE[kind], kind, keep)
+    # The runs are maximal, so a failing match hides no other: ask for the length at once.
+    least = _LEAST[kind] - (len("AKIA") if kind == "access" else 0)
+    return _positions(text, BASE[kind].replace("+", f"{{{least},}}"), kind, None)
+
+
+def _weak_spans(text: Column, kind: str) -> Column:
+    pattern, test = WEAK[kind]
+    return _positions(text, pattern, kind, test and (lambda x: x["m"].rlike(test)))
+
+
+def with_parts(docs: DataFrame) -> DataFrame:
+    """``docs`` with __text, __base (sorted spans) and __weak (unlinked weak spans)."""
+    text = F.col("__text")
+    return docs.withColumn("__text", text_of()).withColumns({
+        "__base": F.sort_array(F.concat(*[_base_spans(text, k) for k in BASE])),
+        "__weak": F.concat(*[_weak_spans(text, k) for k in WEAK])})
+
+
+def _role(kind: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(_ROLE[k]) for k in KINDS]), kind + 1)
+
+
+def linked_parts(rows: DataFrame, settings: Settings) -> DataFrame:
+    """(rid, linked): weak spans with a complementary part in scope, from rid, __base, __weak.
+
+    Only texts with a weak part are looked at. The join's key is (row, bin), so a text with
+    very many parts is spread over many keys.
+    """
+    r = settings.scope
+    rows = rows.filter(F.size("__weak") > 0)
+    parts = rows.select("rid", F.explode(F.concat("__base", "__weak")).alias("s")).select(
+        F.col("rid").alias("__rid"), _role(F.col("s.kind")).alias("__role"),
+        F.col("s.start").alias("__from"), F.col("s.end").alias("__to"),
+        F.explode(F.sequence(F.floor((F.col("s.start") - r) / r),
+                             F.floor((F.col("s.end") + r) / r))).alias("__bin"))
+    weak = rows.select("rid", F.explode("__weak").alias("s")).select(
+        "rid", "s", _role(F.col("s.kind")).alias("role"),
+        F.floor(F.col("s.start") / r).alias("bin"))
+    fits = F.lit(False)
+    for role, others in COMPLEMENT.items():
+        fits = fits | ((F.col("role") == role) & F.col("__role").isin(*others))
+    start = F.col("s.start")
+    near = start.between(F.col("__from") - r, F.col("__to") + r)
+    joined = weak.join(parts, (F.col("rid") == F.col("__rid")) & (F.col("bin") == F.col("__bin"))
+                       & fits & near, "left_semi")
+    return joined.groupBy("rid").agg(F.collect_list("s").alias("linked"))
+
+
+def _listing(spans: Column) -> Column:
+    name = lambda k: F.element_at(F.array(*[F.lit(x) for x in KINDS]), k + 1)
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", name(s["kind"]), s["start"], s["end"])), ",")
+
+
+def scan(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """doc_id, counts of the base kinds, hash of the base spans, all spans, linked spans."""
+    settings = settings or Settings()
+    rows = materialise(with_parts(docs.select("doc_id", "text"))
+                       .select(F.monotonically_increasing_id().alias("rid"), "doc_id",
+                               "__base", "__weak"), "parts")
+    linked = linked_parts(rows, settings).withColumnRenamed("rid", "__r")
+    out = rows.join(linked, F.col("rid") == F.col("__r"), "left")
+    empty = F.array().cast(_SPANS)
+    out = out.withColumn("__all", F.sort_array(
+        F.concat("__base", F.coalesce(F.col("linked"), empty))))
+    of = lambda k: F.size(F.filter("__base", lambda s: s["kind"] == k)).cast("long")
+    return out.select("doc_id", *[of(i).alias(f"n_{k}") for i, k in enumerate(BASE)],
+                      F.sha2(_listing(F.col("__base")), 256).alias("base_sha256"),
+                      _listing(F.col("__all")).alias("spans"),
+                      F.size(F.coalesce(F.col("linked"), empty)).cast("long").alias("n_linked"))
+
+
+def masked(text: Column, spans: Column, mask: str) -> Column:
+    """``text`` with the union of the sorted spans replaced, each stretch by one mask."""
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        gap = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]),
+                       F.lit(mask))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
+                        F.when(s["start"] >= acc["at"], gap).otherwise(acc["out"]).alias("out"))
+
+    return F.aggregate(spans, zero, step, lambda acc: F.concat(
+        acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+
+
+def redact(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """All rows and columns of ``docs``; secrets in ``text`` masked, ``n_chars`` (if any) anew.
+
+    Rows without weak parts are masked in the scan. Those with some are written apart, linked,
+    and masked from there, so no text is joined back by an id that may repeat.
+    """
+    settings = settings or Settings()
+    own = docs.columns
+    row = F.struct(*[F.col(f"`{c}`") for c in own]).alias("__row")
+    parted = with_parts(docs.select(row, F.col("text")))
+    plain = parted.filter(F.size("__weak") == 0).select("__row", "__text", "__base")
+    weak = materialise(parted.filter(F.size("__weak") > 0)
+                       .withColumn("rid", F.monotonically_increasing_id()), "weak")
+    linked = linked_parts(weak, settings).withColumnRenamed("rid", "__r")
+    joined = weak.join(linked, F.col("rid") == F.col("__r"), "left").select(
+        "__row", "__text", F.sort_array(F.concat(
+            "__base", F.coalesce("linked", F.array().cast(_SPANS)))).alias("__base"))
+    out = plain.unionByName(joined).withColumn("__new", F.when(
+        F.size("__base") > 0, masked(F.col("__text"), F.col("__base"), settings.mask)))
+    new = {"text": F.coalesce("__new", F.col("__row.text").cast("string"))}
+    if "n_chars" in own:
+        new["n_chars"] = F.when(F.col("__new").isNotNull(), F.length("__new").cast("long")) \
+            .otherwise(F.col("__row.n_chars"))
+    return out.select(*[new[c].alias(c) if c in new else F.col("__row")[c].alias(c) for c in own])
