@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from periodstats.llm.common import materialise
+from periodstats.llm.common import materialise, maybe_in
 from periodstats.llm.hashing import hashed_words, mix, shingles
 
 SIGNATURE = 128       # MinHash values a text
@@ -421,6 +421,8 @@ def _checked_links(docs: DataFrame, reps: DataFrame, candidates: DataFrame,
     needed = materialise(
         sized.join(totals, F.col("label") == F.col("__l")).drop("__l", "n_sh"), "needed")
     texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string"))
+    wanted = maybe_in(needed, F.xxhash64("rep_doc"))  # most texts have no candidate partner
+    texts = texts.filter(wanted(F.xxhash64("__id")))
     rows = needed.join(texts, F.col("rep_doc").eqNullSafe(F.col("__id")))
     blocks = F.greatest(F.ceil(F.col("m") / settings.component_block),
                         F.ceil(F.col("all_sh") / settings.component_shingles))
@@ -483,10 +485,13 @@ def keep_one_per_class(docs: DataFrame, settings: Settings | None = None) -> Dat
     spare = materialise(judged.groupBy("doc_id", "th").agg(
         F.max(wins).alias("wins"), F.count("*").alias("times"))
         .filter("not wins or times > 1"), "spare")
-    spare = spare.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), "wins")
+    spare = spare.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"),
+                         F.col("wins").alias("__wins"))
+    known = maybe_in(spare, F.xxhash64("__id", "__th"))
     out = docs.withColumn("__t", F.xxhash64(F.col("text").cast("string")))
+    out = out.withColumn("__maybe", known(F.xxhash64(F.col("doc_id").cast("long"), "__t")))
     on = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__t") == F.col("__th"))
-    out = out.join(spare, on, "left").withColumn("__wins", F.col("wins"))
-    single = out.filter("__wins is null").select(*own)
-    repeated = out.filter("__wins").select(*own).dropDuplicates(["doc_id", "text"])
-    return single.unionByName(repeated)
+    judged_rows = out.filter("__maybe").join(spare, on, "left")
+    single = judged_rows.filter("__wins is null").select(*own)
+    repeated = judged_rows.filter("__wins").select(*own).dropDuplicates(["doc_id", "text"])
+    return out.filter("not __maybe").select(*own).unionByName(single).unionByName(repeated)
