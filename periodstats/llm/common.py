@@ -56,7 +56,7 @@ def maybe_in(keys: DataFrame, key: Column) -> Callable[[Column], Column]:
     spark = keys.sparkSession
     at = F.pmod(key, F.lit(FILTER_BITS))
     words = keys.select(at.alias("at")).groupBy(F.shiftright("at", 5).cast("int").alias("w")).agg(
-        F.bit_or(F.shiftleft(F.lit(1).cast("long"), (F.col("at") % 32).cast("int"))).alias("bits"))
+        F.expr("bit_or(shiftleft(1L, cast(at % 32 as int)))").alias("bits"))
     bits = np.zeros(FILTER_BITS // 32, dtype=np.uint32)
     for r in words.collect():
         bits[r["w"]] = r["bits"]

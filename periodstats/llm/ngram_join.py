@@ -218,7 +218,7 @@ def with_blocks(rows: DataFrame, group: str, blocks: Column) -> DataFrame:
                           "side": F.when(F.col("__own") == F.col("__other"), 0)
                           .when(F.col("__own") < F.col("__other"), 1).otherwise(2)})
             .drop("__n", "__own", "__other")
-            .repartition(group, "bi", "bj").sortWithinPartitions(group, "bi", "bj"))
+            .repartition(group, "bi", "bj").sortWithinPartitions(group, "bi", "bj", "rid"))
 
 
 # -- candidates --------------------------------------------------------------------------
