@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from periodstats.llm import ngram_join, packing, quality_rules, secrets
+from periodstats.llm import ngram_join, packing, quality_rules, secret_scan
 from periodstats.llm.common import materialise, table
 
 #: The learned decision list and the join have no SQL form; tests hold them against brute force.
@@ -28,7 +28,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets in their texts masked."""
-    return secrets.redact(docs)
+    return secret_scan.redact(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from periodstats.llm import ngram_join, packing, quality_rules, secrets
+from periodstats.llm import ngram_join, packing, quality_rules, secret_scan
 from periodstats.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,7 +17,7 @@ def op1_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(table(spark, sf_dir, "documents"))
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
