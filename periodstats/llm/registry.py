@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from periodstats.llm import ngram_join, packing, quality_rules, secret_scan
+from periodstats.llm import (ann_scan, chat_format, ngram_join, packing, quality_rules,
+                             secret_scan, url_reputation)
 from periodstats.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,10 +18,27 @@ def op1_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat_format.with_control_case(table(spark, sf_dir, "conversations"))
+    return chat_format.digests(chat_format.format_conversations(rows))
+
+
+def op3_ann_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_scan.search(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's outcome is the quality label of the document with the page's number."""
+    outcomes = table(spark, sf_dir, "labels").filter("quality is not null").select(
+        F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("bad"))
+    return url_reputation.judge_urls(table(spark, sf_dir, "pages"), outcomes,
+                                     url_reputation.RULES)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(table(spark, sf_dir, "documents"),
                                          table(spark, sf_dir, "labels"))
@@ -35,4 +54,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_length_buckets": packing.oracle_sql()}
+    return {"op1_length_buckets": packing.oracle_sql(),
+            "op2_chat_format": chat_format.oracle_sql()}
