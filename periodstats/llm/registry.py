@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodstats.llm import (ann_scan, chat_format, ngram_join, packing, quality_rules,
-                             secret_scan, url_reputation)
+from periodstats.llm import (ann_scan, bpe_chunks, chat_format, html_extract, ngram_join, packing,
+                             quality_rules, secret_scan, url_reputation)
 from periodstats.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,11 +39,22 @@ def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      url_reputation.RULES)
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(table(spark, sf_dir, "documents"),
                                          table(spark, sf_dir, "labels"))
 
 
+def op9_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe_chunks.digests(table(spark, sf_dir, "documents"),
+                              public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similarity_join(table(spark, sf_dir, "documents"))
 
