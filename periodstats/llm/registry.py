@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodstats.llm import (ann_scan, bpe_chunks, chat_format, html_extract, ngram_join, packing,
-                             quality_rules, secret_scan, url_reputation)
+from periodstats.llm import (ann_scan, bpe_chunks, chat_format, html_extract, lm_mixing, ngram_join,
+                             packing, quality_rules, secret_scan, url_reputation)
 from periodstats.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_mixing.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page's outcome is the quality label of the document with the page's number."""
     outcomes = table(spark, sf_dir, "labels").filter("quality is not null").select(
