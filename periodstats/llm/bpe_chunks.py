@@ -36,7 +36,7 @@ class Settings:
     mask_bits: int = 9               # one cut in 2 ^ mask_bits bytes on average
     window: int = 16                 # bytes the rolling hash sees; a power of two
     chunk_bytes: int = 48_000_000    # bound of the chunk memory
-    words: int = 300_000             # bound of the word memory
+    words: int = 400_000             # bound of the word memory
     word_bytes: int = 256            # longer words are not kept
 
 
@@ -74,16 +74,21 @@ class Encoder:
         self.reused = 0
         if self.tokenizer.decoder is not None:
             raise ValueError("only tokenizers that decode by joining tokens with spaces")
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(size)]
+        self.id_text = [(self.tokenizer.id_to_token(i) or "").encode() for i in range(size)]
 
     def _entry(self, ids: list[int]) -> tuple[bytes, bytes]:
-        text = self.tokenizer.decode(ids, skip_special_tokens=False)
-        return np.array(ids, dtype="<u4").tobytes(), text.encode()
+        return (b"".join([self.id_bytes[i] for i in ids]),
+                b" ".join([self.id_text[i] for i in ids]))
 
-    def learn(self, unknown: set[bytes]) -> None:
-        """Encode words not met before, in one call."""
+    def make_room(self) -> None:
         if len(self.words) > self.settings.words:
             self.words.clear()
         self.spare.clear()
+
+    def learn(self, unknown: set[bytes]) -> None:
+        """Encode words not met before, in one call."""
         some = sorted(unknown)
         for w, e in zip(some, self.tokenizer.encode_batch_fast(
                 [w.decode() for w in some], add_special_tokens=False), strict=True):
@@ -98,7 +103,7 @@ class Encoder:
 
     def agrees(self, run: list[bytes]) -> bool:
         whole = self.tokenizer.encode(b" ".join(run).decode(), add_special_tokens=False).ids
-        return np.array(whole, dtype="<u4").tobytes() == b"".join(self.word(w)[0] for w in run)
+        return self._entry(whole)[0] == b"".join(self.word(w)[0] for w in run)
 
     def parts(self, chunk: bytes) -> tuple[bytes, list[bytes], bytes] | None:
         """Fragment before, whole words, fragment after; None if there is no white space."""
@@ -120,6 +125,7 @@ def _split(text: bytes, settings: Settings) -> list[bytes]:
 def encode_texts(texts: list[bytes], enc: Encoder) -> Iterator[tuple[bytes, bytes]]:
     """(ids as little-endian unsigned 32-bit integers, decoded text) of each text."""
     settings = enc.settings
+    enc.make_room()
     cut = [_split(t, settings) for t in texts]
     fresh: dict[bytes, tuple | None] = {}
     unknown: set[bytes] = set()
@@ -199,7 +205,7 @@ def _repaired(text: bytes, chunks: list[bytes], k: int, word: bytes, enc: Encode
     """Whether the join before chunk ``k``, re-encoded with ever more words around it, agrees."""
     end = sum(map(len, chunks[:k]))
     start = max(0, end - len(word))
-    reach = 64 + 2 * len(word)
+    reach = 24 + 2 * len(word)
     while True:
         lo, hi = max(0, start - reach), min(len(text), end + len(word) + reach)
         run = text[lo:hi].split()
