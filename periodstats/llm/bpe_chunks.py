@@ -36,10 +36,11 @@ class Settings:
     mask_bits: int = 9               # one cut in 2 ^ mask_bits bytes on average
     window: int = 16                 # bytes the rolling hash sees; a power of two
     chunk_bytes: int = 48_000_000    # bound of the chunk memory
-    words: int = 400_000             # bound of the word memory
+    words: int = 800_000             # bound of the word memory
     word_bytes: int = 256            # longer words are not kept
 
 
+_MARK = "\x01"
 _GEAR = mix(np.arange(7000, 7256, dtype=np.uint64)).astype(np.uint32)
 
 
@@ -67,10 +68,11 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.settings = settings
-        self.words: dict[bytes, tuple[bytes, bytes]] = {}
+        self.ids: dict[bytes, bytes] = {}     # word -> ids
+        self.text: dict[bytes, bytes] = {}    # word -> decoded
+        self.long: list[bytes] = []           # words to forget after the batch
         self.chunks: dict[bytes, tuple] = {}
         self.held = 0
-        self.spare: dict[bytes, tuple[bytes, bytes]] = {}
         self.reused = 0
         if self.tokenizer.decoder is not None:
             raise ValueError("only tokenizers that decode by joining tokens with spaces")
@@ -83,27 +85,54 @@ class Encoder:
                 b" ".join([self.id_text[i] for i in ids]))
 
     def make_room(self) -> None:
-        if len(self.words) > self.settings.words:
-            self.words.clear()
-        self.spare.clear()
+        if len(self.ids) > self.settings.words:
+            self.ids.clear()
+            self.text.clear()
+        for w in self.long:
+            self.ids.pop(w, None)
+            self.text.pop(w, None)
+        self.long = []
 
     def learn(self, unknown: set[bytes]) -> None:
-        """Encode words not met before, in one call."""
-        some = sorted(unknown)
-        for w, e in zip(some, self.tokenizer.encode_batch_fast(
-                [w.decode() for w in some], add_special_tokens=False), strict=True):
-            to = self.words if len(w) <= self.settings.word_bytes else self.spare
-            to[w] = self._entry(e.ids)
-
-    def word(self, w: bytes) -> tuple[bytes, bytes]:
-        entry = self.words.get(w) or self.spare.get(w)
-        if entry is None:
-            entry = self._entry(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids)
-        return entry
+        """Encode words not met before, many in one string with a mark of its own between.
+
+        The mark is one character that makes one id by itself; words that hold it, and runs
+        whose marks do not come back one for one, are encoded word by word.
+        """
+        mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
+        plain = sorted(w for w in unknown if _MARK.encode() not in w) if len(mark) == 1 else []
+        runs = [plain[i:i + 256] for i in range(0, len(plain), 256)]
+        rest = [w for w in unknown if _MARK.encode() in w] if plain else sorted(unknown)
+        made = self.tokenizer.encode_batch_fast(
+            [f" {_MARK} ".join([w.decode() for w in run]) for run in runs], add_special_tokens=False)
+        for run, e in zip(runs, made, strict=True):
+            ids = e.ids
+            ends = [i for i, x in enumerate(ids) if x == mark[0]]
+            if len(ends) != len(run) - 1:
+                rest += run
+                continue
+            for w, lo, hi in zip(run, [0, *[i + 1 for i in ends]], [*ends, len(ids)], strict=True):
+                self._keep(w, ids[lo:hi])
+        for w in rest:
+            self._keep(w, self.tokenizer.encode(w.decode(), add_special_tokens=False).ids)
+
+    def _keep(self, w: bytes, ids: list[int]) -> None:
+        self.ids[w], self.text[w] = self._entry(ids)
+        if len(w) > self.settings.word_bytes:
+            self.long.append(w)
+
+    def words(self, some: list[bytes]) -> tuple[bytes, bytes]:
+        """Ids and decoded text of known words."""
+        ids = b"".join(map(self.ids.__getitem__, some))
+        text = b" ".join(map(self.text.__getitem__, some))
+        if not text or b"  " in text or text[:1] == b" " or text[-1:] == b" ":
+            text = b" ".join([self.text[w] for w in some if self.ids[w]])  # words without ids
+        return ids, text
 
     def agrees(self, run: list[bytes]) -> bool:
         whole = self.tokenizer.encode(b" ".join(run).decode(), add_special_tokens=False).ids
-        return self._entry(whole)[0] == b"".join(self.word(w)[0] for w in run)
+        self.learn({w for w in run if w not in self.ids})
+        return self._entry(whole)[0] == self.words(run)[0]
 
     def parts(self, chunk: bytes) -> tuple[bytes, list[bytes], bytes] | None:
         """Fragment before, whole words, fragment after; None if there is no white space."""
@@ -151,24 +180,20 @@ def encode_texts(texts: list[bytes], enc: Encoder) -> Iterator[tuple[bytes, byte
             carry = tail
         if carry:
             joins.add(carry)
-    new_joins = {j for j in joins if j not in enc.words}
-    unknown = {w for w in unknown if w not in enc.words}
+    new_joins = {j for j in joins if j not in enc.ids}
+    unknown = {w for w in unknown if w not in enc.ids}
     enc.learn(unknown | new_joins)
     for chunk, parts in fresh.items():
         if parts is not None:
-            entries = [enc.word(w) for w in parts[1]]
-            value = (parts[0], b"".join(e[0] for e in entries),
-                     b" ".join(e[1] for e in entries if e[0]), parts[2])
-            fresh[chunk] = value
+            fresh[chunk] = (parts[0], *enc.words(parts[1]), parts[2])
     for text, chunks in zip(texts, cut, strict=True):
         ids, decoded, carry = [], [], b""
         good = True
 
         def join(word: bytes) -> None:
-            entry = enc.word(word)
-            if entry[0]:
-                ids.append(entry[0])
-                decoded.append(entry[1])
+            if enc.ids[word]:
+                ids.append(enc.ids[word])
+                decoded.append(enc.text[word])
 
         for k, chunk in enumerate(chunks):
             value = enc.chunks.get(chunk) or fresh.get(chunk)
