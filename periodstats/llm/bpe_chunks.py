@@ -76,6 +76,7 @@ class Encoder:
         self.reused = 0
         if self.tokenizer.decoder is not None:
             raise ValueError("only tokenizers that decode by joining tokens with spaces")
+        self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.id_bytes = [i.to_bytes(4, "little") for i in range(size)]
         self.id_text = [(self.tokenizer.id_to_token(i) or "").encode() for i in range(size)]
@@ -99,7 +100,9 @@ class Encoder:
         The mark is one character that makes one id by itself; words that hold it, and runs
         whose marks do not come back one for one, are encoded word by word.
         """
-        mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
+        if not unknown:
+            return
+        mark = self.mark
         plain = sorted(w for w in unknown if _MARK.encode() not in w) if len(mark) == 1 else []
         runs = [plain[i:i + 256] for i in range(0, len(plain), 256)]
         rest = [w for w in unknown if _MARK.encode() in w] if plain else sorted(unknown)

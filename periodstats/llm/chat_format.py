@@ -84,12 +84,12 @@ def unescape(text: Column) -> Column:
 def _state_after(turns: Column, automaton: Automaton) -> Column:
     """(state, at, bad): the automaton as a fold; bad is the place of the first wrong role."""
     def step(acc: Column, t: Column) -> Column:
-        following = F.lit(None).cast("string")
+        following = F.lit("")  # no state: nothing leads on from here
         for (state, role), to in sorted(automaton.moves.items()):
             following = F.when((acc["state"] == state) & (t["role"] == role), F.lit(to)) \
                 .otherwise(following)
         return F.struct(following.alias("state"), (acc["at"] + 1).alias("at"),
-                        F.when((acc["bad"] < 0) & following.isNull(), acc["at"])
+                        F.when((acc["bad"] < 0) & (following == ""), acc["at"])
                         .otherwise(acc["bad"]).alias("bad"))
     zero = F.struct(F.lit(automaton.start).alias("state"), F.lit(0).alias("at"),
                     F.lit(-1).alias("bad"))
@@ -131,7 +131,7 @@ def format_conversations(rows: DataFrame, template: Template | None = None,
             .select("conv_id", "segments",
                     F.array_join(F.transform("segments", lambda s: s["text"]), "")
                     .alias("formatted"),
-                    (F.coalesce(F.col("state.state"), F.lit("")).isin(*automaton.final)
+                    (F.col("state.state").isin(*automaton.final)
                      & (F.col("state.bad") < 0)).alias("valid"),
                     F.when(F.col("state.bad") >= 0, F.col("state.bad")).cast("long")
                     .alias("first_error")))

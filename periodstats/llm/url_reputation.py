@@ -69,6 +69,8 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> C
     """struct(rule, verdict) of the longest rule that fits, null if none does."""
     if len(rules) > MOST_RULES:
         raise ValueError(f"at most {MOST_RULES} rules; join a rule table for more")
+    if not rules:
+        return F.lit(None).cast("struct<verdict:string,host:string,path:string,rule:string>")
     known = F.array(*[F.struct(F.lit(v).alias("verdict"), F.lit(h).alias("host"),
                                F.lit(p).alias("path"), F.lit(h + p).alias("rule"))
                       for v, h, p in sorted(rules, key=lambda r: (-len(r[1] + r[2]), r))])
