@@ -51,7 +51,7 @@ class Settings:
     numerator: int = 4            # threshold as a fraction, so that the check is exact
     denominator: int = 5
     tolerance: float = 1e-9       # posterior probability below which a pair is dropped
-    bucket_block: int = 128       # signatures of a block
+    bucket_block: int = 1024      # signatures of a block
     component_block: int = 256    # texts of a block
     component_shingles: int = 400_000
 
