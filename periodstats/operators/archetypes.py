@@ -37,7 +37,7 @@ CLUSTERED = "clustered"
 TOO_FEW_PLAYERS = "insufficient_players_for_clustering"
 TOO_FEW_FEATURES = "insufficient_feature_data"
 NOT_CLUSTERED = "not_clustered"
-ROWS_PER_PARTITION = 500_000  # rows of 5 doubles per K-Means input partition
+KMEANS_PARTS = 4  # K-Means input partitions; fixed, because seeding depends on the layout
 
 
 def validate_cluster_count(n_clusters: int) -> None:
@@ -136,10 +136,11 @@ def cluster_playing_styles(features: DataFrame, season: str, n_clusters: int | N
         .collect()}
     vectors = _vectors(long)
     todo = [p for p in spec.cluster_features if st.get(p, (None,))[0] == CLUSTERED]
-    # one cached input per position, partitioned by its known size: MLlib reads it directly
-    # (no copy per fit) and a small position is not spread over many tiny tasks
+    # one cached input per position, split and sorted by code: the same rows in the same
+    # order whatever the session's shuffle settings, so the same seeds give the same clusters
     data = {p: vectors.where(F.col("position") == p)
-            .repartition(max(1, -(-st[p][1] // ROWS_PER_PARTITION))).cache() for p in todo}
+            .repartition(KMEANS_PARTS, "code").sortWithinPartitions("code").cache()
+            for p in todo}
     for d in data.values():
         d.count()
 
@@ -156,6 +157,8 @@ def cluster_playing_styles(features: DataFrame, season: str, n_clusters: int | N
             cur = best.get(position)
             if cur is None or model.summary.trainingCost < cur.summary.trainingCost:
                 best[position] = model
+    for d in (long, *data.values()):  # what follows is worked out again from the same layout
+        d.unpersist()
     results = []
     for p in todo:
         labels = _labels(p, usable[p], best[p].clusterCenters())

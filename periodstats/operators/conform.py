@@ -19,9 +19,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (DataType, DoubleType, FloatType, LongType, StringType,
+                               StructType)
 
 from ..functions.columns import all_true, label_map
 from ..spec import RAW_SCHEMA, REJECTED_FIELDS, SILVER_FIELDS, Spec
@@ -30,6 +31,18 @@ SILVER_COLUMNS = [n for n, _ in SILVER_FIELDS]
 REJECTED_COLUMNS = [n for n, _ in REJECTED_FIELDS]
 
 
+def _cast(column: str, have: DataType, want: DataType) -> Column:
+    """A value of the wanted type or NULL. A whole number written as ``1000.0`` is one, and
+    NaN stands for a missing value."""
+    c = F.col(column)
+    if isinstance(want, LongType) and isinstance(have, (StringType, DoubleType, FloatType)):
+        number = c.try_cast("double")
+        whole = F.when(number == F.floor(number), number.try_cast("bigint"))
+        return F.coalesce(c.try_cast("bigint"), whole) if isinstance(have, StringType) else whole
+    out = c if have == want else c.try_cast(want)
+    return F.when(~F.isnan(out), out) if isinstance(want, DoubleType) else out
+
+
 def conform(df: DataFrame, schema: StructType = RAW_SCHEMA,
             keep: tuple[str, ...] = ("season", "ingest_seq")) -> DataFrame:
     """Force ``df`` to ``schema``: missing columns become typed NULLs, extra ones are dropped,
@@ -40,10 +53,8 @@ def conform(df: DataFrame, schema: StructType = RAW_SCHEMA,
     for f in schema.fields:
         if f.name not in have:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-        elif have[f.name] == f.dataType:
-            cols.append(F.col(f.name))
         else:
-            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
+            cols.append(_cast(f.name, have[f.name], f.dataType).alias(f.name))
     return df.select(*cols, *[F.col(k) for k in keep if k in have])
 
 

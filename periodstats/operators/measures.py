@@ -25,6 +25,13 @@ def bi_rows(fact: DataFrame, players: DataFrame, teams: DataFrame, seasons: Data
             .join(F.broadcast(pos), "position_key"))
 
 
+def slicer_rows(fact: DataFrame, seasons: DataFrame, positions: DataFrame) -> DataFrame:
+    """fact with season and position only, for measures that name no player or team."""
+    pos = positions.select("position_key", F.col("position_code").alias("position"))
+    return (fact.join(F.broadcast(seasons), "season_key")
+            .join(F.broadcast(pos), "position_key"))
+
+
 def totals(rows: DataFrame, by=("season",)) -> DataFrame:
     """Total Goals = SUM(goals_scored); Total Points = SUM(total_points)."""
     return rows.groupBy(*by).agg(F.sum("goals_scored").cast("bigint").alias("total_goals"),
@@ -39,8 +46,16 @@ def goals_per_90(rows: DataFrame, by=("season",)) -> DataFrame:
 
 
 def top_scorer_points(rows: DataFrame, by=("season",)) -> DataFrame:
-    """MAX(total_points) keeping only the season filter."""
-    return rows.groupBy(*by).agg(F.max("total_points").cast("bigint").alias("top_scorer_points"))
+    """MAX(total_points) keeping only the season filter: other slicers do not change it.
+
+    The maximum per season (one row a season) is given to every group of ``by``; without
+    ``season`` among the slicers it is the maximum of all seasons."""
+    best = F.max("total_points").cast("bigint").alias("top_scorer_points")
+    if "season" not in by:
+        return rows.select(*by).distinct().select(
+            *by, F.lit(rows.agg(best).first()[0]).cast("bigint").alias("top_scorer_points"))
+    return rows.select(*by).distinct().join(rows.groupBy("season").agg(best), "season") \
+        .select(*by, "top_scorer_points")
 
 
 def top_scorer_row(rows: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import quality
 from ..session import scratch_path
 from ..sources import export, landing
-from ..sources.binding import SEASONS
+from ..sources.binding import read_table
 from ..spec import (DIM_PLAYER_FIELDS, DIM_POSITION_FIELDS, DIM_SEASON_FIELDS, DIM_TEAM_FIELDS,
                     FACT_FIELDS, SILVER_FIELDS, B, L, S, struct_of)
 from . import oracle as O
@@ -16,7 +16,7 @@ from .queries_more import _COUNTS_SQL
 from .warehouse import GOLD_TABLES, warehouse
 
 W = O.with_ctes
-_SEASON_LIST = ", ".join(f"('{s}')" for s in SEASONS)
+_SEASON_LIST = "SELECT DISTINCT CAST(year(l_shipdate) AS VARCHAR) AS season FROM lineitem"
 _KINDS = ", ".join(f"('{k}')" for k in landing.RAW_FILES)
 
 
@@ -31,7 +31,7 @@ def bronze_files(spark, sf):
 
 @register("bronze_manifest", [("season", S), ("files", S), ("source", S)],
           f"SELECT season, '{','.join(sorted(landing.RAW_FILES))}' AS files, "
-          f"'{landing.SOURCE}' AS source FROM (VALUES {_SEASON_LIST}) v(season)")
+          f"'{landing.SOURCE}' AS source FROM ({_SEASON_LIST}) v")
 def bronze_manifest(spark, sf):
     _, bronze = warehouse(spark, sf).landing()
     return landing.manifest(spark, bronze).select("season", "files", "source")
@@ -39,10 +39,24 @@ def bronze_manifest(spark, sf):
 
 @register("arrival_check", [("season", S), ("file", S), ("present", B), ("non_empty", B)],
           f"SELECT season, file, true AS present, true AS non_empty "
-          f"FROM (VALUES {_SEASON_LIST}) s(season), (VALUES {_KINDS}) k(file)")
+          f"FROM ({_SEASON_LIST}) s, (VALUES {_KINDS}) k(file)")
 def arrival_check(spark, sf):
     raw, _ = warehouse(spark, sf).landing()
-    return landing.arrival_check(spark, raw, SEASONS)
+    seasons = [r["season"] for r in warehouse(spark, sf).read("raw_teams")
+               .select("season").distinct().collect()]  # one row a season
+    return landing.arrival_check(spark, raw, sorted(seasons))
+
+
+@register("season_coverage", [("season", S), ("lineitem_rows", L), ("rows_without_season", L)], """
+SELECT CAST(year(l_shipdate) AS VARCHAR) AS season, count(*) AS lineitem_rows,
+       (SELECT count(*) FROM lineitem WHERE l_shipdate IS NULL) AS rows_without_season
+FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1""")
+def season_coverage(spark, sf):
+    """Lines that reached each season's supplier-year rows, and lines without a date."""
+    dateless = read_table(spark, sf, "lineitem").filter("l_shipdate is null").count()
+    years = warehouse(spark, sf).supplier_years()
+    return years.groupBy(F.col("yr").cast("string").alias("season")).agg(
+        F.sum("n").alias("lineitem_rows"), F.lit(dateless).cast("long").alias("rows_without_season"))
 
 
 _NO_SEQ = [f for f in SILVER_FIELDS if f[0] != "ingest_seq"]

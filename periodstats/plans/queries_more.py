@@ -423,11 +423,16 @@ def _bi(spark, sf):
                             g["dim_season"], g["dim_position"])
 
 
+def _slim(spark, sf):
+    g = warehouse(spark, sf).gold()
+    return measures.slicer_rows(g["fact_player_season_stats"], g["dim_season"], g["dim_position"])
+
+
 @register("measure_totals", [("season", S), ("total_goals", L), ("total_points", L)], W(BI, """
 SELECT season, sum(goals_scored) AS total_goals, sum(total_points) AS total_points
 FROM bi GROUP BY season"""))
 def measure_totals(spark, sf):
-    return measures.totals(_bi(spark, sf))
+    return measures.totals(_slim(spark, sf))
 
 
 @register("measure_goals_per_90", [("season", S), ("position", S), ("goals_per_90", D)],
@@ -436,13 +441,27 @@ SELECT season, position,
   coalesce(sum(goals_scored) / (sum(minutes) / 90.0::DOUBLE), 0.0::DOUBLE) AS goals_per_90
 FROM bi GROUP BY season, position"""))
 def measure_goals_per_90(spark, sf):
-    return measures.goals_per_90(_bi(spark, sf), by=("season", "position"))
+    return measures.goals_per_90(_slim(spark, sf), by=("season", "position"))
 
 
 @register("measure_top_scorer", [("season", S), ("top_scorer_points", L)], W(BI, """
 SELECT season, max(total_points) AS top_scorer_points FROM bi GROUP BY season"""))
 def measure_top_scorer(spark, sf):
-    return measures.top_scorer_points(_bi(spark, sf))
+    return measures.top_scorer_points(_slim(spark, sf))
+
+
+@register("measure_top_scorer_sliced", [("season", S), ("position", S), ("top_scorer_points", L)],
+          W(BI, """
+SELECT DISTINCT season, position, max(total_points) OVER (PARTITION BY season) AS top_scorer_points
+FROM bi"""))
+def measure_top_scorer_sliced(spark, sf):
+    return measures.top_scorer_points(_slim(spark, sf), by=("season", "position"))
+
+
+@register("measure_grand_totals", [("total_goals", L), ("total_points", L)], W(BI, """
+SELECT sum(goals_scored) AS total_goals, sum(total_points) AS total_points FROM bi"""))
+def measure_grand_totals(spark, sf):
+    return measures.totals(_slim(spark, sf), by=())
 
 
 @register("top_scorer_row", [("season", S), ("web_name", S), ("total_points", L)], W(BI, """
@@ -462,7 +481,7 @@ SELECT c.season, c.start_year, c.season_points, p.season_points AS previous_seas
   c.season_points - coalesce(p.season_points, 0) AS points_change
 FROM cur c LEFT JOIN cur p ON p.start_year = c.start_year - 1"""))
 def measure_sos_change(spark, sf):
-    return measures.season_over_season(_bi(spark, sf))
+    return measures.season_over_season(_slim(spark, sf))
 
 
 @register("measure_value_rank", [("fact_id", L), ("season", S), ("code", L), ("value", D),

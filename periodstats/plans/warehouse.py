@@ -43,16 +43,18 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str | None, root: str | None = None,
                  spec: Spec = Spec(), frames: list[DataFrame] | None = None,
                  teams: DataFrame | None = None, raw_root: str | None = None,
-                 seasons: list[str] | None = None):
+                 seasons: list[str] | None = None, source: str | None = None):
         """Raw input, in order of precedence:
         * ``raw_root`` + ``seasons``: season files on disk (``<raw_root>/<season>/
           players_raw.csv`` and ``teams.csv``), landed into Bronze and parsed per layout;
         * ``frames``/``teams``: per-layout player frames with ``season`` and ``ingest_seq``,
           and team files with ``season, id, name``;
-        * otherwise the TPC-H binding of ``sf_dir``."""
+        * otherwise the TPC-H binding of ``sf_dir``.
+        ``source`` is what the manifest says of landed files (default: where they came from)."""
         self.spark, self.sf_dir, self.spec = spark, sf_dir, spec
         self._frames, self._teams = frames, teams
         self.raw_root, self.seasons = raw_root, seasons
+        self.source = source or (raw_root if raw_root is not None else landing.SOURCE)
         self.root = root or scratch_path(spark, "warehouse")
         self._built: set[str] = set()
         self._lock = threading.RLock()
@@ -64,7 +66,8 @@ class Warehouse:
         builds its own Gold and Features (a Gold rebuild from the same Silver)."""
         self._ensure("silver")
         child = Warehouse(self.spark, self.sf_dir, spec=self.spec, frames=self._frames,
-                          teams=self._teams, raw_root=self.raw_root, seasons=self.seasons)
+                          teams=self._teams, raw_root=self.raw_root, seasons=self.seasons,
+                          source=self.source)
         for name in ("raw_rows", "raw_teams", "silver_status"):
             child._shared[name] = self.path(name)
         child._shared["bronze"] = self.path("bronze")
@@ -78,7 +81,7 @@ class Warehouse:
             return [landing.bronze_rows(self.spark, bronze, landing.PLAYERS)]
         if self._frames is not None:
             return self._frames
-        return binding.raw_season_frames(self.spark, self.sf_dir)
+        return binding.raw_season_frames(self.supplier_years())
 
     def team_files(self) -> DataFrame:
         if self.raw_root is not None:
@@ -87,7 +90,16 @@ class Warehouse:
             return t.select("season", F.col("id").try_cast("bigint").alias("id"), "name")
         if self._teams is not None:
             return self._teams
-        return binding.team_files(self.spark, self.sf_dir)
+        return binding.team_files(self.spark, self.sf_dir, self.supplier_years())
+
+    def supplier_years(self) -> DataFrame:
+        """The aggregated lineitem table of the binding, written once per run."""
+        with self._lock:
+            path = self.path("supplier_years")
+            if "supplier_years" not in self._built:
+                binding.supplier_years(self.spark, self.sf_dir).write.mode("overwrite").parquet(path)
+                self._built.add("supplier_years")
+        return self.spark.read.parquet(path)
 
     def conformed(self) -> DataFrame:
         """Raw rows of all seasons in the Silver layout (read from the materialised raw rows)."""
@@ -137,8 +149,8 @@ class Warehouse:
                 f.result()
 
     def _build_raw(self) -> None:
-        # the raw season rows conformed to one schema: the lineitem scan and aggregation run
-        # once here; every later pass reads this (much smaller) table
+        # the raw season rows conformed to one schema; lineitem is read once, for the
+        # supplier-year table below them
         self._parallel({"raw_rows": silver_ops.union_seasons(self.raw_frames()),
                         "raw_teams": self.team_files()})
 
@@ -192,8 +204,10 @@ class Warehouse:
             seasons = [str(s) for s in seasons]
             if self.raw_root is not None:
                 self._built.discard("landing")
-                landing.land(self.spark, self.raw_root, self.path("bronze"), seasons)
+                landing.land(self.spark, self.raw_root, self.path("bronze"), seasons,
+                             self.source)
                 self._built.add("landing")
+            self._built.discard("supplier_years")
             raw = silver_ops.union_seasons(self.raw_frames()) \
                 .where(F.col("season").isin(seasons))
             raw.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
@@ -210,7 +224,8 @@ class Warehouse:
         with self._lock:
             if "landing" not in self._built:
                 if self.raw_root is not None:   # files already on disk: land them as they are
-                    landing.land(self.spark, self.raw_root, self.path("bronze"), self.seasons)
+                    landing.land(self.spark, self.raw_root, self.path("bronze"), self.seasons,
+                                 self.source)
                     self._built.add("landing")
                     return self.raw_root, self.path("bronze")
                 frames = self._frames if self._frames is not None else \
@@ -218,7 +233,8 @@ class Warehouse:
                 landing.write_raw_files(frames, self.read("raw_teams"), self.path("raw"))
                 seasons = [r.season for r in self.team_files().select("season").distinct()
                            .collect()]  # one row per configured season
-                landing.land(self.spark, self.path("raw"), self.path("bronze"), sorted(seasons))
+                landing.land(self.spark, self.path("raw"), self.path("bronze"), sorted(seasons),
+                             self.source)
                 self._built.add("landing")
         return (self.raw_root or self.path("raw")), self.path("bronze")
 

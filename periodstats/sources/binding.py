@@ -17,9 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed binding parameters: the configured seasons and the season whose file layout
-# first carries ``starts`` and the expected-goal columns.
-SEASONS = tuple(range(1995, 2002))
+# Fixed binding parameter: the season whose file layout first carries ``starts`` and the
+# expected-goal columns. The seasons themselves are the years that occur in the data.
 LAYOUT_CHANGE_YEAR = 1998
 N_TEAMS = 25
 
@@ -41,13 +40,11 @@ def _cnt(cond: Column) -> Column:
     return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
 
 
-def _ts(year: int) -> Column:
-    return F.expr(f"TIMESTAMP_NTZ '{year}-01-01 00:00:00'")
+def supplier_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (supplier, year of any shipped line); the only pass over lineitem.
 
-
-def _supplier_years(spark: SparkSession, sf_dir: str, first: int, last: int) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").where(
-        (F.col("l_shipdate") >= _ts(first)) & (F.col("l_shipdate") < _ts(last + 1)))
+    A line without a date belongs to no season; ``season_coverage`` counts such lines."""
+    li = read_table(spark, sf_dir, "lineitem").where(F.col("l_shipdate").isNotNull())
     disc, tax = _dec(F.col("l_discount")), _dec(F.col("l_tax"))
     agg = li.groupBy(
         F.col("l_suppkey").alias("code"),
@@ -145,22 +142,15 @@ def _player_columns(df: DataFrame, with_new_columns: bool) -> DataFrame:
     })
 
 
-def raw_season_frames(spark: SparkSession, sf_dir: str, seasons=SEASONS) -> list[DataFrame]:
+def raw_season_frames(years: DataFrame) -> list[DataFrame]:
     """Raw player rows, one frame per file layout, each with its own column set.
 
     Seasons before ``LAYOUT_CHANGE_YEAR`` physically lack ``starts`` and the three
-    expected-goal columns, exactly as old season files do. The layout split is a range
-    filter on ``l_shipdate``, pushed to the Parquet scan.
+    expected-goal columns, exactly as old season files do. ``years`` is the written
+    supplier-year table, so splitting it by layout reads no lineitem row again.
     """
-    first, last = min(seasons), max(seasons)
-    frames = []
-    for lo, hi, new_cols in ((first, LAYOUT_CHANGE_YEAR - 1, False),
-                             (LAYOUT_CHANGE_YEAR, last, True)):
-        lo, hi = max(lo, first), min(hi, last)
-        if lo > hi:
-            continue
-        frames.append(_player_columns(_supplier_years(spark, sf_dir, lo, hi), new_cols))
-    return frames
+    return [_player_columns(years.where(F.col("yr") < LAYOUT_CHANGE_YEAR), False),
+            _player_columns(years.where(F.col("yr") >= LAYOUT_CHANGE_YEAR), True)]
 
 
 NEW_COLUMNS = ("starts", "expected_goals", "expected_assists", "expected_goal_involvements")
@@ -175,13 +165,14 @@ def layout_frames(rows: DataFrame) -> list[DataFrame]:
     return [old, new]
 
 
-def team_files(spark: SparkSession, sf_dir: str, seasons=SEASONS) -> DataFrame:
+def team_files(spark: SparkSession, sf_dir: str, years: DataFrame) -> DataFrame:
     """Per-season team lookup (``season, id, name``): raw team ids are re-used each season.
 
-    Built from ``nation`` (a fixed 25 rows) with one generated row per configured season.
+    Built from ``nation`` (a fixed 25 rows) with one generated row per season that occurs.
     """
     nat = read_table(spark, sf_dir, "nation")
-    yr = F.explode(F.array(*[F.lit(int(s)) for s in seasons])).alias("yr")
+    seasons = sorted(r["yr"] for r in years.select("yr").distinct().collect())  # one row a year
+    yr = F.explode(F.array(*[F.lit(int(s)) for s in seasons]).cast("array<int>")).alias("yr")
     per_season = nat.select("n_nationkey", "n_name", yr)
     return per_season.select(
         F.col("yr").cast("string").alias("season"),

@@ -25,7 +25,7 @@ def export_tables(tables: dict[str, DataFrame], out_dir: str,
         w = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         w = w.coalesce(1) if name in SMALL_TABLES else w
         path = f"{out_dir}/{name}.csv"
-        w.write.mode("overwrite").option("header", True).csv(path)
+        w.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
         paths[name] = path
         if counts is not None:
             counts[name] = int(obs.get["rows"])
@@ -33,7 +33,7 @@ def export_tables(tables: dict[str, DataFrame], out_dir: str,
 
 
 def read_exported(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.option("header", True).schema(schema).csv(path)
+    return spark.read.option("header", True).option("escape", '"').schema(schema).csv(path)
 
 
 def count_rows(tables: dict[str, DataFrame]) -> DataFrame:

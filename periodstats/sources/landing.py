@@ -124,7 +124,8 @@ def numbered_lines(spark: SparkSession, raw_root: str, seasons) -> DataFrame:
                       "line")
 
 
-def land(spark: SparkSession, raw_root: str, bronze_root: str, seasons) -> DataFrame:
+def land(spark: SparkSession, raw_root: str, bronze_root: str, seasons,
+         source: str = SOURCE) -> DataFrame:
     """Land all seasons' raw files into Bronze (lines + files); returns the manifest."""
     check = arrival_check(spark, raw_root, seasons)
     bad = check.where(~F.col("present") | ~F.col("non_empty")) \
@@ -148,7 +149,7 @@ def land(spark: SparkSession, raw_root: str, bronze_root: str, seasons) -> DataF
         .alias("fingerprint"),
         F.max("ingested_at").alias("ingested_at"))
     meta = _file_meta(spark, raw_root).select("path", "length", "modificationTime")
-    files = per_file.join(meta, "path", "left").withColumn("source", F.lit(SOURCE))
+    files = per_file.join(meta, "path", "left").withColumn("source", F.lit(source))
     files.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("season").parquet(f"{bronze_root}/files")
     return manifest(spark, bronze_root)
@@ -205,7 +206,7 @@ def bronze_rows(spark: SparkSession, bronze_root: str, kind: str = PLAYERS) -> D
     for header in layouts:
         schema = ", ".join(f"`{n}` STRING" for n in header_names(header))
         parsed = lines.where(F.col("header") == header).select(
-            "season", "__file", "line_no", F.from_csv("line", schema).alias("r"))
+            "season", "__file", "line_no", F.from_csv("line", schema, {"escape": '"'}).alias("r"))
         parts.append(parsed.select("season", "__file", "line_no", "r.*"))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return rows.withColumn(

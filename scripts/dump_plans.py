@@ -13,6 +13,7 @@ from periodstats.operators import conform, features, star  # noqa: E402
 from periodstats.plans import catalog  # noqa: E402
 from periodstats.plans.warehouse import warehouse  # noqa: E402
 from periodstats.session import local_session  # noqa: E402
+from periodstats.sources import binding  # noqa: E402
 
 QUERIES = ["discovery_topn", "position_zscores", "measure_value_rank", "top_scorer_row",
            "season_leaders", "history_sequence", "orphans_by_fk", "transfer_history",
@@ -33,9 +34,8 @@ def main() -> None:
     wh.build_all()
     g = wh.gold()
     layers = {
-        "layer_raw_rows": conform.union_seasons(
-            __import__("periodstats.sources.binding", fromlist=["x"])
-            .raw_season_frames(spark, sf)),
+        "layer_supplier_years": binding.supplier_years(spark, sf),
+        "layer_raw_rows": conform.union_seasons(wh.raw_frames()),
         "layer_silver_status": conform.silver_status(wh.conformed()),
         "layer_fact": star.fact_table(wh.silver(), g["dim_player"], g["dim_team"],
                                       g["dim_season"], g["dim_position"]),
