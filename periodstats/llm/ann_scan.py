@@ -41,11 +41,11 @@ class Settings:
     sample_rows: int = 20_000     # bound of the fitting sample
     most_lists: int = 4_096
     rows_per_list: int = 400      # lists wanted: rows / rows_per_list, within most_lists
-    probes: float = 0.35          # share of the lists, at least least_probes
-    least_probes: int = 12
-    most_probes: int = 64
+    probes: float = 0.6           # share of the lists, at least least_probes
+    least_probes: int = 24
+    most_probes: int = 1024
     block: int = 16               # dimensions summed between two tests
-    epsilon: float = 2.1          # confidence of the test
+    epsilon: float = 3.0          # confidence of the test
     shard_rows: int = 8_192
     query_rows: int = 2_048
     rounds: int = 12              # of k-means
