@@ -10,14 +10,23 @@ from pyspark.sql import functions as F
 
 def orphans(rows: DataFrame, checks: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
     """Per check name: rows of ``rows`` whose ``row_key`` finds no ``dim_key`` in the
-    dimension (a NULL key is an orphan). ``checks``: name -> (dimension, row_key, dim_key)."""
-    parts = []
-    for name, (dim, row_key, dim_key) in checks.items():
-        d = dim.select(F.col(dim_key).alias("__k")).distinct()
-        missing = rows.select(F.col(row_key).alias("__k")).join(d, "__k", "left_anti")
-        parts.append(missing.agg(F.count(F.lit(1)).cast("bigint").alias("orphan_rows"))
-                     .select(F.lit(name).alias("fk"), "orphan_rows"))
-    return reduce(DataFrame.unionByName, parts)
+    dimension (a NULL key is an orphan). ``checks``: name -> (dimension, row_key, dim_key).
+
+    One scan of ``rows``: its keys are counted per (check, key) with a partial aggregate, so
+    the anti-join sees each key once however many rows carry it."""
+    keys = F.explode(F.array(*[F.struct(F.lit(name).alias("fk"),
+                                        F.col(row_key).cast("string").alias("key"))
+                               for name, (_, row_key, _) in checks.items()]))
+    used = rows.select(keys.alias("u")).groupBy("u.fk", "u.key") \
+        .agg(F.count(F.lit(1)).alias("orphan_rows"))
+    known = reduce(DataFrame.unionByName, [
+        dim.select(F.lit(name).alias("fk"), F.col(dim_key).cast("string").alias("key"))
+        for name, (dim, _, dim_key) in checks.items()])
+    none = rows.sparkSession.createDataFrame([(name, 0) for name in checks],
+                                             "fk string, orphan_rows bigint")
+    return used.join(known, ["fk", "key"], "left_anti").select("fk", "orphan_rows") \
+        .unionByName(none).groupBy("fk") \
+        .agg(F.sum("orphan_rows").cast("bigint").alias("orphan_rows"))
 
 
 def assert_no_orphans(counts: DataFrame) -> None:
@@ -71,6 +80,7 @@ def team_changes(features: DataFrame) -> DataFrame:
 
 
 def table_diff(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows in one table but not the other (multiset), as one count."""
-    return a.exceptAll(b).unionByName(b.exceptAll(a)).agg(
-        F.count(F.lit(1)).cast("bigint").alias("diff_rows"))
+    """Rows in one table but not the other (multiset), as one count (one aggregate)."""
+    both = a.withColumn("__side", F.lit(1)).unionByName(b.withColumn("__side", F.lit(-1)))
+    net = both.groupBy(*a.columns).agg(F.sum("__side").alias("__net"))
+    return net.agg(F.coalesce(F.sum(F.abs("__net")), F.lit(0)).cast("bigint").alias("diff_rows"))

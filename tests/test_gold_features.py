@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from periodstats.operators import features as feature_ops
@@ -20,8 +21,8 @@ def test_star_schema_tables_and_counts(spark, synthetic):
     wh = _wh(spark, synthetic)
     gold = wh.gold()
     counts = {t: gold[t].count() for t in GOLD_TABLES}
-    assert counts == {"dim_player": 16, "dim_team": 5, "dim_season": 2, "dim_position": 4,
-                      "fact_player_season_stats": 32}
+    assert counts == {"dim_player": 12, "dim_team": 3, "dim_season": 2, "dim_position": 4,
+                      "fact_player_season_stats": 17}
     fact = gold["fact_player_season_stats"]
     orph = {r.fk: r.orphan_rows for r in quality.orphans(fact, {
         "player": (gold["dim_player"], "player_key", "player_key"),
@@ -30,7 +31,7 @@ def test_star_schema_tables_and_counts(spark, synthetic):
         "position": (gold["dim_position"], "position_key", "position_key")}).collect()}
     assert orph == {"player": 0, "team": 0, "season": 0, "position": 0}
     ids = sorted(r.fact_id for r in fact.select("fact_id").collect())
-    assert ids == list(range(1, 33))
+    assert ids == list(range(1, 18))
     for name, df in gold.items():
         df.createOrReplaceTempView(name)
     assert set(GOLD_TABLES) <= {t.name for t in spark.catalog.listTables()}
@@ -40,26 +41,48 @@ def test_feature_columns_and_values(spark, synthetic):
     feats = _wh(spark, synthetic).features()
     assert feats.columns == [n for n, _ in FEATURE_FIELDS] and len(feats.columns) == 63
     r = {(x.code, x.season): x for x in feats.collect()}
-    assert len(r) == 32
-    a, b = r[(1020, "2019-20")], r[(1020, "2023-24")]
+    assert len(r) == 17
+    a, b = r[(403, "2019-20")], r[(403, "2023-24")]
     assert a.goals_per_90 == a.goals_scored / (a.minutes / 90.0)
-    assert abs(a.goals_per_90 - 0.18) < 1e-12
-    assert a.cost_millions == 5.0 and a.points_per_million == 18.0
-    assert a.goals_minus_xg is None and abs(b.goals_minus_xg - 0.3) < 1e-12
+    assert abs(a.goals_per_90 - 0.1) < 1e-12
+    assert a.cost_millions == 4.8 and a.points_per_million == 20.0
+    assert a.goals_minus_xg is None and b.goals_minus_xg == 0.25
     assert a.points_per_game_prev_season is None
     assert b.points_per_game_prev_season == a.points_per_game
-    assert b.points_per_game_yoy_change == 0.0
-    assert a.points_consistency_std is None and b.points_consistency_std == 0.0
-    assert a.goals_per_90_trend_slope is None and b.goals_per_90_trend_slope == 0.0
+    assert abs(b.points_per_game_yoy_change + 0.4) < 1e-12
+    assert a.points_consistency_std is None
+    assert abs(b.points_consistency_std - 0.4 / 2 ** 0.5) < 1e-12
+    assert a.goals_per_90_trend_slope is None and abs(b.goals_per_90_trend_slope + 0.06) < 1e-12
     assert (a.seasons_of_history, b.seasons_of_history) == (1, 2)
     assert (a.has_previous_season, b.has_previous_season) == (False, True)
     assert (a.has_xg_data, b.has_xg_data) == (False, True)
+    idle = r[(402, "2023-24")]  # no minutes: rates are undefined, not zero
+    assert idle.minutes == 0 and idle.goals_per_90 is None and idle.points_per_90 is None
+    assert idle.goals_minus_xg == -0.25 and idle.goals_minus_xg_per_90 is None
 
 
 def test_history_order(spark, synthetic):
     feats = _wh(spark, synthetic).features()
     seq = quality.history_sequence(feats).collect()
-    assert len(seq) == 16 and all(r.history_ok and r.n_seasons == 2 for r in seq)
+    assert len(seq) == 12 and all(r.history_ok for r in seq)
+    assert {r.code for r in seq if r.n_seasons == 2} == {401, 403, 406, 407, 410}
+
+
+def test_integrity_gate_raises_on_planted_orphans(spark):
+    rows = spark.createDataFrame([(1, 5), (1, 6), (9, 5), (None, 5)], "a bigint, b bigint")
+    dim = spark.createDataFrame([(1,), (5,), (5,), (6,)], "k bigint")
+    counts = quality.orphans(rows, {"a": (dim, "a", "k"), "b": (dim, "b", "k")})
+    assert {r.fk: r.orphan_rows for r in counts.collect()} == {"a": 2, "b": 0}
+    with pytest.raises(AssertionError):
+        quality.assert_no_orphans(counts)
+
+
+def test_table_diff_counts_copies(spark):
+    a = spark.createDataFrame([(1, None), (1, None), (2, "x")], "k int, v string")
+    b = spark.createDataFrame([(1, None), (3, "x")], "k int, v string")
+    assert quality.table_diff(a, b).first().diff_rows == 3
+    assert quality.table_diff(a, a.limit(0)).first().diff_rows == 3
+    assert quality.table_diff(a.limit(0), a.limit(0)).first().diff_rows == 0
 
 
 def test_trend_slope_matches_least_squares_with_gaps(spark):
@@ -97,10 +120,10 @@ def test_reload_one_season_swaps_only_that_season(spark, synthetic):
     wh._frames = [frames[0], changed]          # new files arrived for 2023-24
     wh.reload_seasons(["2023-24"])
     after = {(r.code, r.season): r.minutes for r in wh.silver().collect()}
-    assert len(after) == 32 and wh.rejected().count() == 0
+    assert len(after) == 17 and wh.rejected().count() == 0
     assert all(after[k] == before[k] + (1 if k[1] == "2023-24" else 0) for k in before)
     fact = wh.read("fact_player_season_stats")
-    assert fact.count() == 32 and fact.agg(F.sum("minutes")).first()[0] == sum(after.values())
+    assert fact.count() == 17 and fact.agg(F.sum("minutes")).first()[0] == sum(after.values())
     wh.reload_seasons(["2023-24"])              # idempotent
     assert {(r.code, r.season): r.minutes for r in wh.silver().collect()} == after
 
@@ -119,7 +142,7 @@ def test_bi_export_round_trips_every_table(spark, synthetic):
         back = export.read_exported(spark, path, struct_of(schemas[name]))
         assert quality.table_diff(gold[name], back).first().diff_rows == 0, name
     counts = {r.table_name: r.rows for r in export.count_rows(gold).collect()}
-    assert counts["fact_player_season_stats"] == 32 and counts["dim_position"] == 4
+    assert counts["fact_player_season_stats"] == 17 and counts["dim_position"] == 4
 
 
 def test_export_counts_rows_while_writing(spark, synthetic):
@@ -128,5 +151,5 @@ def test_export_counts_rows_while_writing(spark, synthetic):
     gold = _wh(spark, synthetic).gold()
     counts: dict[str, int] = {}
     export.export_tables(gold, scratch_path(spark, "t-export"), counts)
-    assert counts == {"dim_player": 16, "dim_team": 5, "dim_season": 2, "dim_position": 4,
-                      "fact_player_season_stats": 32}
+    assert counts == {"dim_player": 12, "dim_team": 3, "dim_season": 2, "dim_position": 4,
+                      "fact_player_season_stats": 17}

@@ -25,16 +25,17 @@ def test_end_to_end_run(spark):
     metrics = {(r.stage, r.metric): r.value
                for r in runner.run(spark, None, "2023-24", spec, wh=wh).collect()}
     assert metrics[("silver", "seasons_processed")] == 5
-    assert metrics[("silver", "total_clean_rows")] == 80
+    assert metrics[("silver", "total_clean_rows")] == 7 + 4 * 10
     assert metrics[("silver", "total_rejected_rows")] == 0
-    assert metrics[("gold", "fact_player_season_stats_rows")] == 80
+    assert metrics[("gold", "fact_player_season_stats_rows")] == 47
     assert metrics[("gold", "orphaned_fact_rows")] == 0
-    assert metrics[("features", "feature_rows")] == 80
-    assert metrics[("ml", "clustered_players")] == 16
+    assert metrics[("features", "feature_rows")] == 47
+    assert metrics[("ml", "clustered_players")] == 4  # the others' groups are too small
     hist = {r.code: r.n_seasons for r in
             __import__("periodstats.operators.quality", fromlist=["x"])
             .history_sequence(wh.features()).collect()}
-    assert set(hist.values()) == {5}
+    assert hist == dict.fromkeys((401, 403, 406, 407, 410), 5) | dict.fromkeys(
+        (402, 405, 408, 409, 411), 4) | {404: 1, 412: 1}
     files = {(r.season, r.file) for r in
              spark.read.parquet(wh.path("bronze") + "/files").select("season", "file").distinct().collect()}
     assert len(files) == 10

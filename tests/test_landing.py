@@ -91,32 +91,32 @@ def test_season_file_tree_runs_every_layer(spark):
     """A tree of season folders with players_raw.csv / teams.csv, as the reference lands it,
     goes through Bronze, Silver, Gold and Features unchanged."""
     import csv
-    from fixtures import SEASONS, TEAM_NAMES, _player
+    from fixtures import CLUBS, SEASONS, raw_rows
     from periodstats.plans.warehouse import Warehouse
     raw = scratch_path(spark, "t-tree")
     for s in SEASONS:
         d = os.path.join(as_local_path(raw), s)
         os.makedirs(d)
-        rows = [_player(s, e, i) for e in range(1, 5) for i in range(4)]
+        rows = raw_rows(s)
         with open(os.path.join(d, "players_raw.csv"), "w", newline="") as f:
             w = csv.DictWriter(f, fieldnames=list(rows[0]))
             w.writeheader()
             w.writerows(rows)
         with open(os.path.join(d, "teams.csv"), "w") as f:
             f.write("id,name\n" + "".join(
-                f"{k},{v[s] if isinstance(v, dict) else v}\n" for k, v in TEAM_NAMES.items()))
+                f"{k},{v}\n" for k, v in CLUBS[s].items()))
     wh = Warehouse(spark, None, raw_root=raw, seasons=SEASONS)
     feats = {(r.code, r.season): r for r in wh.features().collect()}
-    assert len(feats) == 32 and wh.rejected().count() == 0
-    a, b = feats[(1020, "2019-20")], feats[(1020, "2023-24")]
-    assert abs(a.goals_per_90 - 0.18) < 1e-12 and a.goals_minus_xg is None
-    assert abs(b.goals_minus_xg - 0.3) < 1e-12 and b.seasons_of_history == 2
+    assert len(feats) == 17 and wh.rejected().count() == 0
+    a, b = feats[(403, "2019-20")], feats[(403, "2023-24")]
+    assert abs(a.goals_per_90 - 0.1) < 1e-12 and a.goals_minus_xg is None
+    assert b.goals_minus_xg == 0.25 and b.seasons_of_history == 2
     names = {(r.season, r.team_name) for r in wh.silver().where("team = 1").collect()}
-    assert names == {("2019-20", "Old Town"), ("2023-24", "New Town")}
+    assert names == {("2019-20", "Ashford"), ("2023-24", "Corby")}
     wh.reload_seasons([SEASONS[0]])  # landing a season again replaces it, nothing doubles
     assert landing.read_files(spark, wh.path("bronze")).count() == 4
-    assert landing.read_lines(spark, wh.path("bronze")).count() == 2 * (17 + 5)
-    assert wh.silver().count() == 32 and wh.features().count() == 32
+    assert landing.read_lines(spark, wh.path("bronze")).count() == (1 + 7) + (1 + 10) + 2 * (1 + 3)
+    assert wh.silver().count() == 17 and wh.features().count() == 17
 
 
 def test_quoted_fields_and_bom(spark):

@@ -1,115 +1,124 @@
-"""Scoring and clustering: the reference's ML assertions, restated on Spark."""
+"""Scoring and clustering on ten midfielders of three known styles (``fixtures.MIDFIELD``)."""
 
 from __future__ import annotations
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fixtures import feature_rows
+from fixtures import CREATORS, FINISHERS, NEW, WORKERS, feature_rows
 from periodstats.operators import archetypes, scoring
 from periodstats.spec import Spec
 
 FAST = Spec(kmeans_restarts=2)  # fewer restarts only to keep unit tests short
 
 
-def test_validate_cluster_count():
-    for k in (3, 4, 5):
-        archetypes.validate_cluster_count(k)
-    for k in (2, 6):
-        with pytest.raises(ValueError):
-            archetypes.validate_cluster_count(k)
-
-
-def _z(spark, values):
-    df = spark.createDataFrame([("2023-24", "MID", float(v) if v is not None else None, i)
-                                for i, v in enumerate(values)],
-                               "season string, position string, x double, i int")
-    return [r.z for r in scoring.with_zscores(df, {"z": "x"}).orderBy("i").collect()]
-
-
-def test_position_zscore_constant_and_zero_mean(spark):
-    assert _z(spark, [5.0, 5.0, 5.0]) == [0.0, 0.0, 0.0]
-    z = _z(spark, [1.0, 2.0, 3.0, 4.0])
-    assert np.isclose(np.mean(z), 0.0) and max(z) > 0 and min(z) < 0
-    assert _z(spark, [None, None]) == [0.0, 0.0]  # empty group: 0.0 for every row
-    assert _z(spark, [1.0, None, 3.0])[1] is None
-
-
-def test_missing_columns_fail_clearly(spark, sample_features):
-    with pytest.raises(ValueError, match="missing"):
-        scoring.validate_required_columns(sample_features.select("season"),
-                                          ["season", "minutes"])
-    with pytest.raises(ValueError, match="missing"):
-        archetypes.cluster_playing_styles(sample_features.drop("creativity_per_90"),
-                                          "2023-24", 3, FAST)
-
-
-def test_cluster_output_columns_and_ids(spark, sample_features):
-    out = archetypes.cluster_playing_styles(sample_features, "2023-24", 4, FAST).collect()
-    assert len(out) == 8
-    assert all(0 <= r.cluster <= 3 and r.cluster_label for r in out)
-    assert {r.cluster for r in out} == {0, 1, 2, 3}
-
-
-def test_cluster_count_respected(spark, sample_features):
-    out = archetypes.cluster_playing_styles(sample_features, "2023-24", 3, FAST)
-    assert {r.cluster for r in out.collect()} == {0, 1, 2}
-    labels = {r.cluster_label for r in out.collect()}
-    assert all(lbl.startswith("MID_") and lbl.endswith("_profile") for lbl in labels)
+def _styles(df, k):
+    return archetypes.cluster_playing_styles(df, NEW, k, FAST).collect()
 
 
-def test_clustering_respects_minimum_minutes(spark, sample_features):
-    df = sample_features.withColumn("minutes", F.when(F.col("code") < 1003, 500)
-                                    .otherwise(F.col("minutes")))
-    out = archetypes.cluster_playing_styles(df, "2023-24", 3, FAST).collect()
-    assert len(out) == 5 and all(r.minutes >= 1000 for r in out)
+def _scores(df, n=50, season=NEW):
+    return scoring.detect_value_outliers(df, season, n).collect()
 
 
-def test_too_few_players_keep_rows(spark, sample_features):
-    small = sample_features.where("code < 1002")
-    out = archetypes.cluster_playing_styles(small, "2023-24", 3, FAST).collect()
-    assert len(out) == 2
-    assert {(r.cluster, r.cluster_label) for r in out} == {
-        (-1, archetypes.TOO_FEW_PLAYERS)}
-
-
-def test_empty_season_keeps_output_schema(spark, sample_features):
-    out = scoring.detect_value_outliers(sample_features, "1990-91", 5)
-    assert out.count() == 0 and "discovery_score" in out.columns
-
-
-def test_outlier_scores_sorted(spark, sample_features):
-    out = scoring.detect_value_outliers(sample_features, "2023-24", 5).collect()
-    assert len(out) == 5
-    s = [r.discovery_score for r in out]
-    assert s == sorted(s, reverse=True)
-
-
-def test_hidden_gem_rewards_low_ownership(spark, sample_features):
-    df = sample_features.withColumns({
-        "points_per_million": F.when(F.col("code") == 1000, 100.0)
-        .otherwise(F.col("points_per_million")),
-        "selected_by_percent": F.when(F.col("code") == 1000, 0.1)
-        .otherwise(F.col("selected_by_percent"))})
-    out = scoring.detect_value_outliers(df, "2023-24", 8).collect()
-    assert out[0].web_name == "Player 0"
-
-
-def test_no_false_overperformance_without_xg(spark, sample_features):
-    df = sample_features.withColumns({"goals_minus_xg_per_90": F.lit(None).cast("double"),
-                                      "assists_minus_xa_per_90": F.lit(None).cast("double")})
-    out = scoring.detect_value_outliers(df, "2023-24", 5).collect()
-    assert all(r.overperformance_score is None for r in out)
-    assert all(r.discovery_score is not None for r in out)
-
-
-def test_outliers_are_position_relative(spark, sample_features):
-    fwd = feature_rows(spark, position="FWD", code0=2000, prefix="FWD Player")
-    out = scoring.detect_value_outliers(sample_features.unionByName(fwd), "2023-24", 16)
-    assert {r.position for r in out.collect()} == {"MID", "FWD"}
+@pytest.mark.parametrize("k, fine", [(0, False), (2, False), (3, True), (5, True), (6, False)])
+def test_range_of_cluster_counts(k, fine):
+    if fine:
+        assert archetypes.validate_cluster_count(k) is None
+    else:
+        with pytest.raises(ValueError, match=f"n_clusters={k}.*3, 4, 5"):
+            archetypes.validate_cluster_count(k)
 
 
-def test_clustering_empty_season_keeps_output_schema(spark, sample_features):
-    out = archetypes.cluster_playing_styles(sample_features, "1990-91", 3, FAST)
-    assert out.count() == 0 and {"cluster", "cluster_label"} <= set(out.columns)
+def test_zscores_by_hand(spark):
+    rows = [("a", 2.0), ("a", 4.0), ("a", None), ("a", 6.0),    # mean 4, deviation sqrt(8/3)
+            ("b", 7.5), ("b", 7.5), ("c", None)]
+    df = spark.createDataFrame(rows, "position string, x double").withColumn("season", F.lit(NEW))
+    got = {}
+    for r in scoring.with_zscores(df, {"z": "x"}).collect():
+        got.setdefault(r.position, {})[r.x] = r.z
+    s = (8 / 3) ** 0.5
+    assert got["a"] == {2.0: pytest.approx(-2 / s), 4.0: 0.0, 6.0: pytest.approx(2 / s), None: None}
+    assert got["b"] == {7.5: 0.0} and got["c"] == {None: 0.0}  # constant and empty groups
+
+
+def test_absent_columns_are_all_named(spark, sample_features):
+    with pytest.raises(ValueError, match="position, threat_per_90"):
+        archetypes.cluster_playing_styles(sample_features.drop("threat_per_90", "position"),
+                                          NEW, 3, FAST)
+    with pytest.raises(ValueError, match="points_per_million"):
+        scoring.detect_value_outliers(sample_features.drop("points_per_million"), NEW)
+
+
+def test_three_styles_are_found_and_named(spark, sample_features):
+    rows = _styles(sample_features, 3)
+    members, labels = {}, {}
+    for r in rows:
+        members.setdefault(r.cluster, set()).add(r.code)
+        labels[r.code] = r.cluster_label
+    assert sorted(members) == [0, 1, 2]
+    assert {frozenset(m) for m in members.values()} == {
+        frozenset(FINISHERS), frozenset(CREATORS), frozenset(WORKERS)}
+    assert labels[71] == labels[74] and "influence" in labels[71]
+    assert len(set(labels.values())) == 3
+    assert 72 not in labels  # 999 minutes; 62 stands exactly on the edge and stays
+
+
+def test_more_clusters_split_a_style(spark, sample_features):
+    rows = _styles(sample_features, 4)
+    assert len(rows) == 9 and {r.cluster for r in rows} == {0, 1, 2, 3}
+
+
+def test_group_smaller_than_k_keeps_its_rows(spark, sample_features):
+    keepers = feature_rows(spark, "GK").where("code < 53")
+    rows = _styles(sample_features.unionByName(keepers), 3)
+    assert len(rows) == 11
+    assert [(r.cluster, r.cluster_label) for r in rows if r.position == "GK"] == [
+        (-1, archetypes.TOO_FEW_PLAYERS)] * 2
+
+
+def test_group_without_usable_features_keeps_its_rows(spark, sample_features):
+    empty = {c: F.lit(None).cast("double") for c in
+             ("goals_per_90", "assists_per_90", "creativity_per_90", "threat_per_90")}
+    rows = _styles(sample_features.withColumns(empty), 3)
+    assert {(r.cluster, r.cluster_label) for r in rows} == {(-1, archetypes.TOO_FEW_FEATURES)}
+
+
+def test_missing_value_takes_the_median(spark, sample_features):
+    df = sample_features.withColumn("threat_per_90", F.when(F.col("code") != 61,
+                                                            F.col("threat_per_90")))
+    long, _ = archetypes.cluster_inputs(df, NEW, 3, FAST)
+    r = long.where("code = 61 AND feature = 'threat_per_90'").first()
+    # the cohort's other values: 1.0 1.1 1.2 2.0 | 2.3 5.6 6.0 6.3
+    assert r.raw_value is None and r.imputed_value == pytest.approx(2.15)
+
+
+def test_order_and_mixed_scores(spark, sample_features):
+    rows = _scores(sample_features)
+    score = [r.discovery_score for r in rows]
+    assert len(rows) == 9 and score == sorted(score, reverse=True)
+    assert rows[0].web_name == "Crisp"  # 29 points a million, owned by 0.6 %
+    assert [r.web_name for r in _scores(sample_features, 2)] == [r.web_name for r in rows[:2]]
+    wolfe = next(r for r in rows if r.web_name == "Wolfe")  # no residuals: hidden part only
+    assert wolfe.overperformance_score is None
+    assert wolfe.discovery_score == pytest.approx(wolfe.hidden_gem_score)
+    for r in rows:
+        if r.web_name != "Wolfe":
+            assert r.discovery_score == pytest.approx(
+                0.7 * r.hidden_gem_score + 0.3 * r.overperformance_score)
+
+
+def test_scores_do_not_depend_on_a_position_s_scale(spark, sample_features):
+    richer = feature_rows(spark, "FWD").withColumn("points_per_million",
+                                                   F.col("points_per_million") * 10)
+    got = {}
+    for r in _scores(sample_features.unionByName(richer)):
+        got.setdefault(r.web_name, []).append(r.hidden_gem_score)
+    assert len(got) == 9
+    assert all(len(v) == 2 and v[0] == pytest.approx(v[1]) for v in got.values())
+
+
+def test_season_without_rows_keeps_the_columns(spark, sample_features):
+    out = scoring.detect_value_outliers(sample_features, "1900-01", 5)
+    assert out.isEmpty() and "discovery_score" in out.columns
+    out = archetypes.cluster_playing_styles(sample_features, "1900-01", 3, FAST)
+    assert out.isEmpty() and {"cluster", "cluster_label"} <= set(out.columns)

@@ -20,7 +20,7 @@ def test_missing_xg_columns_become_null(spark, synthetic):
     assert "expected_goals" not in frames[0].columns
     clean, _ = _clean_rejected(spark, frames, teams)
     old = clean.where("season = '2019-20'")
-    assert old.count() == 16
+    assert old.count() == 7
     assert old.where("expected_goals IS NOT NULL OR expected_assists IS NOT NULL "
                      "OR expected_goal_involvements IS NOT NULL").count() == 0
     assert dict(clean.dtypes)["expected_goals"] == "double"  # typed NULL, never void
@@ -64,44 +64,44 @@ def test_invalid_rows_are_rejected(spark):
 
 def test_null_minutes_is_rejected_not_lost(spark, synthetic):
     frames, teams = synthetic
-    frames = [f.withColumn("minutes", F.when(F.col("code") == 1010, None)
+    frames = [f.withColumn("minutes", F.when(F.col("code") == 401, None)
                            .otherwise(F.col("minutes"))) for f in frames]
     clean, rejected = _clean_rejected(spark, frames, teams)
-    assert clean.count() + rejected.count() == 32
-    assert rejected.where("code = 1010").count() == 2
+    assert clean.count() + rejected.count() == 17
+    assert rejected.where("code = 401").count() == 2
 
 
 def test_team_id_mapping_is_season_specific(spark, synthetic):
     clean, _ = _clean_rejected(spark, *synthetic)
     names = {(r.season, r.team_name) for r in clean.where("team = 1").collect()}
-    assert names == {("2019-20", "Old Town"), ("2023-24", "New Town")}
+    assert names == {("2019-20", "Ashford"), ("2023-24", "Corby")}
 
 
 def test_duplicates_keep_first_valid_copy(spark, synthetic):
     frames, teams = synthetic
     first = frames[1]
-    dup = first.where("code = 1031").withColumns(
+    dup = first.where("code = 406").withColumns(
         {"ingest_seq": F.lit(100).cast("bigint"), "minutes": F.lit(1).cast("bigint")})
-    bad = first.where("code = 1032").withColumns(
+    bad = first.where("code = 407").withColumns(
         {"ingest_seq": F.lit(0).cast("bigint"), "now_cost": F.lit(0).cast("bigint")})
     clean, rejected = _clean_rejected(spark, [frames[0], first.unionByName(dup)
                                               .unionByName(bad)], teams)
-    assert clean.count() == 32
-    row = clean.where("code = 1031 AND season = '2023-24'").first()
-    assert row.minutes == 1180  # the first copy in file order
+    assert clean.count() == 17
+    row = clean.where("code = 406 AND season = '2023-24'").first()
+    assert row.minutes == 2430  # the first copy in file order
     reasons = {(r.code, r.reject_reason) for r in rejected.collect()}
     # an invalid earlier copy does not shadow the valid later one
-    assert reasons == {(1031, "duplicate"), (1032, "now_cost")}
+    assert reasons == {(406, "duplicate"), (407, "now_cost")}
 
 
 def test_hot_duplicate_key_keeps_exactly_one_row(spark, synthetic):
     """One (code, season) with thousands of copies: one clean row, every other copy rejected."""
     frames, teams = synthetic
-    hot = frames[1].where("code = 1041").select(
+    hot = frames[1].where("code = 411").select(
         *[c for c in frames[1].columns if c != "ingest_seq"],
         F.explode(F.sequence(F.lit(1000).cast("bigint"), F.lit(3999).cast("bigint")))
         .alias("ingest_seq"))
     clean, rejected = _clean_rejected(spark, [frames[0], frames[1].unionByName(hot)], teams)
-    assert clean.count() == 32
-    assert clean.where("code = 1041 AND season = '2023-24'").first().ingest_seq == 14
+    assert clean.count() == 17
+    assert clean.where("code = 411 AND season = '2023-24'").first().ingest_seq == 10
     assert rejected.where("reject_reason = 'duplicate'").count() == 3000
