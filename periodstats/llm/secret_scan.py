@@ -2,10 +2,11 @@
 
 Base kinds are reported wherever they match. Weak kinds (identifiers, bare high-variety
 strings, endpoints) mean little alone: each is a part, and a weak part is reported only when a
-complementary part lies within its scope, ``scope`` code points around its start. That is an
-interval join: parts are put into bins of the scope's width, and a weak part semi-joins the
-parts of its bin on the exact interval. A semi-join gives a part at most once, and a bin holds
-a bounded number of spans, so there are never all pairs of a group.
+complementary part lies within its scope, at most ``scope`` code points before its start or
+after its end, however long it is. That is an interval join: parts are put into bins of the
+scope's width, and a weak part semi-joins the parts of its bins on the exact interval. A
+semi-join gives a part at most once a bin, and a bin holds a bounded number of spans, so there
+are never all pairs of a group.
 
 Positions come from the pieces between matches (``split``) and the matches themselves
 (``regexp_extract_all``), summed up; both read the whole text.
@@ -37,9 +38,10 @@ _ASSIGN_VALUE = 6                    # code points of the assigned value
 
 #: Weak kinds: what they look like, and what an extra test asks of the match.
 WEAK = {
-    "key_id": (r"""(\b(?i:client|access|account|user|login)_?(?i:id|key_?id|name)["']?"""
+    "key_id": (r"""((?:\b|(?<=_))(?i:client|access|account|user|login)_?(?i:id|key_?id|name)["']?"""
                r"""\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{3,})""", None),
-    "secret_part": (r"((?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{32,200}={0,2}(?![A-Za-z0-9+/=_-]))",
+    # A run may follow the '=' of NAME=VALUE and has any length; what '=' follows is padding.
+    "secret_part": (r"((?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}+={0,2}+(?![A-Za-z0-9+/=_-]))",
                     r"(?s)^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])"),
     "endpoint": (r"""((?i:https?|ftp|ssh|postgres(?:ql)?|mysql|mongodb|redis|amqp)"""
                  r"""://[A-Za-z0-9._:@%/?&=+-]{4,})""", None),
@@ -55,7 +57,7 @@ _SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 @dataclass(frozen=True)
 class Settings:
-    scope: int = 200          # code points on either side of a weak part's start
+    scope: int = 200          # code points on either side of a weak part
     mask: str = "[SECRET]"
 
 
@@ -122,15 +124,15 @@ def linked_parts(rows: DataFrame, settings: Settings) -> DataFrame:
                              F.floor((F.col("s.end") + r) / r))).alias("__bin"))
     weak = rows.select("rid", F.explode("__weak").alias("s")).select(
         "rid", "s", _role(F.col("s.kind")).alias("role"),
-        F.floor(F.col("s.start") / r).alias("bin"))
+        F.explode(F.sequence(F.floor(F.col("s.start") / r),
+                             F.floor(F.col("s.end") / r))).alias("bin"))
     fits = F.lit(False)
     for role, others in COMPLEMENT.items():
         fits = fits | ((F.col("role") == role) & F.col("__role").isin(*others))
-    start = F.col("s.start")
-    near = start.between(F.col("__from") - r, F.col("__to") + r)
+    near = (F.col("s.start") <= F.col("__to") + r) & (F.col("s.end") >= F.col("__from") - r)
     joined = weak.join(parts, (F.col("rid") == F.col("__rid")) & (F.col("bin") == F.col("__bin"))
                        & fits & near, "left_semi")
-    return joined.groupBy("rid").agg(F.collect_list("s").alias("linked"))
+    return joined.groupBy("rid").agg(F.collect_set("s").alias("linked"))
 
 
 def _listing(spans: Column) -> Column:
