@@ -3,7 +3,8 @@
 Index: centroids are fitted on a bounded sample (``sample_rows`` rows with the least id hash);
 every vector is normalised, rotated by one random orthogonal matrix and put into the list of
 its nearest centroid. Search: a query probes its ``probes`` nearest lists, and more until
-these hold enough candidates. Within a probed list, squared distances are summed over blocks
+these hold enough candidates; one that still finds fewer than there are (a vec_id in many
+lists counts in each) probes all lists. Within a probed list, squared distances are summed over blocks
 of rotated dimensions; after each block a hypothesis test compares the distance extrapolated
 from the dimensions seen with the k-th best so far, and candidates that are beyond it with
 high confidence are abandoned. What remains is scored exactly, as the cosine of the original
@@ -16,14 +17,14 @@ is many tasks.
 Defined results: vectors that are null, empty, zero, hold null or non-finite components, or
 differ in length from the most common one (ties: the shorter) take no part, nor do rows with a
 null vec_id; a vec_id that occurs several times is one candidate with its best score, and all
-rows with a query's own vec_id are its own; an empty table gives an empty result; extra
+rows with a query's own vec_id are its own; equal rows are one; an empty table gives an empty result; extra
 columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -140,11 +141,12 @@ def _probe(centroids: np.ndarray, sizes: np.ndarray, settings: Settings):
 def nearest_in_shard(q: np.ndarray, q_turned: np.ndarray, own: int, ids: np.ndarray,
                      x: np.ndarray, norms: np.ndarray, turned: np.ndarray,
                      settings: Settings) -> list[tuple[int, float]]:
-    """(vec_id, cosine) of the k best candidates of a shard; ids are sorted and distinct."""
+    """(vec_id, cosine) of the k best candidates of a shard, each with its best row; an id may
+    have several rows."""
     k, d = settings.k, x.shape[1]
     q_norm = np.sqrt((q * q).sum())
-    best: list[tuple[float, int]] = []  # (-score, id)
-    limit = np.inf                      # squared distance of the k-th best so far
+    best: list[tuple[float, int]] = []  # (-score, id), one an id
+    limit = np.inf                      # squared distance of the k-th best id so far
     chunk = 256
     at = 0
     while at < len(ids):
@@ -166,7 +168,12 @@ def nearest_in_shard(q: np.ndarray, q_turned: np.ndarray, own: int, ids: np.ndar
         if len(alive):
             score = (x[alive] * q).sum(axis=1) / (norms[alive] * q_norm)
             best += zip((-score).tolist(), ids[alive].tolist(), strict=True)
-            best = sorted(best)[:k]
+            first: dict[int, float] = {}
+            for s, i in sorted(best):
+                first.setdefault(i, s)
+                if len(first) == k:
+                    break
+            best = [(s, i) for i, s in first.items()]
             if len(best) == k:
                 limit = max(0.0, 2 + 2 * best[-1][0])
         at += chunk
@@ -208,26 +215,11 @@ def _search(settings: Settings):
     return run
 
 
-def search(vectors: DataFrame, is_query: str, settings: Settings | None = None) -> DataFrame:
-    """query_id, rank, vec_id, score for the rows that fulfil ``is_query`` (SQL on vec_id)."""
-    settings = settings or Settings()
-    spark = vectors.sparkSession
-    base = materialise(usable(vectors), "vectors")
-    rows = base.count()
-    if not rows:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    sample = np.array([r["v"] for r in base.orderBy(F.xxhash64("vec_id"), "vec_id", "v")
-                       .limit(settings.sample_rows).select("v").collect()])
-    lists = int(min(settings.most_lists, len(sample), max(1, rows // settings.rows_per_list)))
-    centroids = fit_centroids(sample, lists, settings)
-    turn = rotation(sample.shape[1], settings.seed)
-    index = materialise(base.mapInArrow(_index(centroids, turn), _INDEXED), "index")
-    sizes = np.zeros(lists, dtype=np.int64)
-    for r in index.groupBy("list").count().collect():  # at most most_lists rows
-        sizes[r["list"]] = r["count"]
-    asked = materialise(index.filter(is_query).select("vec_id", "v", "r")
-                        .mapInArrow(_probe(centroids, sizes, settings), _INDEXED), "asked")
-    wanted = np.zeros(lists, dtype=np.int64)
+def _nearest(index: DataFrame, queries: DataFrame, centroids: np.ndarray, sizes: np.ndarray,
+             ids: np.ndarray, settings: Settings) -> DataFrame:
+    """query_id, rank, vec_id, score; ``sizes`` and ``ids`` are the lists' rows and vec_ids."""
+    asked = materialise(queries.mapInArrow(_probe(centroids, ids, settings), _INDEXED), "asked")
+    wanted = np.zeros(len(sizes), dtype=np.int64)
     for r in asked.groupBy("list").count().collect():
         wanted[r["list"]] = r["count"]
     per = lambda counts, most: F.element_at(F.array(*[
@@ -252,3 +244,35 @@ def search(vectors: DataFrame, is_query: str, settings: Settings | None = None)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (best.withColumn("rank", F.row_number().over(order))
             .filter(F.col("rank") <= settings.k).select("query_id", "rank", "vec_id", "score"))
+
+
+def search(vectors: DataFrame, is_query: str, settings: Settings | None = None) -> DataFrame:
+    """query_id, rank, vec_id, score for the rows that fulfil ``is_query`` (SQL on vec_id)."""
+    settings = settings or Settings()
+    spark = vectors.sparkSession
+    base = materialise(usable(vectors).distinct(), "vectors")
+    rows = base.count()
+    if not rows:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    sample = np.array([r["v"] for r in base.orderBy(F.xxhash64("vec_id"), "vec_id", "v")
+                       .limit(settings.sample_rows).select("v").collect()])
+    lists = int(min(settings.most_lists, len(sample), max(1, rows // settings.rows_per_list)))
+    centroids = fit_centroids(sample, lists, settings)
+    turn = rotation(sample.shape[1], settings.seed)
+    index = materialise(base.mapInArrow(_index(centroids, turn), _INDEXED), "index")
+    sizes, ids = np.zeros((2, lists), dtype=np.int64)
+    per_list = index.groupBy("list").agg(F.count("*").alias("rows"),
+                                         F.countDistinct("vec_id").alias("ids"))
+    for r in per_list.collect():  # at most most_lists rows
+        sizes[r["list"]], ids[r["list"]] = r["rows"], r["ids"]
+    queries = index.filter(is_query).select("vec_id", "v", "r")
+    found = materialise(_nearest(index, queries, centroids, sizes, ids, settings), "nearest")
+    most = min(settings.k, base.select("vec_id").distinct().count() - 1)
+    full = found.filter(F.col("rank") == most).select("query_id")
+    short = queries.join(full, F.col("vec_id") == F.col("query_id"), "left_anti")
+    if most < 1 or short.isEmpty():
+        return found
+    # One id's rows fill all the lists probed: look into every list.
+    every = replace(settings, probes=1.0, most_probes=lists)
+    return found.join(full, "query_id", "left_semi").unionByName(
+        _nearest(index, short, centroids, sizes, ids, every))

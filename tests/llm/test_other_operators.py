@@ -78,6 +78,28 @@ def test_ann_small_and_empty(spark):
     assert ann_scan.search(df.limit(0), "vec_id % 50 = 0").count() == 0
 
 
+@pytest.mark.parametrize("spread", [0.0, 0.01])
+@pytest.mark.parametrize("others", [3, 8])
+def test_ann_repeated_id_is_one_candidate(spark, spread, others):
+    turn = lambda a: [float(np.cos(a)), float(np.sin(a))]
+    rows = [(0, turn(0.0))] + [(7, turn(0.1 + spread * i)) for i in range(10)]
+    rows += [(100 + i, turn(0.5 + 0.1 * i)) for i in range(others)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {r["rank"]: r["vec_id"] for r in ann_scan.search(df, "vec_id = 0").collect()}
+    assert got == dict(enumerate([7, *range(100, 100 + min(others, 4))], 1))
+
+
+def test_ann_id_that_fills_the_probed_lists(spark):
+    rng = np.random.default_rng(8)
+    near = np.array([1.0, 0, 0, 0]) + 0.3 * rng.standard_normal((600, 4))
+    rows = [(0, [1.0, 0.0, 0.0, 0.0])] + [(7, v.tolist()) for v in near]
+    rows += [(100 + i, [-1.0, 0.01 * i, 0.0, 0.0]) for i in range(6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    s = ann_scan.Settings(rows_per_list=10, least_probes=2, probes=0.05)
+    got = {r["rank"]: r["vec_id"] for r in ann_scan.search(df, "vec_id = 0", s).collect()}
+    assert got == dict(enumerate([7, 105, 104, 103, 102], 1))
+
+
 def test_urls_rules_and_reputation(spark):
     rows = [(i, f"http://good.site.net/p{i}") for i in range(40)]
     rows += [(100 + i, f"https://Bad.Spam.net:80/x?{i}") for i in range(40)]
