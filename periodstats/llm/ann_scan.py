@@ -42,9 +42,8 @@ class Settings:
     sample_rows: int = 20_000     # bound of the fitting sample
     most_lists: int = 4_096
     rows_per_list: int = 400      # lists wanted: rows / rows_per_list, within most_lists
-    probes: float = 0.6           # share of the lists, at least least_probes
+    probes: float = 0.6           # share of the lists, at every size; at least least_probes
     least_probes: int = 24
-    most_probes: int = 1024
     block: int = 16               # dimensions summed between two tests
     epsilon: float = 3.0          # confidence of the test
     shard_rows: int = 8_192
@@ -116,7 +115,7 @@ def _index(centroids: np.ndarray, turn: np.ndarray):
 def _probe(centroids: np.ndarray, sizes: np.ndarray, settings: Settings):
     """Rows (vec_id, list): the lists that each query looks into."""
     some = int(min(max(settings.least_probes, np.ceil(settings.probes * len(centroids))),
-                   settings.most_probes, len(centroids)))
+                   len(centroids)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -273,6 +272,6 @@ def search(vectors: DataFrame, is_query: str, settings: Settings | None = None)
     if most < 1 or short.isEmpty():
         return found
     # One id's rows fill all the lists probed: look into every list.
-    every = replace(settings, probes=1.0, most_probes=lists)
+    every = replace(settings, probes=1.0)
     return found.join(full, "query_id", "left_semi").unionByName(
         _nearest(index, short, centroids, sizes, ids, every))

@@ -6,6 +6,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from periodstats.llm import ann_scan, chat_format, html_extract, url_reputation
@@ -89,6 +90,18 @@ def test_ann_repeated_id_is_one_candidate(spark, spread, others):
     assert got == dict(enumerate([7, *range(100, 100 + min(others, 4))], 1))
 
 
+@pytest.mark.parametrize("lists", [128, 1706, 4096])
+def test_ann_share_of_lists_probed_holds_at_every_size(lists):
+    rng = np.random.default_rng(2)
+    centroids = rng.standard_normal((lists, 8))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1, 2]), pa.array([0, 0], pa.int32()),
+         pa.array([v.tobytes() for v in rng.standard_normal((2, 8))], pa.binary()),
+         pa.array([b"", b""], pa.binary())], names=["vec_id", "list", "v", "r"])
+    probe = ann_scan._probe(centroids, np.full(lists, 400), ann_scan.Settings())
+    assert sum(b.num_rows for b in probe(iter([batch]))) == 2 * np.ceil(0.6 * lists)
+
+
 def test_ann_id_that_fills_the_probed_lists(spark):
     rng = np.random.default_rng(8)
     near = np.array([1.0, 0, 0, 0]) + 0.3 * rng.standard_normal((600, 4))
