@@ -147,10 +147,14 @@ def _signatures(docs: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _representatives(signed: DataFrame) -> DataFrame:
-    """One row a distinct non-empty set; ``rid`` is fixed by the written table."""
+    """One row a distinct non-empty set, with doc_id and text hash of one of its rows (a null
+    doc_id last); ``rid`` is fixed by the written table."""
+    chosen = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th"))
     least = (signed.filter("n_sh > 0").groupBy("h1", "h2")
-             .agg(F.min("doc_id").alias("rep_doc"), F.count("*").alias("copies"),
-                  F.first("n_sh").alias("n_sh"), F.first("sig").alias("sig")))
+             .agg(chosen.alias("rep"), F.count("*").alias("copies"),
+                  F.first("n_sh").alias("n_sh"), F.first("sig").alias("sig"))
+             .select("h1", "h2", F.col("rep.doc_id").alias("rep_doc"),
+                     F.col("rep.th").alias("rep_th"), "copies", "n_sh", "sig"))
     return materialise(least.withColumn("rid", F.monotonically_increasing_id()), "reps")
 
 
@@ -420,10 +424,13 @@ def _checked_links(docs: DataFrame, reps: DataFrame, candidates: DataFrame,
         .withColumnRenamed("label", "__l")
     needed = materialise(
         sized.join(totals, F.col("label") == F.col("__l")).drop("__l", "n_sh"), "needed")
-    texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string"))
-    wanted = maybe_in(needed, F.xxhash64("rep_doc"))  # most texts have no candidate partner
-    texts = texts.filter(wanted(F.xxhash64("__id")))
-    rows = needed.join(texts, F.col("rep_doc").eqNullSafe(F.col("__id")))
+    texts = docs.select(F.col("doc_id").cast("long").alias("__id"),
+                        F.xxhash64("text").alias("__th"), F.col("text").cast("string"))
+    # Most texts have no candidate partner. A doc_id (or none) may be that of many texts.
+    wanted = maybe_in(needed, F.xxhash64("rep_doc", "rep_th"))
+    texts = texts.filter(wanted(F.xxhash64("__id", "__th")))
+    rows = needed.join(texts, F.col("rep_doc").eqNullSafe(F.col("__id"))
+                       & (F.col("rep_th") == F.col("__th")))
     blocks = F.greatest(F.ceil(F.col("m") / settings.component_block),
                         F.ceil(F.col("all_sh") / settings.component_shingles))
     units = with_blocks(rows, "label", F.least(blocks, F.col("m"))).select(

@@ -78,6 +78,22 @@ def test_join_keeps_one_row_of_each_class(docs_of):
     assert ids == Counter([1, 4, 5, 6, None, None, 7, 9, 10, 11, 12, 13])
 
 
+@pytest.mark.parametrize("doc", [None, 7])
+def test_join_reads_each_representative_by_its_own_text(docs_of, monkeypatch, doc):
+    words = prose(150, random.Random(9)).split()
+    rows = [(doc, " ".join([*words[:3 + k], f"w{k}", *words[4 + k:]])) for k in range(30)]
+    read, deal = [], ngram_join.with_blocks
+
+    def counted(df, group, blocks):
+        if group == "label":
+            read.append(df.count())
+        return deal(df, group, blocks)
+    monkeypatch.setattr(ngram_join, "with_blocks", counted)
+    got = ngram_join.similarity_join(docs_of(rows)).collect()
+    assert read == [30]
+    assert {(r["doc_id"], r["class_id"], r["n_links"]) for r in got} == {(doc, doc, 29)}
+
+
 def test_join_of_an_empty_table(docs_of):
     assert ngram_join.similarity_join(docs_of([])).count() == 0
     assert ngram_join.keep_one_per_class(docs_of([])).count() == 0
