@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from periodstats.llm import (ann_scan, bpe_chunks, chat_format, html_extract, lm_mixing, ngram_join,
-                             packing, quality_rules, secret_scan, spelling, url_reputation)
+                             packing, quality_rules, repeats, secret_scan, spelling, url_reputation)
 from periodstats.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similarity_join(table(spark, sf_dir, "documents"))
 
 
+def op11_rlz_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(table(spark, sf_dir, "documents")).drop("n_factors")
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
@@ -75,4 +79,5 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {"op1_length_buckets": packing.oracle_sql(),
             "op2_chat_format": chat_format.oracle_sql(),
+            "op11_rlz_repeats": repeats.oracle_sql(),
             "op12_spelling_variants": spelling.oracle_sql()}
