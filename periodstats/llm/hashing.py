@@ -59,6 +59,18 @@ def _hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * back[starts])
 
 
+def hash_strings(strings: pa.Array) -> np.ndarray:
+    """Hash of each string of an array without nulls."""
+    strings = strings.cast(pa.large_string())
+    offsets = np.frombuffer(strings.buffers()[1], dtype=np.int64)[
+        strings.offset:strings.offset + len(strings) + 1]
+    if not len(strings) or offsets[-1] == offsets[0]:
+        return np.zeros(len(strings), dtype=np.uint64)
+    data = np.frombuffer(strings.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]]
+    offsets = offsets - offsets[0]
+    return _hash_words(data, offsets[:-1], offsets[1:])
+
+
 def hashed_words(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, past the last text, hashes of their words, words per text), in order.
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodstats.llm import (ann_scan, bpe_chunks, chat_format, html_extract, lm_mixing, ngram_join,
-                             packing, quality_rules, repeats, secret_scan, spelling, url_reputation)
+from periodstats.llm import (ann_scan, bpe_chunks, chat_format, collocations, html_extract, lm_mixing,
+                             ngram_join, packing, quality_rules, repeats, secret_scan, spelling, url_reputation)
 from periodstats.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = [f for name, f in globals().items() if name.startswith("op") and callable(f)]
     return {f.__name__: f for f in sorted(found, key=lambda f: int(f.__name__[2:].split("_")[0]))}
@@ -80,4 +84,5 @@ def oracle_sql() -> dict[str, str]:
     return {"op1_length_buckets": packing.oracle_sql(),
             "op2_chat_format": chat_format.oracle_sql(),
             "op11_rlz_repeats": repeats.oracle_sql(),
-            "op12_spelling_variants": spelling.oracle_sql()}
+            "op12_spelling_variants": spelling.oracle_sql(),
+            "op13_collocations": collocations.oracle_sql()}
