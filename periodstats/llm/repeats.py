@@ -47,7 +47,9 @@ from periodstats.llm.hashing import hashed_words, mix
 class Settings:
     window: int = 13
     anchor: int = 6
-    block_chars: int = 16_000_000    # a block holds about so much text, or less
+    block_chars: int = 16_000_000    # a block holds about so much text at most,
+    few_blocks: int = 1000           # and a quarter of it until there are so many blocks
+    blocks_per_index: int = 4        # texts of so many blocks to a partition of the index
 
     def __post_init__(self) -> None:
         if not 0 < self.anchor <= self.window:
@@ -299,20 +301,23 @@ def _run(docs: DataFrame, what: str, settings: Settings | None) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("id"),
                         F.col("text").cast("string").alias("text"))
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(4 * shuffle, -(-chars // s.block_chars))
+    # Blocks follow from the amount of text alone: what they ask comes to a message a block and
+    # index partition, or one an anchor if that is less.
+    blocks = max(1, -(-chars // s.block_chars), min(s.few_blocks, -(-4 * chars // s.block_chars)))
+    parts = -(-blocks // s.blocks_per_index)
     dealt = (texts.mapInArrow(_copies, "id long, text string, copies long")
              .withColumn("t", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int"))
              .repartition(shuffle, "t"))
-    asked = dealt.groupBy("t").applyInArrow(_ask_anchors(s, blocks),
+    asked = dealt.groupBy("t").applyInArrow(_ask_anchors(s, parts),
                                             "p int, t int, anchors binary, many binary")
     shared = asked.groupBy("p").applyInArrow(_answer_anchors, "t int, p int, bits binary")
     indexed = dealt.groupBy("t").cogroup(shared.groupBy("t")).applyInArrow(
-        _ask_windows(s, blocks), "p int, t int, windows binary, home binary, place binary")
+        _ask_windows(s, parts), "p int, t int, windows binary, home binary, place binary")
     places = indexed.groupBy("p").applyInArrow(
         _answer_windows, "t int, p int, at binary, home binary, place binary")
     answers = shared.unionByName(places, allowMissingColumns=True)
     return dealt.groupBy("t").cogroup(answers.groupBy("t")).applyInArrow(
-        _finish(s, blocks, what), SCHEMAS[what])
+        _finish(s, parts, what), SCHEMAS[what])
 
 
 def digests(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
