@@ -64,8 +64,9 @@ def union_seasons(frames: list[DataFrame], schema: StructType = RAW_SCHEMA) -> D
 
 
 def team_lookup(teams: DataFrame) -> DataFrame:
-    """Prune and rename a team file: ``id -> team``, ``name -> team_name``."""
-    return teams.select("season", F.col("id").cast("bigint").alias("team"),
+    """Prune and rename a team file: ``id -> team``, ``name -> team_name``; an id that is no
+    number is no team's (also where the optimizer reads a file's header before it is left out)."""
+    return teams.select("season", F.col("id").try_cast("bigint").alias("team"),
                         F.col("name").alias("team_name"))
 
 

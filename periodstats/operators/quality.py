@@ -36,6 +36,13 @@ def assert_no_orphans(counts: DataFrame) -> None:
         raise AssertionError(f"Referential integrity check failed: {[tuple(r) for r in bad]}")
 
 
+def assert_no_orphan_counts(counts: dict[str, int]) -> None:
+    """The same gate for counts that the write of the rows observed."""
+    bad = {n: c for n, c in counts.items() if c}
+    if bad:
+        raise AssertionError(f"Referential integrity check failed: {bad}")
+
+
 def grain_duplicates(rows: DataFrame, keys=("code", "season")) -> DataFrame:
     """Keys that occur more than once (partial aggregate, then filter)."""
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("copies")) \

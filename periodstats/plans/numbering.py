@@ -25,12 +25,12 @@ from ..session import shared_dir
 _P, _I = "__p", "__i"
 
 
-def _join_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def _join_on(left: DataFrame, right: DataFrame, keys: list[str], small: bool = False) -> DataFrame:
     """Inner equi-join on ``keys`` where NULL matches NULL (a NULL group is still a group)."""
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
                      *[c for c in right.columns if c not in keys])
     cond = [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys]
-    return left.join(r, cond, "inner").drop(*[f"__r_{k}" for k in keys])
+    return left.join(F.broadcast(r) if small else r, cond, "inner").drop(*[f"__r_{k}" for k in keys])
 
 
 def _partitions(df: DataFrame, n: int | None) -> int:
@@ -83,35 +83,51 @@ def ranks(df: DataFrame, groups: list[str], value: str, name: str, descending: b
     return df.join(keyed, cond, "inner").select(df["*"], keyed[name])
 
 
-def value_positions(df: DataFrame, groups: list[str], value: str, n: int | None = None
-                    ) -> DataFrame:
-    """Distinct (groups, value) with ``__w`` rows and ``__first`` = 1-based position of the
-    value's first row when the group is sorted ascending (NULL values excluded)."""
-    vc = df.where(F.col(value).isNotNull()).groupBy(*groups, value) \
-        .agg(F.count(F.lit(1)).alias("__w"))
-    tagged = _tagged(vc, [*(F.col(g).asc_nulls_first() for g in groups), F.col(value).asc()], n)
-    offsets = _offsets(tagged, groups, "__w").drop("__cnt", "__first")
-    local = Window.partitionBy(_P, *groups).orderBy(_I).rowsBetween(Window.unboundedPreceding, -1)
-    tagged = tagged.withColumn("__before", F.coalesce(F.sum("__w").over(local), F.lit(0)))
-    return _join_on(tagged, offsets, [_P, *groups]).select(
-        *groups, value, "__w", (F.col("__off") + F.col("__before") + 1).alias("__first"))
-
-
-def exact_median(df: DataFrame, groups: list[str], value: str, name: str = "median",
-                 n: int | None = None) -> DataFrame:
-    """Exact median per group (mean of the two middle values for an even count), NULLs
-    ignored; one row per group with at least one value.
-
-    ``percentile``/``median`` buffer every value of a group in one task; here only distinct
-    values move, range-partitioned, and the middle positions are found from counts."""
-    pos = value_positions(df, groups, value, n)
-    sizes = pos.groupBy(*groups).agg(F.sum("__w").alias("__n"))
-    lo = F.floor((F.col("__n") + 1) / 2)
-    hi = F.ceil((F.col("__n") + 1) / 2)
-    last = F.col("__first") + F.col("__w") - 1
-    hit = _join_on(pos, sizes, groups).select(
-        *groups,
-        F.when((F.col("__first") <= lo) & (lo <= last), F.col(value)).alias("__lo"),
-        F.when((F.col("__first") <= hi) & (hi <= last), F.col(value)).alias("__hi"))
-    return hit.groupBy(*groups).agg(
-        ((F.max("__lo") + F.max("__hi")) / 2.0).alias(name))
+def exact_medians(df: DataFrame, groups: list[str], value: str, bins: int = 1024) -> dict[tuple, float]:
+    """Exact median of each group (mean of the two middle values for an even count), by group
+    values; NULLs are ignored and a group of them only is left out.
+
+    Selection by repeated histograms, without a sort and without a shuffle of values: a pass
+    counts the rows of each group in bins of equal width over the range that still holds the
+    middle value, with each bin's least and largest value, and goes on inside the bin that holds
+    the middle rank. It ends when that bin holds one distinct value, after three or four passes
+    for ordinary data. For few groups: a row a group and pass, and ``bins`` counts of it, reach
+    the driver."""
+    spark = df.sparkSession
+    v = F.col(value)
+    sizes = df.where(v.isNotNull()).groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("n"), F.min(v).alias("a"), F.max(v).alias("b")).collect()
+    found: dict[tuple, dict[int, float]] = {}
+    todo = []  # (group values, which middle, least, largest, rank among what lies between)
+    for r in sizes:
+        key = tuple(r[g] for g in groups)
+        for middle in {(r.n + 1) // 2, (r.n + 2) // 2}:
+            if r.a == r.b:
+                found.setdefault(key, {})[middle] = r.a
+            else:
+                todo.append((*key, middle, float(r.a), float(r.b), middle))
+    schema = ", ".join([f"`{g}` {df.schema[g].dataType.simpleString()}" for g in groups]
+                       + ["__middle bigint", "__a double", "__b double", "__rank bigint"])
+    while todo:
+        ranges = spark.createDataFrame(todo, schema)
+        inside = _join_on(df.where(v.isNotNull()), ranges, groups, small=True).where(
+            v.between(F.col("__a"), F.col("__b")))
+        width = (F.col("__b") / 2 - F.col("__a") / 2) / bins  # halves: the range may pass a double's
+        at = F.least(F.floor((v / 2 - F.col("__a") / 2) / width), F.lit(bins - 1))
+        counts: dict[tuple, list] = {}
+        for r in inside.groupBy(*groups, "__middle", at.alias("__bin")).agg(
+                F.count(F.lit(1)).alias("n"), F.min(v).alias("a"), F.max(v).alias("b")).collect():
+            counts.setdefault((*(r[g] for g in groups), r["__middle"]), []).append(r)
+        left = []
+        for t in todo:
+            key, middle, rank = t[:len(groups)], t[len(groups)], t[-1]
+            for r in sorted(counts[*key, middle], key=lambda r: r.a):
+                if rank <= r.n:
+                    break
+                rank -= r.n
+            if r.a == r.b:
+                found.setdefault(key, {})[middle] = r.a
+            else:
+                left.append((*key, middle, r.a, r.b, rank))
+        todo = left
+    return {key: (min(m.values()) + max(m.values())) / 2.0 for key, m in found.items()}

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import quality
+from ..operators import scoring
 from ..session import scratch_path
 from ..sources import export, landing
 from ..sources.binding import read_table
 from ..spec import (DIM_PLAYER_FIELDS, DIM_POSITION_FIELDS, DIM_SEASON_FIELDS, DIM_TEAM_FIELDS,
-                    FACT_FIELDS, SILVER_FIELDS, B, L, S, struct_of)
+                    FACT_FIELDS, FEATURE_FIELDS, SILVER_FIELDS, B, L, S, struct_of)
 from . import oracle as O
-from .catalog import register
-from .queries_more import _COUNTS_SQL
+from .catalog import SEASON, SPEC, register
+from .queries_ml import _POSITIONS
+from .queries_more import _COUNTS_SQL, _ORPHAN_SQL
 from .warehouse import GOLD_TABLES, warehouse
 
 W = O.with_ctes
@@ -20,11 +24,14 @@ _SEASON_LIST = "SELECT DISTINCT CAST(year(l_shipdate) AS VARCHAR) AS season FROM
 _KINDS = ", ".join(f"('{k}')" for k in landing.RAW_FILES)
 
 
-@register("bronze_files", [("season", S), ("file", S), ("data_rows", L)], W(O.SILVER, f"""
+@register("bronze_files", [("season", S), ("file", S), ("data_rows", L), ("same_length", B),
+                           ("same_digest", B)], W(O.SILVER, f"""
+SELECT *, true AS same_length, true AS same_digest FROM (
 SELECT season, '{landing.PLAYERS}' AS file, count(*) AS data_rows FROM raw GROUP BY season
-UNION ALL SELECT season, '{landing.TEAMS}', count(*) FROM teams GROUP BY season"""))
+UNION ALL SELECT season, '{landing.TEAMS}', count(*) FROM teams GROUP BY season)"""))
 def bronze_files(spark, sf):
-    """Rows landed per season and file kind, read from the verbatim Bronze bytes."""
+    """Records landed per season and file kind; length and digest of the landed bytes against
+    those of the bytes read."""
     _, bronze = warehouse(spark, sf).landing()
     return landing.data_rows(spark, bronze)
 
@@ -87,43 +94,82 @@ def export_tables(spark, sf):
     """Export the five tables to CSV, read them back with their schemas, count rows."""
     gold = warehouse(spark, sf).gold()
     paths = export.export_tables(gold, scratch_path(spark, "bi-export"))
-    back = {n: export.read_exported(spark, p, struct_of(_GOLD_SCHEMAS[n]))
-            for n, p in paths.items()}
+    back = {n: export.read_csv(spark, p, struct_of(_GOLD_SCHEMAS[n])) for n, p in paths.items()}
     return export.count_rows({n: back[n] for n in GOLD_TABLES})
 
 
+@register("sink_contents", [("table_name", S), ("rows", L), ("same_rows", B), ("same_content", B)],
+          W(O.FEATURES, f"""
+SELECT *, true AS same_rows, true AS same_content FROM ({_COUNTS_SQL}
+UNION ALL SELECT 'rejected_rows', count(*) FROM rejected
+UNION ALL SELECT 'player_style_clusters', count(*) FROM features WHERE season = '{SEASON}'
+  AND minutes >= {SPEC.min_minutes} AND position IN ({_POSITIONS})
+UNION ALL SELECT 'hidden_talent', least({SPEC.top_n}, count(*)) FROM features
+  WHERE season = '{SEASON}' AND minutes >= {SPEC.min_minutes})"""))
+def sink_contents(spark, sf):
+    """Every CSV sink of a run: rows written, and rows and content read back against them."""
+    wh = warehouse(spark, sf)
+    out = scratch_path(spark, "sinks")
+    sinks = dict(wh.gold()) | {
+        "rejected_rows": wh.rejected(), "player_style_clusters": wh.clusters(SEASON, SPEC.n_clusters),
+        "hidden_talent": scoring.detect_value_outliers(wh.features(), SEASON, spec=SPEC)}
+    return reduce(DataFrame.unionByName, [
+        export.compared(spark, n, df, f"{out}/{n}.csv", n in (export.SMALL_TABLES | {"hidden_talent"}))
+        for n, df in sinks.items()])
+
+
 _METRICS_SQL = W(O.FEATURES, """
-SELECT 'silver' AS stage, 'total_clean_rows' AS metric, count(*) AS value FROM clean
-UNION ALL SELECT 'silver', 'total_rejected_rows', count(*) FROM rejected
-UNION ALL SELECT 'silver', 'seasons_processed', count(DISTINCT season) FROM clean
-UNION ALL SELECT 'gold', 'dim_player_rows', count(*) FROM dim_player
-UNION ALL SELECT 'gold', 'dim_team_rows', count(*) FROM dim_team
-UNION ALL SELECT 'gold', 'dim_season_rows', count(*) FROM dim_season
-UNION ALL SELECT 'gold', 'dim_position_rows', count(*) FROM dim_position
-UNION ALL SELECT 'gold', 'fact_rows', count(*) FROM fact
-UNION ALL SELECT 'gold', 'orphaned_fact_rows', count(*) FROM fact f
+SELECT 'silver' AS stage, NULL AS season, 'total_clean_rows' AS metric, count(*) AS value FROM clean
+UNION ALL SELECT 'silver', NULL, 'total_rejected_rows', count(*) FROM rejected
+UNION ALL SELECT 'silver', NULL, 'seasons_processed', count(DISTINCT season) FROM clean
+UNION ALL SELECT 'silver', season, 'clean_rows', count_if(ok) FROM (
+  SELECT season, true AS ok FROM clean UNION ALL SELECT season, false FROM rejected) GROUP BY season
+UNION ALL SELECT 'silver', season, 'rejected_rows', count_if(NOT ok) FROM (
+  SELECT season, true AS ok FROM clean UNION ALL SELECT season, false FROM rejected) GROUP BY season
+UNION ALL SELECT 'gold', NULL, table_name || '_rows', rows FROM (""" + _COUNTS_SQL + """)
+UNION ALL SELECT 'gold', NULL, 'orphaned_fact_rows', count(*) FROM fact f
   LEFT JOIN dim_player p ON f.player_key = p.player_key WHERE p.player_key IS NULL
-UNION ALL SELECT 'features', 'feature_rows', count(*) FROM features
-UNION ALL SELECT 'features', 'players', count(DISTINCT code) FROM features""")
+UNION ALL SELECT 'gold', NULL, 'orphaned_' || fk || '_rows', orphan_rows FROM (""" + _ORPHAN_SQL + """)
+UNION ALL SELECT 'features', NULL, 'feature_rows', count(*) FROM features
+UNION ALL SELECT 'features', season, 'feature_rows', count(*) FROM features GROUP BY season
+UNION ALL SELECT 'features', NULL, 'players', count(DISTINCT code) FROM features""")
 
 
-@register("run_metrics", [("stage", S), ("metric", S), ("value", L)], _METRICS_SQL)
+@register("run_metrics", [("stage", S), ("season", S), ("metric", S), ("value", L)], _METRICS_SQL)
 def run_metrics(spark, sf):
+    """What the writing jobs counted; the plan reads no layer."""
+    return warehouse(spark, sf).metrics()
+
+
+@register("feature_files", [("season", S), ("rows", L), ("in_order", B), ("apart", B)],
+          W(O.FEATURES, """
+SELECT season, count(*) AS rows, true AS in_order, true AS apart FROM features GROUP BY season"""))
+def feature_files(spark, sf):
+    """Feature rows as the files hold them: in order inside each file, and the files of a season
+    one after the other (by name) without overlap, as their index says."""
+    wh = warehouse(spark, sf)
+    wh.features()
+    key = F.struct("position", "code")
+    path = Window.partitionBy("path").orderBy("row_index")
+    rows = wh.layer("features").read("rows", struct_of(FEATURE_FIELDS), places=True).select(
+        "season", key.alias("key"), "path", "row_index")
+    inside = rows.withColumn("before", F.lag("key").over(path)).groupBy("season").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.bool_and(F.col("before").isNull() | (F.col("before") < F.col("key"))).alias("in_order"))
+    files = Window.partitionBy("season").orderBy("path")
+    index = wh.feature_files().withColumn("before", F.lag("most").over(files)).groupBy("season").agg(
+        F.bool_and(F.col("before").isNull() | (F.col("before") < F.col("least"))).alias("apart"))
+    return inside.join(index, "season")
+
+
+@register("feature_point", [("code", L), ("season", S), ("position", S), ("minutes", L)],
+          W(O.FEATURES, f"""
+SELECT code, season, position, minutes FROM features WHERE season = '{SEASON}'
+QUALIFY row_number() OVER (ORDER BY position, code) = 1"""))
+def feature_point(spark, sf):
+    """The least key of a season through the index: one file is read."""
     wh = warehouse(spark, sf)
-    g = wh.gold()
-    cnt = F.count(F.lit(1))
-    orph = quality.orphans(g["fact_player_season_stats"],
-                           {"player": (g["dim_player"], "player_key", "player_key")})
-    return export.metrics({
-        ("silver", "total_clean_rows"): wh.silver().agg(cnt),
-        ("silver", "total_rejected_rows"): wh.rejected().agg(cnt),
-        ("silver", "seasons_processed"): wh.silver().agg(F.count_distinct("season")),
-        ("gold", "dim_player_rows"): g["dim_player"].agg(cnt),
-        ("gold", "dim_team_rows"): g["dim_team"].agg(cnt),
-        ("gold", "dim_season_rows"): g["dim_season"].agg(cnt),
-        ("gold", "dim_position_rows"): g["dim_position"].agg(cnt),
-        ("gold", "fact_rows"): g["fact_player_season_stats"].agg(cnt),
-        ("gold", "orphaned_fact_rows"): orph.select("orphan_rows"),
-        ("features", "feature_rows"): wh.features().agg(cnt),
-        ("features", "players"): wh.features().agg(F.count_distinct("code")),
-    })
+    least = wh.feature_files().where(F.col("season") == SEASON).agg(F.min("least").alias("k")).first().k
+    if least is None:
+        return wh.features().where("false")
+    return wh.feature_row(SEASON, least.position, least.code)

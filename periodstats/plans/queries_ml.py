@@ -8,6 +8,7 @@ from ..operators import archetypes
 from ..spec import CLUSTER_FEATURES_BY_POSITION, D, L, S
 from . import oracle as O
 from .catalog import SEASON, SPEC, register
+from .numbering import exact_medians
 from .warehouse import warehouse
 
 K = SPEC.n_clusters
@@ -73,8 +74,7 @@ def cluster_inputs(spark, sf):
                              ("status", S)],
           O.with_ctes(CLUSTER_CTES, "SELECT * FROM cstatus"))
 def cluster_status(spark, sf):
-    _, status = archetypes.cluster_inputs(warehouse(spark, sf).features(), SEASON, K, SPEC)
-    return status
+    return archetypes.cluster_status(warehouse(spark, sf).features(), SEASON, K, SPEC)
 
 
 _STYLE_CONTRACT = [("code", L), ("season", S), ("position", S), ("minutes", L),
@@ -83,11 +83,39 @@ _STYLE_CONTRACT = [("code", L), ("season", S), ("position", S), ("minutes", L),
 
 @register("cluster_styles", _STYLE_CONTRACT, None)
 def cluster_styles(spark, sf):
-    """K-Means assignments; MLlib's k-means|| result has no SQL form (rows checked only)."""
+    """K-Means assignments; the search has no SQL form, its result is held to certificates."""
     return warehouse(spark, sf).clusters(SEASON, K)
 
 
-@register("cluster_summary", [("position", S), ("players", L), ("clusters", L),
-                              ("labels", L)], None)
+_CERTIFIED = [("position", S), ("players", L), ("clustered", L), ("clusters", L),
+              ("misplaced", L), ("mislabelled", L), ("unordered", L)]
+
+
+@register("cluster_certificates", _CERTIFIED, O.with_ctes(CLUSTER_CTES, f"""
+SELECT position, players, CASE WHEN ok THEN players ELSE 0 END AS clustered,
+  CASE WHEN ok THEN {K} ELSE 0 END AS clusters, 0 AS misplaced, 0 AS mislabelled, 0 AS unordered
+FROM (SELECT *, status = '{archetypes.CLUSTERED}' AS ok FROM cstatus)"""))
+def cluster_certificates(spark, sf):
+    """Every clustered player is nearest to the mean of its own cluster, labels name the largest
+    mean, and cluster numbers are in order."""
+    wh = warehouse(spark, sf)
+    long, _ = archetypes.cluster_inputs(wh.features(), SEASON, K, SPEC)
+    return archetypes.certificates(wh.clusters(SEASON, K), long)
+
+
+@register("cluster_summary", [("position", S), ("players", L), ("clusters", L)],
+          O.with_ctes(CLUSTER_CTES, f"""
+SELECT position, players, CASE WHEN status = '{archetypes.CLUSTERED}' THEN {K} ELSE 0 END AS clusters
+FROM cstatus"""))
 def cluster_summary(spark, sf):
     return archetypes.cluster_summary(warehouse(spark, sf).clusters(SEASON, K))
+
+
+@register("cluster_medians", [("position", S), ("feature", S), ("median", D)],
+          O.with_ctes(CLUSTER_CTES, "SELECT position, feature, med AS median FROM fstats WHERE nn > 0"))
+def cluster_medians(spark, sf):
+    """The median of every (position, feature) of the cohort, by repeated histograms."""
+    _, long, _ = archetypes._long(warehouse(spark, sf).features(), SEASON, K, SPEC)
+    found = exact_medians(long, ["position", "feature"], "raw_value")
+    return spark.createDataFrame([(*k, m) for k, m in found.items()],
+                                 "position string, feature string, median double")

@@ -1,5 +1,6 @@
 """End-to-end run: land -> clean -> model -> integrity gate -> features -> scores and
-clusters -> BI export -> run metrics. Every stage is a Spark job over the whole input.
+clusters -> BI export -> run metrics. Every stage is a Spark job over the whole input; the
+metrics are those that the writing jobs observed.
 
 usage: python -m periodstats.plans.runner <sf_dir> [season]
        python -m periodstats.plans.runner --raw-root <dir> --seasons 2019-20,2020-21 [season]
@@ -8,56 +9,38 @@ usage: python -m periodstats.plans.runner <sf_dir> [season]
 from __future__ import annotations
 
 import json
-from pyspark.sql import DataFrame, SparkSession
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import quality, scoring
+from ..operators import scoring
 from ..sources import export
 from ..spec import Spec
-from .warehouse import GOLD_TABLES, Warehouse
+from .warehouse import METRICS, Warehouse
 
 
 def run(spark: SparkSession, sf_dir: str, season: str = "2000", spec: Spec = Spec(),
         wh: Warehouse | None = None) -> DataFrame:
-    """Run every stage; returns the run-metrics table (stage, metric, value)."""
+    """Run every stage; returns the run metrics (stage, season or null for all, metric, value)."""
     wh = wh or Warehouse(spark, sf_dir, spec=spec)
     wh.landing()                     # raw season files -> Bronze (fails fast on a gap)
-    gold = wh.gold()                 # Silver and Gold are built on first read
-    fact = gold["fact_player_season_stats"]
-    orphans = quality.orphans(fact, {
-        "player": (gold["dim_player"], "player_key", "player_key"),
-        "team": (gold["dim_team"], "team_key", "team_key"),
-        "season": (gold["dim_season"], "season_key", "season_key"),
-        "position": (gold["dim_position"], "position_key", "position_key")})
-    quality.assert_no_orphans(orphans)   # referential-integrity gate
+    gold = wh.gold()                 # Silver and Gold; a fact with orphans is not published
     # quarantine as CSV, overwritten every run (no stale file survives a clean rerun)
-    wh.rejected().write.mode("overwrite").option("header", True).csv(wh.path("rejected_rows.csv"))
+    rejected = export.write_csv(wh.rejected(), wh.path("rejected_rows.csv"))
     features = wh.features()
     clusters = wh.clusters(season, spec.n_clusters)
-    clusters.write.mode("overwrite").option("header", True).csv(
-        wh.path(f"player_style_clusters_{season}.csv"))
+    seen = Observation()
+    counted = clusters.observe(seen, F.count_if(F.col("cluster") >= 0).alias("clustered"))
+    export.write_csv(counted, wh.path(f"player_style_clusters_{season}.csv"))
     outliers = scoring.detect_value_outliers(features, season, spec=spec)
-    outliers.coalesce(1).write.mode("overwrite").option("header", True).csv(  # top-N rows
-        wh.path(f"hidden_talent_{season}.csv"))
+    top = export.write_csv(outliers, wh.path(f"hidden_talent_{season}.csv"), one_file=True)
     exported: dict[str, int] = {}
     export.export_tables(gold, wh.path("bi_export"), exported)  # rows counted while written
-    cnt = F.count(F.lit(1))
-    clustered = spark.read.option("header", True).schema(clusters.schema).csv(
-        wh.path(f"player_style_clusters_{season}.csv"))
-    metrics = export.metrics({
-        ("silver", "total_clean_rows"): wh.silver().agg(cnt),
-        ("silver", "total_rejected_rows"): wh.rejected().agg(cnt),
-        ("silver", "seasons_processed"): wh.silver().agg(F.count_distinct("season")),
-        **{("gold", f"{t}_rows"): gold[t].agg(cnt) for t in GOLD_TABLES},
-        ("gold", "orphaned_fact_rows"): orphans.agg(F.sum("orphan_rows")),
-        ("features", "feature_rows"): features.agg(cnt),
-        ("features", "players"): features.agg(F.count_distinct("code")),
-        ("ml", "clustered_players"): clustered.where("cluster >= 0").agg(cnt),
-    })
-    written = spark.createDataFrame(  # one row per exported table (five)
-        [("export", f"{t}_rows", n) for t, n in exported.items()],
-        "stage string, metric string, value bigint")
-    metrics = metrics.unionByName(written)
+    rest = [("silver", None, "rejected_rows_written", rejected["rows"]),
+            ("ml", season, "clustered_players", seen.get["clustered"]),
+            ("ml", season, "value_outliers", top["rows"]),
+            *[("export", None, f"{t}_rows", n) for t, n in exported.items()]]
+    metrics = wh.metrics().unionByName(spark.createDataFrame(rest, METRICS))
     metrics.coalesce(1).write.mode("overwrite").json(wh.path("run_metrics"))
     return spark.read.schema(metrics.schema).json(wh.path("run_metrics"))
 

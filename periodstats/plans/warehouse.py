@@ -6,6 +6,11 @@ start from a cut lineage (a lost executor recomputes from the written layer, not
 raw scan), and readers get partition pruning (Silver and Features are partitioned by
 ``season``) and filter pushdown. Written dimensions also carry real size statistics, so the
 planner's broadcast decisions are checked against measured sizes.
+
+Silver, Gold and Features are published by a pointer written after their last table
+(``sources.versions``): a build that dies, or a fact whose keys do not resolve, leaves the
+version published before in place. Counts of the run (rows per season, rows per table, rows
+without a dimension) are observed by the jobs that write the layers and kept beside them.
 """
 
 from __future__ import annotations
@@ -13,14 +18,16 @@ from __future__ import annotations
 import threading
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import conform as silver_ops
 from ..operators import features as feature_ops
-from ..operators import archetypes, star
+from ..operators import archetypes, quality, star
 from ..session import scratch_path
 from ..sources import binding, landing
+from ..sources.versions import WHOLE, Layer
 from ..spec import (DIM_PLAYER_FIELDS, DIM_SEASON_FIELDS, DIM_TEAM_FIELDS, FACT_FIELDS,
                     FEATURE_FIELDS, RAW_FIELDS, REJECTED_FIELDS, SILVER_FIELDS, L, S, Spec,
                     struct_of)
@@ -34,7 +41,14 @@ _SCHEMAS = {
     "dim_team": DIM_TEAM_FIELDS, "dim_season": DIM_SEASON_FIELDS,
     "fact_player_season_stats": FACT_FIELDS, "features": FEATURE_FIELDS,
 }
-_PARTITIONED = {"raw_rows": "season", "features": "season"}
+_PARTITIONED = {"raw_rows": "season"}
+FACT = "fact_player_season_stats"
+FACT_KEYS = {"player": "player_key", "team": "team_key", "season": "season_key",
+             "position": "position_key"}
+STATUS = struct_of(REJECTED_FIELDS + [("status", S)])
+METRICS = "stage string, season string, metric string, value bigint"
+#: Order of feature rows, over all files (the season begins with its year).
+FEATURE_ORDER = ["season", "position", "code"]
 
 
 class Warehouse:
@@ -60,6 +74,7 @@ class Warehouse:
         self._lock = threading.RLock()
         self._shared: dict[str, str] = {}   # table name -> path in a parent warehouse
         self._memo: dict[tuple, DataFrame] = {}
+        self._metrics: dict[tuple, int] = {}  # (stage, season or None, metric) -> value
 
     def fork(self) -> "Warehouse":
         """A warehouse in a fresh folder that reads this one's raw and Silver layers and
@@ -68,8 +83,9 @@ class Warehouse:
         child = Warehouse(self.spark, self.sf_dir, spec=self.spec, frames=self._frames,
                           teams=self._teams, raw_root=self.raw_root, seasons=self.seasons,
                           source=self.source)
-        for name in ("raw_rows", "raw_teams", "silver_status"):
+        for name in ("raw_rows", "raw_teams", "silver"):
             child._shared[name] = self.path(name)
+        child._metrics |= {k: v for k, v in self._metrics.items() if k[0] == "silver"}
         child._shared["bronze"] = self.path("bronze")
         child._built |= {"raw", "silver"} | ({"landing"} & self._built)
         return child
@@ -116,18 +132,29 @@ class Warehouse:
             w = w.partitionBy(_PARTITIONED[name])
         w.parquet(self.path(name))
 
+    def layer(self, name: str) -> Layer:
+        return Layer(self.spark, self.path(name))
+
     def read(self, name: str) -> DataFrame:
         self._ensure(name)
+        return self._published(name)
+
+    def _published(self, name: str) -> DataFrame:
+        """The published table, without a build."""
         if name == "dim_position":
             return star.dim_position(self.spark)
         fields = _SCHEMAS[name]
         if name in ("silver", "rejected"):
             # one status table partitioned by season; clean / rejected is a row filter
             status = "clean" if name == "silver" else "rejected"
-            df = self.spark.read.schema(struct_of(fields + [("status", S)])) \
-                .parquet(self.path("silver_status")).where(F.col("status") == status)
-        else:
+            df = self.layer("silver").read("status", STATUS, "season") \
+                .where(F.col("status") == status)
+        elif name == "features":
+            df = self.layer("features").read("rows", struct_of(fields))
+        elif name.startswith("raw_"):
             df = self.spark.read.schema(struct_of(fields)).parquet(self.path(name))
+        else:
+            df = self.layer("gold").read(name, struct_of(fields))
         return df.select(*[n for n, _ in fields])
 
     def _ensure(self, name: str) -> None:
@@ -156,43 +183,128 @@ class Warehouse:
 
     def _build_silver(self, seasons: list[str] | None = None) -> None:
         # one pass over the raw rows; clean and rejected rows of a season share its partition,
-        # so reloading a season (dynamic partition overwrite) replaces both at once
+        # so publishing a season replaces both at once
         rows = self.conformed()
         if seasons is not None:
             rows = rows.where(F.col("season").isin(seasons))
-        status = silver_ops.silver_status(rows)
-        w = status.write.mode("overwrite").partitionBy("season")
+        layer, version = self.layer("silver"), Layer.fresh()
+        after, known = layer.current()
+        # seasons are read from the names of folders
+        found = sorted(r.season for r in self.read("raw_rows").select("season").distinct().collect())
         if seasons is not None:
-            w = w.option("partitionOverwriteMode", "dynamic")
-        w.parquet(self.path("silver_status"))
+            found = [s for s in found if s in seasons]
+        counts = {("silver", s, f"{status}_rows"): F.count_if((F.col("season") == s)
+                                                              & (F.col("status") == status))
+                  for s in found for status in ("clean", "rejected")}
+        seen = self._write_counted(silver_ops.silver_status(rows), counts,
+                                   layer.write_path("status", version), "season")
+        # a season that lost all its rows has no folder and points at an empty version
+        layer.publish({s: version for s in {*found, *(seasons or [])}}, after=after)
+        self._metrics = {k: v for k, v in self._metrics.items()
+                         if k[0] != "silver" or seasons is not None and k[1] not in seasons}
+        self._metrics |= seen
+
+    def _write_counted(self, df: DataFrame, counts: dict[tuple, F.Column], path: str,
+                       by: str | None = None) -> dict[tuple, int]:
+        """Write ``df`` and return ``counts`` as the writing job observed them."""
+        seen = Observation()
+        w = df.observe(seen, *[c.alias(f"c{i}") for i, c in enumerate(counts.values())]).write
+        (w.partitionBy(by) if by else w).parquet(path)
+        values = seen.get
+        return {k: int(values[f"c{i}"] or 0) for i, k in enumerate(counts)}
 
     def _build_gold(self) -> None:
         silver = self.read("silver")
+        layer, version = self.layer("gold"), Layer.fresh()
+        after, _ = layer.current()
+
+        def write(name: str, df: DataFrame, more: dict | None = None) -> dict[tuple, int]:
+            counts = {("gold", None, f"{name}_rows"): F.count(F.lit(1))} | (more or {})
+            return self._write_counted(df, counts, layer.write_path(name, version))
+
+        def written(name: str) -> DataFrame:
+            return self.spark.read.schema(struct_of(_SCHEMAS[name])).parquet(
+                layer.write_path(name, version))
         # dim_player's numbering checkpoints while the two small dimensions are written
-        with ThreadPoolExecutor(max_workers=1) as pool:
+        small = {"dim_season": star.dim_season(silver), "dim_team": star.dim_team(silver)}
+        with ThreadPoolExecutor(max_workers=3) as pool:
             players = pool.submit(star.dim_player, silver)
-            self._parallel({"dim_season": star.dim_season(silver),
-                            "dim_team": star.dim_team(silver)})
-            self._write("dim_player", players.result())
-        fact = star.fact_table(silver, self.read_raw("dim_player"), self.read_raw("dim_team"),
-                               self.read_raw("dim_season"), star.dim_position(self.spark))
-        self._write("fact_player_season_stats", fact)
-
-    def read_raw(self, name: str) -> DataFrame:
-        """Read a written table without triggering a build (used while building)."""
-        fields = _SCHEMAS[name]
-        return self.spark.read.schema(struct_of(fields)).parquet(self.path(name)) \
-            .select(*[n for n, _ in fields])
+            jobs = [pool.submit(write, n, df) for n, df in small.items()]
+            seen = write("dim_player", players.result())
+            for job in jobs:
+                seen |= job.result()
+        positions = star.dim_position(self.spark)
+        seen["gold", None, "dim_position_rows"] = positions.count()  # literal rows
+        fact = star.fact_table(silver, written("dim_player"), written("dim_team"),
+                               written("dim_season"), positions)
+        # a key that its dimension does not have is null: left joins keep the row
+        seen |= write(FACT, fact, {("gold", None, f"orphaned_{n}_rows"): F.count_if(F.col(k).isNull())
+                                   for n, k in FACT_KEYS.items()})
+        quality.assert_no_orphan_counts({n: seen["gold", None, f"orphaned_{n}_rows"]
+                                         for n in FACT_KEYS})
+        layer.publish({WHOLE: version}, after=after)
+        self._metrics = {k: v for k, v in self._metrics.items() if k[0] != "gold"} | seen
 
     def _build_features(self) -> None:
         wide = feature_ops.star_join_wide(
-            self.read("fact_player_season_stats"), self.read("dim_player"),
-            self.read("dim_team"), self.read("dim_season"), self.read("dim_position"),
-            keep_key=True)
-        # rows leave in the reference's order inside each season file: position, then code;
-        # the season prefix also satisfies the partitioned writer's ordering (no extra sort)
-        self._write("features", feature_ops.build_features(wide)
-                    .sortWithinPartitions("season", "position", "code"))
+            self.read(FACT), self.read("dim_player"), self.read("dim_team"),
+            self.read("dim_season"), self.read("dim_position"), keep_key=True)
+        layer, version = self.layer("features"), Layer.fresh()
+        after, _ = layer.current()
+        # Range partitions, sorted: files in the order of their names are the rows in order, and
+        # a season's rows lie in few files.
+        ranged = feature_ops.build_features(wide).repartitionByRange(*FEATURE_ORDER) \
+            .sortWithinPartitions(*FEATURE_ORDER)
+        seasons = [r.season for r in self.read("dim_season").select("season").collect()]
+        counts = {("features", None, "feature_rows"): F.count(F.lit(1))} | {
+            ("features", s, "feature_rows"): F.count_if(F.col("season") == s) for s in seasons}
+        path = layer.write_path("rows", version)
+        seen = self._write_counted(ranged, counts, path, "season")
+        # rows per file and the least and largest key, one row a file
+        rows = self.spark.read.schema(struct_of(FEATURE_FIELDS)).parquet(path)
+        key = F.struct("position", "code")
+        rows.groupBy("season", F.col("_metadata.file_path").alias("path")).agg(
+            F.count(F.lit(1)).alias("rows"), F.min(key).alias("least"), F.max(key).alias("most")) \
+            .write.parquet(layer.write_path("files", version))
+        layer.publish({WHOLE: version}, after=after)
+        seen["features", None, "players"] = self._metrics.get(
+            ("gold", None, "dim_player_rows"), 0)  # every player of the fact has a feature row
+        self._metrics = {k: v for k, v in self._metrics.items() if k[0] != "features"} | seen
+
+    def feature_files(self) -> DataFrame:
+        """season, path, rows, least and most (position, code) of each file of feature rows."""
+        self._ensure("features")
+        schema = T.StructType.fromDDL(
+            "season string, path string, rows bigint, least struct<position: string, code: bigint>, "
+            "most struct<position: string, code: bigint>")
+        return self.layer("features").read("files", schema)
+
+    def feature_row(self, season: str, position: str, code: int) -> DataFrame:
+        """The feature row of one key, from the file that may hold it (looked up in the index)."""
+        key = F.struct(F.lit(position).alias("position"), F.lit(code).cast("bigint").alias("code"))
+        found = self.feature_files().where(F.col("season") == season) \
+            .where((F.col("least") <= key) & (key <= F.col("most"))).select("path").collect()
+        names = [n for n, _ in FEATURE_FIELDS]
+        schema = struct_of([f for f in FEATURE_FIELDS if f[0] != "season"])
+        if not found:
+            return self.features().where("false")
+        rows = self.spark.read.schema(schema).parquet(*[r.path for r in found])  # one, as keys are unique
+        return rows.where((F.col("position") == position) & (F.col("code") == code)) \
+            .withColumn("season", F.lit(season)).select(*names)
+
+    def metrics(self) -> DataFrame:
+        """stage, season (null: all), metric, value of the layers built by this warehouse, as the
+        jobs that wrote them counted; no layer is read."""
+        self.build_all()
+        known = dict(self._metrics)
+        clean = {s: n for (stage, s, m), n in known.items() if (stage, m) == ("silver", "clean_rows")}
+        known["silver", None, "total_clean_rows"] = sum(clean.values())
+        known["silver", None, "total_rejected_rows"] = sum(
+            n for (stage, _, m), n in known.items() if (stage, m) == ("silver", "rejected_rows"))
+        known["silver", None, "seasons_processed"] = sum(n > 0 for n in clean.values())
+        known["gold", None, "orphaned_fact_rows"] = sum(
+            known["gold", None, f"orphaned_{n}_rows"] for n in FACT_KEYS)
+        return self.spark.createDataFrame([(*k, v) for k, v in sorted(known.items(), key=str)], METRICS)
 
     # -- incremental reload ---------------------------------------------------
     def reload_seasons(self, seasons: list[str]) -> None:
@@ -285,13 +397,21 @@ class Warehouse:
             self._ensure(name)
 
 
-_CACHE: dict[tuple[str, str], Warehouse] = {}
+_CACHE: dict[tuple, Warehouse] = {}
 _CACHE_LOCK = threading.Lock()
 
 
+def _contents(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of what lies in the input folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime())
+                        for f in fs.listStatus(path)))
+
+
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The run's warehouse for ``sf_dir`` (built at most once per application)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The run's warehouse for ``sf_dir``: built once per application and state of the folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, _contents(spark, sf_dir))
     with _CACHE_LOCK:
         if key not in _CACHE:
             _CACHE[key] = Warehouse(spark, sf_dir)

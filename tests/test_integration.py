@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fixtures import SEASONS, season_frames
 from periodstats.plans import runner
 from periodstats.plans.warehouse import Warehouse
+from periodstats.sources import landing
 from periodstats.spec import Spec
 
 FIVE = ["2019-20", "2020-21", "2021-22", "2022-23", "2023-24"]
@@ -36,6 +37,5 @@ def test_end_to_end_run(spark):
             .history_sequence(wh.features()).collect()}
     assert hist == dict.fromkeys((401, 403, 406, 407, 410), 5) | dict.fromkeys(
         (402, 405, 408, 409, 411), 4) | {404: 1, 412: 1}
-    files = {(r.season, r.file) for r in
-             spark.read.parquet(wh.path("bronze") + "/files").select("season", "file").distinct().collect()}
+    files = {(r.season, r.file) for r in landing.read_files(spark, wh.path("bronze")).collect()}
     assert len(files) == 10

@@ -34,6 +34,13 @@ def test_missing_file_fails_fast_and_writes_nothing(spark):
     with pytest.raises(FileNotFoundError):
         landing.land(spark, raw, bronze, ["2023-24"])
     assert not os.path.exists(as_local_path(bronze))
+    _write(raw, "2023-24", "teams.csv", "id,name\n1,Test FC\n")
+    with open(os.path.join(as_local_path(raw), "teams.csv", "season=2023-24", "part-1.csv"), "w"):
+        pass  # a second part without a byte
+    with pytest.raises(FileNotFoundError):
+        landing.land(spark, raw, bronze, ["2023-24"])
+    os.remove(os.path.join(as_local_path(raw), "teams.csv", "season=2023-24", "part-1.csv"))
+    os.remove(os.path.join(as_local_path(raw), "teams.csv", "season=2023-24", "part-00000.csv"))
     check = landing.arrival_check(spark, raw, ["2023-24"]).collect()
     assert {(r.file, r.present) for r in check} == {("players_raw.csv", True),
                                                     ("teams.csv", False)}
@@ -51,7 +58,8 @@ def test_bytes_are_kept_verbatim(spark):
     assert "".join(r.line + "\n" for r in lines) == text  # every line verbatim, in order
     f = landing.read_files(spark, bronze).where(F.col("file") == "players_raw.csv").first()
     assert f.length == len(text.encode()) and f.lines == 2 and f.data_lines == 1
-    assert f.header == "code,minutes,custom_raw_value" and f.fingerprint
+    assert f.header == "code,minutes,custom_raw_value"
+    assert f.source_digest == f.landed_digest and f.landed_length == f.length
 
 
 def test_large_file_is_split_into_blocks_with_exact_line_numbers(spark):

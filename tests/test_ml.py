@@ -122,3 +122,65 @@ def test_season_without_rows_keeps_the_columns(spark, sample_features):
     assert out.isEmpty() and "discovery_score" in out.columns
     out = archetypes.cluster_playing_styles(sample_features, "1900-01", 3, FAST)
     assert out.isEmpty() and {"cluster", "cluster_label"} <= set(out.columns)
+
+
+def _blobs(spark, n):
+    """Three positions of overlapping clouds, with codes in no order."""
+    import random
+    rng = random.Random(n)
+    rows = [(p, rng.randrange(1 << 40), [round(rng.gauss(c, 0.8) * archetypes.UNIT) for c in centre])
+            for p in ("A", "B", "C")
+            for centre in ((0, 0, 0), (2, 0, 1), (0, 3, 1), (1, 1, 4)) for _ in range(n)]
+    return spark.createDataFrame(rows, "position string, code bigint, v array<bigint>")
+
+
+def _assigned(rows, k=4, restarts=3):
+    centres, costs, passes = archetypes.lloyd(rows, archetypes.first_centres(rows, k, restarts, 42))
+    return centres, costs
+
+
+def test_clusters_do_not_depend_on_partitions(spark):
+    rows = _blobs(spark, 150).cache()
+    want = _assigned(rows.repartition(4, "code"))
+    for layout in (rows.repartition(16), rows.repartitionByRange(64, "v"), rows.coalesce(1)):
+        assert _assigned(layout) == want  # every centre and cost to the last digit
+
+
+def test_passes_end_at_the_means_of_the_nearest_rows(spark):
+    rows = _blobs(spark, 60)
+    centres, costs = _assigned(rows, restarts=2)
+    values = {}
+    for r in rows.collect():
+        values.setdefault(r.position, []).append([x / archetypes.UNIT for x in r.v])
+    for (position, restart), found in centres.items():
+        groups, cost = {}, 0.0
+        for v in values[position]:
+            d = [sum((a - b) ** 2 for a, b in zip(v, c, strict=True)) for c in found]
+            groups.setdefault(d.index(min(d)), []).append(v)
+            cost += min(d)
+        assert float(costs[position, restart]) == pytest.approx(cost)
+        for i, members in groups.items():
+            assert found[i] == pytest.approx([sum(c) / len(members) for c in zip(*members, strict=True)])
+
+
+def test_fewer_distinct_rows_than_clusters(spark):
+    rows = spark.createDataFrame([("A", i, [i % 2 * archetypes.UNIT] * 2) for i in range(9)],
+                                 "position string, code bigint, v array<bigint>")
+    centres, costs = _assigned(rows, k=3)
+    assert set(map(tuple, centres["A", 0])) == {(0.0, 0.0), (1.0, 1.0)} and set(costs.values()) == {0}
+
+
+def test_certificates_find_planted_faults(spark, sample_features):
+    out = archetypes.cluster_playing_styles(sample_features, NEW, 3, FAST)
+    long, _ = archetypes.cluster_inputs(sample_features, NEW, 3, FAST)
+
+    def found(df):
+        return archetypes.certificates(df, long).first().asDict()
+    good = found(out)
+    assert good == {"position": "MID", "players": 9, "clustered": 9, "clusters": 3, "misplaced": 0,
+                    "mislabelled": 0, "unordered": 0}
+    swapped = out.withColumn("cluster", F.when(F.col("code") == min(FINISHERS), (F.col("cluster") + 1) % 3)
+                             .otherwise(F.col("cluster")))
+    assert found(swapped)["misplaced"] > 0
+    assert found(out.withColumn("cluster", 2 - F.col("cluster")))["unordered"] == 3
+    assert found(out.withColumn("cluster_label", F.lit("MID_minutes_profile")))["mislabelled"] == 9

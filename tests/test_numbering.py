@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -39,13 +40,21 @@ def test_ranks_equal_sql_rank_with_ties_and_nulls(spark):
     assert got.where("g IS NULL").count() > 0
 
 
-def test_exact_median(spark):
+@pytest.mark.parametrize("bins", [2, 7, 1024])
+def test_exact_medians(spark, bins):
     df = _data(spark)
-    got = {r.g: r.median for r in numbering.exact_median(df, ["g"], "v", n=4).collect()}
+    got = {k[0]: m for k, m in numbering.exact_medians(df, ["g"], "v", bins).items()}
     assert None in got
     want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
     assert got.keys() == want.keys()
     assert all(abs(got[k] - want[k]) < 1e-12 for k in got)
-    even = spark.createDataFrame([("x", 1.0), ("x", 2.0), ("x", 3.0), ("x", 10.0)],
-                                 "g string, v double")
-    assert numbering.exact_median(even, ["g"], "v").first().median == 2.5
+
+
+def test_medians_of_ties_even_counts_and_wide_ranges(spark):
+    groups = {"even": [1.0, 2.0, 3.0, 10.0], "one": [4.5], "ties": [2.0] * 5 + [7.0] * 5,
+              "equal": [3.25] * 6, "wide": [-1e300, 1e-300, 2e-300, 1e300, 5.0], "none": [None, None],
+              "gap": [None, 0.0, 1e-12, 1.0], "huge": [-1.7e308, 1.7e308, 1.0]}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, v double")
+    got = {k[0]: m for k, m in numbering.exact_medians(df, ["g"], "v").items()}
+    assert got == {"even": 2.5, "one": 4.5, "ties": 4.5, "equal": 3.25, "wide": 2e-300,
+                   "gap": 1e-12, "huge": 1.0}
