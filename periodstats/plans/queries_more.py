@@ -417,10 +417,8 @@ bi AS (
 )"""
 
 
-def _bi(spark, sf):
-    g = warehouse(spark, sf).gold()
-    return measures.bi_rows(g["fact_player_season_stats"], g["dim_player"], g["dim_team"],
-                            g["dim_season"], g["dim_position"])
+def _players(spark, sf):
+    return warehouse(spark, sf).read("dim_player")
 
 
 def _slim(spark, sf):
@@ -469,7 +467,7 @@ SELECT season, web_name, total_points FROM (
   SELECT season, web_name, total_points, row_number() OVER (
     PARTITION BY season ORDER BY total_points DESC, fact_id) AS rn FROM bi) WHERE rn = 1"""))
 def top_scorer_row(spark, sf):
-    return measures.top_scorer_row(_bi(spark, sf))
+    return measures.top_scorer_row(_slim(spark, sf), _players(spark, sf))
 
 
 @register("measure_sos_change", [("season", S), ("start_year", L), ("season_points", L),
@@ -491,8 +489,10 @@ SELECT fact_id, season, code, value,
 FROM (SELECT *, total_points / CASE WHEN now_cost / 10.0::DOUBLE <> 0
       THEN now_cost / 10.0::DOUBLE END AS value FROM bi)"""))
 def measure_value_rank(spark, sf):
-    return measures.value_rank(_bi(spark, sf)).select("fact_id", "season", "code", "value",
-                                                       "value_rank")
+    rows = _slim(spark, sf).select("fact_id", "season", "player_key", "total_points", "now_cost")
+    ranked = measures.value_rank(rows)  # on the fact's own columns; the code comes after
+    return ranked.join(_players(spark, sf).select("player_key", "code"), "player_key") \
+        .select("fact_id", "season", "code", "value", "value_rank")
 
 
 @register("value_top5", [("web_name", S), ("total_points", L), ("now_cost", L), ("value", D)],
@@ -501,7 +501,7 @@ SELECT web_name, total_points, now_cost, total_points / (now_cost / 10.0::DOUBLE
 FROM bi WHERE season = '{SEASON}'
 ORDER BY value DESC NULLS LAST, fact_id LIMIT 5"""))
 def value_top5(spark, sf):
-    return measures.value_top(_bi(spark, sf), SEASON, 5)
+    return measures.value_top(_slim(spark, sf), _players(spark, sf), SEASON, 5)
 
 
 @register("season_leaders", [("season", S), ("code", L), ("web_name", S), ("goals_scored", L)],
@@ -510,4 +510,55 @@ SELECT season, code, web_name, goals_scored FROM (
   SELECT *, rank() OVER (PARTITION BY season ORDER BY goals_scored DESC) AS r FROM bi)
 WHERE r = 1"""))
 def season_leaders(spark, sf):
-    return measures.season_leaders(_bi(spark, sf))
+    return measures.season_leaders(_slim(spark, sf), _players(spark, sf))
+
+
+@register("measure_cube", [("season", S), ("position", S), ("team_name", S), ("total_goals", L),
+                           ("total_points", L), ("goals_per_90", D), ("top_scorer_points", L),
+                           ("points_change", L)],
+          W(BI + """,
+levels AS (
+  SELECT season, start_year, position, team_name, sum(goals_scored) AS total_goals,
+    sum(total_points) AS total_points, sum(minutes) AS minutes
+  FROM bi GROUP BY GROUPING SETS (
+    ((season, start_year), position, team_name), ((season, start_year), position),
+    ((season, start_year), team_name), ((season, start_year)), (position, team_name),
+    (position), (team_name), ())),
+best AS (SELECT season, max(total_points) AS top FROM bi GROUP BY GROUPING SETS ((season), ()))""", """
+SELECT l.season, l.position, l.team_name, l.total_goals, l.total_points,
+  coalesce(l.total_goals / (l.minutes / 90.0::DOUBLE), 0.0::DOUBLE) AS goals_per_90,
+  b.top AS top_scorer_points,
+  CASE WHEN l.season IS NOT NULL THEN l.total_points - coalesce(p.total_points, 0) END AS points_change
+FROM levels l JOIN best b ON b.season IS NOT DISTINCT FROM l.season
+LEFT JOIN levels p ON p.start_year = l.start_year - 1 AND p.position IS NOT DISTINCT FROM l.position
+  AND p.team_name IS NOT DISTINCT FROM l.team_name"""))
+def measure_cube(spark, sf):
+    """Every measure under every set of slicers."""
+    g = warehouse(spark, sf).gold()
+    return measures.cube(g["fact_player_season_stats"], g["dim_season"], g["dim_position"],
+                         g["dim_team"])
+
+
+@register("measure_sos_change_sliced", [("season", S), ("start_year", L), ("position", S),
+                                        ("season_points", L), ("previous_season_points", L),
+                                        ("points_change", L)],
+          W(BI + """,
+cur AS (SELECT season, start_year, position, sum(total_points) AS season_points FROM bi
+        GROUP BY season, start_year, position)""", """
+SELECT c.season, c.start_year, c.position, c.season_points,
+  p.season_points AS previous_season_points,
+  c.season_points - coalesce(p.season_points, 0) AS points_change
+FROM cur c LEFT JOIN cur p ON p.start_year = c.start_year - 1 AND p.position = c.position"""))
+def measure_sos_change_sliced(spark, sf):
+    return measures.season_over_season(_slim(spark, sf), by=("position",))
+
+
+@register("value_rank_by_position", [("fact_id", L), ("season", S), ("position", S), ("value_rank", L)],
+          W(BI, """
+SELECT fact_id, season, position,
+  rank() OVER (PARTITION BY season, position ORDER BY value DESC NULLS LAST) AS value_rank
+FROM (SELECT *, total_points / CASE WHEN now_cost / 10.0::DOUBLE <> 0
+      THEN now_cost / 10.0::DOUBLE END AS value FROM bi)"""))
+def value_rank_by_position(spark, sf):
+    rows = _slim(spark, sf).select("fact_id", "season", "position", "total_points", "now_cost")
+    return measures.value_rank(rows, by=("season", "position"))
