@@ -50,7 +50,7 @@ class Settings:
     min_count: int = 10
     covered_percent: int = 50        # a phrase goes if a longer one has so much of its count
     top: int = 2000
-    block_chars: int = 16_000_000
+    block_chars: int = 6_000_000
 
 
 # -- counting ------------------------------------------------------------------------------
@@ -166,6 +166,7 @@ def _read(settings: Settings, parts: int):
                 if chars >= settings.block_chars:
                     yield from block(number, held)
                     number, held, chars = number + 1, [], 0
+                    pa.default_memory_pool().release_unused()
         if held:
             yield from block(number, held)
     return run
@@ -287,6 +288,7 @@ def _ask_pairs(level: int, parts: int):
         return unit, word
 
     def run(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()  # what the worker's last block left
         out = []
         given = dict(_by_lang(answers))
         for lang, (texts,) in _by_lang(rows):
@@ -388,8 +390,16 @@ def collocations(docs: DataFrame, settings: Settings | None = None) -> DataFrame
     left = scored.join(covers, ["lang", "phrase"], "left").where(
         F.col("cover").isNull() | (100 * F.col("cover") < s.covered_percent * F.col("a")))
     best = left.select("lang", "phrase", "a", "least.l", "least.r", "least.score")
+    # A histogram of scores (eighths of powers of two, some 170 classes a language) says which
+    # classes hold the first ``top`` phrases; only their rows meet in a language's window.
+    best = best.withColumn("class", F.floor(8 * F.log2(F.col("score") + 1)).cast("int"))
+    better = Window.partitionBy("lang").orderBy(F.desc("class")).rowsBetween(
+        Window.unboundedPreceding, -1)
+    classes = best.groupBy("lang", "class").agg(F.count(F.lit(1)).alias("held")).select(
+        "lang", "class", F.coalesce(F.sum("held").over(better), F.lit(0)).alias("ahead"))
+    near_top = best.join(classes.where(F.col("ahead") < s.top), ["lang", "class"])
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    top = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= s.top)
+    top = near_top.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= s.top)
     return top.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
