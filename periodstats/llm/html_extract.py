@@ -31,9 +31,13 @@ from pyspark.sql import functions as F
 
 from periodstats.llm.common import materialise
 
+#: A tag's attributes are read once, quoted values whole; if that finds no end of the tag (a
+#: quote without a partner, a page cut off), it ends at the next ``>``, and without one it is
+#: dropped. Nothing is tried twice, so time grows with the page's length.
 _TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*?)>"""
-    r"""|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^>]*\Z""", re.S)
+    r"""<!--.*?(?:-->|\Z)"""
+    r"""|<(/?)([a-zA-Z][^\s/>]*+)(?:((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|([^>]*+)(>|\Z))"""
+    r"""|<[!?][^>]*+(?:>|\Z)""", re.S)
 _CLASS = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""",
                     re.I)
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*(?:>|\Z)|\Z", re.I)
@@ -64,14 +68,37 @@ _CLOSES = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": (
 class Outline:
     """Elements and text pieces of one page, in page order."""
 
-    __slots__ = ("tags", "parents", "paths", "pieces")
+    __slots__ = ("tags", "parents", "steps", "sizes", "articles", "pieces")
 
     def __init__(self) -> None:
         self.tags: list[str] = ["#page"]
         self.parents: list[int] = [-1]
-        self.paths: list[str] = [""]
+        self.steps: list[str] = [""]            # an element's own part of its path
+        self.sizes: list[int] = [0]             # length of its whole path
+        self.articles: list[bool] = [False]     # "article" occurs on its path
         self.pieces: list[tuple[int, str, bool]] = []  # element, raw text, inside a link
 
+    def add(self, tag: str, parent: int, classes: list[str]) -> int:
+        step = ".".join((f">{tag}", *classes))
+        self.tags.append(tag)
+        self.parents.append(parent)
+        self.steps.append(step)
+        self.sizes.append(self.sizes[parent] + len(step))
+        self.articles.append(self.articles[parent] or "article" in step)
+        return len(self.tags) - 1
+
+    def path(self, e: int) -> str:
+        steps = []
+        while e > 0:
+            steps.append(self.steps[e])
+            e = self.parents[e]
+        return "".join(reversed(steps))
+
+    def on_path(self, path: str) -> set[int]:
+        """Elements with this path; paths are put together only where length and end agree."""
+        return {e for e in range(1, len(self.tags)) if self.sizes[e] == len(path)
+                and path.endswith(self.steps[e]) and self.path(e) == path}
+
 
 def _drops(tag: str, attributes: str, in_article: bool) -> tuple[bool, list[str]]:
     """Whether an element is boilerplate, and its classes."""
@@ -102,7 +129,11 @@ def outline(page: str) -> Outline:
     at, n = 0, len(page)
     pieces = out.pieces
 
+    open_tags: dict[str, int] = {}  # how many of each tag are on the stack
+
     def close(to: int) -> None:
+        for t, *_ in stack[to:]:
+            open_tags[t] -= 1
         del stack[to:]
 
     while at < n:
@@ -115,11 +146,11 @@ def outline(page: str) -> Outline:
             break
         at = m.end()
         tag = m[2]
-        if not tag:
+        if not tag or m[5] == "":
             continue
         tag = tag.lower()
         if m[1]:  # an end tag closes what is open up to its element, if there is one
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1 if open_tags.get(tag) else 0, 0, -1):
                 if stack[k][0] == tag:
                     close(k)
                     break
@@ -136,7 +167,8 @@ def outline(page: str) -> Outline:
                         break
             if tag in _CLOSES:
                 same, within = _CLOSES[tag]
-                for k in range(len(stack) - 1, 0, -1):
+                some = any(open_tags.get(t) for t in same.split())
+                for k in range(len(stack) - 1 if some else 0, 0, -1):
                     if stack[k][0] in within:
                         break
                     if stack[k][0] in same.split():
@@ -147,21 +179,19 @@ def outline(page: str) -> Outline:
         if tag in _VOID:
             continue
         _, element, dropped, link = stack[-1]
-        attributes = m[3]
-        in_article = "article" in out.paths[element]
+        attributes = m[3] if m[4] is None else m[4]
+        in_article = out.articles[element]
         own, classes = _drops(tag, attributes, in_article)
         dropped = dropped or own
         if tag in _CONTAINERS and not dropped:
-            out.tags.append(tag)
-            out.parents.append(element)
-            out.paths.append(".".join((f"{out.paths[element]}>{tag}", *classes)))
-            element = len(out.tags) - 1
+            element = out.add(tag, element, classes)
         if tag in _RAW_END:
             at = _RAW_END[tag].search(page, at).end()
             continue
         if attributes.endswith("/") and tag in ("svg", "math"):
             continue
         stack.append((tag, element, dropped, link or tag == "a"))
+        open_tags[tag] = open_tags.get(tag, 0) + 1
     return out
 
 
@@ -211,7 +241,7 @@ def extract(page: str, path: str | None) -> str:
     """The article's text by the host's path if the page has it, else by its own container."""
     o = outline(page)
     if path is not None:
-        roots = {e for e, p in enumerate(o.paths) if e and p == path}
+        roots = o.on_path(path)
         if roots and (text := text_below(o, roots)):
             return text
     return text_below(o, {best_container(o)[0]})
@@ -223,7 +253,7 @@ def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for page in batch.column("html").to_pylist():
             o = outline(page or "")
             e, score = best_container(o)
-            paths.append(o.paths[e] if e else None)
+            paths.append(o.path(e) if e else None)
             scores.append(score)
         yield pa.RecordBatch.from_arrays(
             [batch.column("host"), pa.array(paths, pa.string()), pa.array(scores, pa.float64())],
