@@ -50,7 +50,8 @@ _LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def parsed(pages: DataFrame, settings: Settings) -> DataFrame:
-    """page_id, host, path, domain (registered), suffix."""
+    """page_id, host, path, name (the host without user info and port), domain (registered),
+    suffix."""
     at = F.instr("url", "://")
     rest = F.when(F.col("url").isNotNull() & (at > 0), F.expr(
         "substring(url, instr(url, '://') + 3)")).otherwise(F.lit(""))
@@ -58,11 +59,13 @@ def parsed(pages: DataFrame, settings: Settings) -> DataFrame:
     host = F.regexp_extract("__rest", r"(?s)^([^/?#]*)", 1)
     path = F.regexp_extract("__rest", r"(?s)^[^/?#]*([^?#]*)", 1)
     df = df.select("page_id", F.translate(host, *_LOWER).alias("host"), path.alias("path"))
-    two = F.substring_index("host", ".", -2)
+    name = F.regexp_replace(F.substring_index("host", "@", -1), r":[0-9]*$", "")
+    df = df.withColumn("name", name)
+    two = F.substring_index("name", ".", -2)
     double = two.isin(*settings.two_part_suffixes) if settings.two_part_suffixes else F.lit(False)
     return df.withColumns({
-        "suffix": F.when(double, two).otherwise(F.substring_index("host", ".", -1)),
-        "domain": F.when(double, F.substring_index("host", ".", -3)).otherwise(two)})
+        "suffix": F.when(double, two).otherwise(F.substring_index("name", ".", -1)),
+        "domain": F.when(double, F.substring_index("name", ".", -3)).otherwise(two)})
 
 
 def rule_for(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:
@@ -116,11 +119,18 @@ def _bound(a: Column, b: Column, z: float) -> Column:
 
 
 def reputation(pages: DataFrame, outcomes: DataFrame, settings: Settings) -> dict[str, DataFrame]:
-    """Per level the bad share's posterior; ``pages`` as from ``parsed``, outcomes (page_id, bad)."""
-    known = outcomes.select(F.col("page_id").alias("__id"), "bad")
-    counts = (pages.join(known, F.col("page_id") == F.col("__id"))
+    """Per level the bad share's posterior; ``pages`` as from ``parsed``, outcomes (page_id, bad).
+
+    The outcomes of a page_id are counted before the join and count once for each host that the
+    id occurs on, however many rows carry it: rows never multiply."""
+    known = outcomes.groupBy(F.col("page_id").alias("__id")).agg(
+        F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
+    # Port and user info are no part of a name that reputation is kept for.
+    hosts = pages.where("page_id IS NOT NULL").select(
+        "page_id", "suffix", "domain", F.col("name").alias("host")).distinct()
+    counts = (hosts.join(known, F.col("page_id") == F.col("__id"))
               .groupBy("suffix", "domain", "host")
-              .agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad")))
+              .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
     counts = materialise(counts, "reputation-counts")
     total = counts.agg(F.sum("bad").alias("bad"), F.sum("n").alias("n")).first()
     share = ((total["bad"] or 0) + 1) / ((total["n"] or 0) + 2)
@@ -139,7 +149,8 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str
     for level in LEVELS:
         side = levels[level].select(F.col(level).alias(f"__{level}"),
                                     F.struct("a", "b").alias(f"post_{level}"))
-        df = df.join(side, F.col(level) == F.col(f"__{level}"), "left").drop(f"__{level}")
+        mine = "name" if level == "host" else level
+        df = df.join(side, F.col(mine) == F.col(f"__{level}"), "left").drop(f"__{level}")
     post = F.coalesce("post_host", "post_domain", "post_suffix")
     df = df.withColumn("__p", post).withColumns({
         "bad_share": F.col("__p.a") / (F.col("__p.a") + F.col("__p.b")),
