@@ -206,22 +206,26 @@ def _quantiles(values: list[tuple[float, int]], at: tuple[float, ...]) -> list[f
 def labelled_cells(stats: DataFrame, labels: DataFrame, settings: Settings) -> Cells:
     """Contingency table over every labelled row that passes the base rule.
 
+    Labels of an id are counted before the join, and a document's row carries the two counts:
+    an id with many rows and many labels weighs as all their pairs, without making them.
     Two aggregations; the first returns at most 1,001 values a feature and class, the second
     at most (thresholds + 1) ^ features combinations.
     """
     features = list(settings.features)
     wanted = labels.filter("quality is not null and doc_id is not null") \
-        .select(F.col("doc_id").alias("__id"), (F.col("quality") == 0).alias("bad"))
+        .groupBy(F.col("doc_id").alias("__id")).agg(
+            F.count_if(F.col("quality") != 0).alias("good"), F.count_if(F.col("quality") == 0).alias("bad"))
     rows = (stats.filter(~base_failed())
             .join(wanted, F.col("doc_id") == F.col("__id"))
-            .select("bad", (F.pmod(F.xxhash64("doc_id"), F.lit(3)) < 2).alias("grow"), *features))
+            .select("good", "bad", (F.pmod(F.xxhash64("doc_id"), F.lit(3)) < 2).alias("grow"),
+                    *features))
     rows = materialise(rows, "labelled")
-    values = (rows.select("bad", F.posexplode(F.array(*features)).alias("f", "v"))
-              .groupBy("f", "bad", "v").count().collect())
+    values = (rows.select("good", "bad", F.posexplode(F.array(*features)).alias("f", "v"))
+              .groupBy("f", "v").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).collect())
     thresholds = {}
     for i, name in enumerate(features):
-        of = {b: sorted((r["v"], r["count"]) for r in values if r["f"] == i and r["bad"] == b)
-              for b in (False, True)}
+        of = {b: sorted((r["v"], r[c]) for r in values if r["f"] == i and r[c])
+              for b, c in ((False, "good"), (True, "bad"))}
         # A cut lies half way between an observed value and the next one that occurs, so a
         # rule leaves room on both sides; beyond the largest there is nothing to cut.
         cuts = {*_quantiles(of[False], settings.good_quantiles),
@@ -231,10 +235,10 @@ def labelled_cells(stats: DataFrame, labels: DataFrame, settings: Settings) -> C
     bins = [sum((F.when(F.col(f) > F.lit(t), 1).otherwise(0) for t in thresholds[f]),
                 F.lit(0)).alias(f"b{i}") for i, f in enumerate(features)]
     names = [f"b{i}" for i in range(len(features))]
-    when = lambda grow, bad: F.count(F.when((F.col("grow") == grow) & (F.col("bad") == bad), 1))
-    counted = rows.select("bad", "grow", *bins).groupBy(*names).agg(
-        when(True, False).alias("gg"), when(True, True).alias("gb"),
-        when(False, False).alias("pg"), when(False, True).alias("pb")).collect()
+    when = lambda grow, count: F.sum(F.when(F.col("grow") == grow, F.col(count)).otherwise(0))
+    counted = rows.select("good", "bad", "grow", *bins).groupBy(*names).agg(
+        when(True, "good").alias("gg"), when(True, "bad").alias("gb"),
+        when(False, "good").alias("pg"), when(False, "bad").alias("pb")).collect()
     return Cells(thresholds, {tuple(r[n] for n in names): [r["gg"], r["gb"], r["pg"], r["pb"]]
                               for r in counted})
 
