@@ -6,7 +6,9 @@
    rows reach the driver.
 3. ``best_boundaries``: dynamic programming over that global histogram picks at most
    ``buckets`` padded lengths (multiples of ``step``) with the least total padding.
-4. ``batches``: inside each bucket, sequences are dealt to shards by a hash of their identity.
+4. ``batches``: inside each bucket, sequences are dealt to shards by a hash of their identity;
+   sequences whose identity is not theirs alone (a repeated id, or none) by their row as well,
+   so that one id's rows do not fill one shard.
    The number of shards follows from the histogram, so a shard holds about
    ``batches_per_shard`` full batches however many rows a bucket has; a window numbers the
    rows of each shard and ``token_budget`` cuts them into batches.
@@ -110,12 +112,19 @@ def batches(seqs: DataFrame, histogram: dict[int, int], settings: Settings) -> D
         return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("bucket").cast("int") + 1)
 
     bucket = sum((F.when(F.col("n_tokens") > e, 1).otherwise(0) for e in ends[:-1]), F.lit(0))
-    name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("piece"))
+    seqs = seqs.withColumn("__row", F.monotonically_increasing_id())
+    shared = (seqs.filter("doc_id is not null").groupBy("doc_id", "piece").count().filter("count > 1")
+              .select(F.col("doc_id").alias("__id"), F.col("piece").alias("__piece")))
+    seqs = seqs.join(shared, (F.col("doc_id") == F.col("__id")) & (F.col("piece") == F.col("__piece")),
+                     "left")
+    several = F.col("__id").isNotNull() | F.col("doc_id").isNull()
+    name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("piece"),
+                       F.when(several, F.col("__row")))
     dealt = F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("long")
     placed = seqs.withColumn("bucket", bucket.cast("long")).withColumns({
         "bucket_len": of(ends).cast("long"), "__room": of(room).cast("long"),
         "shard": F.pmod(dealt, of(shards).cast("long"))})
-    order = Window.partitionBy("bucket", "shard").orderBy("n_tokens", "doc_id", "piece")
+    order = Window.partitionBy("bucket", "shard").orderBy("n_tokens", "doc_id", "piece", "__row")
     at = F.row_number().over(order).cast("long") - 1
     return (placed.withColumn("__at", at)
             .withColumns({"padding": F.col("bucket_len") - F.col("n_tokens"),
