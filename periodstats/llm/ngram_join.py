@@ -428,7 +428,9 @@ def _checked_links(docs: DataFrame, reps: DataFrame, candidates: DataFrame,
                         F.xxhash64("text").alias("__th"), F.col("text").cast("string"))
     # Most texts have no candidate partner. A doc_id (or none) may be that of many texts.
     wanted = maybe_in(needed, F.xxhash64("rep_doc", "rep_th"))
-    texts = texts.filter(wanted(F.xxhash64("__id", "__th")))
+    # Rows alike in id and text are one; their texts would all meet the representative.
+    texts = texts.filter(wanted(F.xxhash64("__id", "__th"))).groupBy("__id", "__th").agg(
+        F.first("text").alias("text"))
     rows = needed.join(texts, F.col("rep_doc").eqNullSafe(F.col("__id"))
                        & (F.col("rep_th") == F.col("__th")))
     blocks = F.greatest(F.ceil(F.col("m") / settings.component_block),
