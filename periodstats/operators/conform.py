@@ -73,7 +73,8 @@ def team_lookup(teams: DataFrame) -> DataFrame:
 def conformed_rows(frames: list[DataFrame], teams: DataFrame, spec: Spec = Spec()) -> DataFrame:
     """All raw rows of all seasons in the Silver column layout (before validation)."""
     players = union_seasons(frames)
-    joined = players.join(F.broadcast(team_lookup(teams)), ["season", "team"], "left")
+    # a user's file: broadcast only if the planner measures it small
+    joined = players.join(team_lookup(teams), ["season", "team"], "left")
     start = F.substring("season", 1, 4).cast("bigint")
     out = joined.withColumns({
         "season_start_year": start,

@@ -51,3 +51,4 @@ from . import queries_core  # noqa: E402,F401
 from . import queries_more  # noqa: E402,F401
 from . import queries_ml  # noqa: E402,F401
 from . import queries_files  # noqa: E402,F401
+from . import queries_gaps  # noqa: E402,F401

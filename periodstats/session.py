@@ -9,6 +9,7 @@ survive the loss of an executor.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -41,7 +42,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        # local-cluster has executors of its own, which share no folder of the driver
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="periodstats-ckpt-")
     sc.setCheckpointDir(configured)

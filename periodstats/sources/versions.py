@@ -78,6 +78,15 @@ class Layer:
             raise PublishConflict(f"{self.root}: pointer {number + 1} exists")
         return number + 1
 
+    def tables(self) -> list[str]:
+        """Names of the tables that the published versions hold, from the storage."""
+        versions = set(self.current()[1].values())
+        found = set()
+        for v in versions:
+            for f in self._fs.globStatus(self._path(f"{self.root}/*/version={v}")) or []:
+                found.add(f.getPath().getParent().getName())
+        return sorted(found)
+
     # -- tables ------------------------------------------------------------------------
     @staticmethod
     def fresh() -> str:
