@@ -27,7 +27,7 @@ def wh(spark):
 def test_topn_is_take_ordered_with_pruned_pushed_scan(spark, wh):
     p = _plan(catalog.run("discovery_topn", spark, SF))
     assert "TakeOrderedAndProject" in p
-    assert "PartitionFilters: [isnotnull(season" in p and "= 2000)" in p
+    assert re.search(r"PartitionFilters: \[[^\n]*season#\d+ = 2000", p)
     assert "GreaterThanOrEqual(minutes,1000)" in p
     assert "Window" not in p  # group statistics come from an aggregate, not a window
 
@@ -49,10 +49,11 @@ def test_no_unpartitioned_window_over_growing_tables(spark, wh):
     for df in (players, wh.read("fact_player_season_stats"),
                catalog.run("measure_value_rank", spark, SF)):
         # the only single-partition exchange allowed is over the per-partition count table
-        # (at most #partitions rows) that turns local positions into global ones
+        # (at most #partitions rows) that turns local positions into global ones, and the one that
+        # merges Spark's own join filter (a buffer of bounded size a task)
         for block in _plan(df).split("\n\n"):
             if "Arguments: SinglePartition" in block:
-                assert "__cnt" in block, block
+                assert "__cnt" in block or "[buf#" in block, block
 
 
 def test_scores_broadcast_bounded_stats(spark, wh):
