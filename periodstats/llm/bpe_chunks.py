@@ -214,6 +214,9 @@ def encode_texts(texts: list[bytes], enc: Encoder) -> Iterator[tuple[bytes, byte
                 decoded.append(value[2])
             carry = value[3]
         if carry:
+            if carry in new_joins:
+                new_joins.discard(carry)
+                good &= _repaired(text, chunks, len(chunks), carry, enc)
             join(carry)
         if not good:  # words of this text depend on more than their neighbours
             yield enc._entry(enc.tokenizer.encode(text.decode(), add_special_tokens=False).ids)

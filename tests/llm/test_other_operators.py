@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from periodstats.llm import ann_scan, chat_format, html_extract, url_reputation
 from periodstats.llm import registry
@@ -199,3 +200,27 @@ def test_pipeline_stages_follow_each_other(spark):
     for name, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, sf)
         assert empty.count() == 0, name
+
+
+def test_pipeline_with_null_ids_repeated_rows_and_other_columns(spark):
+    """Rows without an id, long and empty texts, repeated rows and columns named like the
+    stages' own go through all stages."""
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    given = spark.read.parquet(f"{sf}/documents.parquet")
+    some = given.limit(40)
+    odd = some.withColumn("doc_id", F.lit(None).cast("long")).limit(9)
+    odd = odd.union(some.limit(5)).union(some.limit(1).withColumn("text", F.lit(None).cast("string")))
+    odd = odd.union(some.limit(1).withColumn("text", F.lit("word " * 50_000)))
+    docs = given.union(odd).withColumns({c: F.lit("x") for c in (
+        "kept", "rule", "class_id", "label", "h1", "sig", "rid", "spans", "bucket", "shard", "row")})
+    columns, before = docs.columns, docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf)
+        assert docs.columns == columns, name
+        assert 0 < docs.count() <= before, name
+        before = docs.count()
+    left = docs.count()
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
+    assert packed.where("piece = 0").count() == left
