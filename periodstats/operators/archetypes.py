@@ -33,13 +33,11 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..plans.numbering import exact_medians
 from ..session import scratch_path
-from ..spec import MAX_CLUSTERS, MIN_CLUSTERS, Spec
+from ..spec import (MAX_CLUSTERS, MIN_CLUSTERS, NOT_CLUSTERED, TOO_FEW_FEATURES, TOO_FEW_PLAYERS,
+                    Spec)
 from .scoring import cohort, validate_required_columns
 
 CLUSTERED = "clustered"
-TOO_FEW_PLAYERS = "insufficient_players_for_clustering"
-TOO_FEW_FEATURES = "insufficient_feature_data"
-NOT_CLUSTERED = "not_clustered"
 MAX_PASSES = 300
 UNIT = 1_000_000_000  # vectors and sums of them are whole numbers of this part
 

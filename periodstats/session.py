@@ -52,7 +52,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder."""
-    return f"{shared_dir(spark)}/periodstats/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/periodstats/{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+#: Paths given out by ``scratch_path``, by application.
+_MADE: dict[str, list[str]] = {}
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove what this application has written to paths of ``scratch_path``; their number.
+
+    For a caller that has written its results elsewhere: frames that read intermediates, and
+    warehouses in the scratch folder, cannot be read afterwards."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    made = _MADE.pop(spark.sparkContext.applicationId, [])
+    return sum(bool(make(p).getFileSystem(conf).delete(make(p), True)) for p in made)
 
 
 def as_local_path(path: str) -> str:

@@ -18,6 +18,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
+L, D, S, B = LongType(), DoubleType(), StringType(), BooleanType()
+
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference for equal results)
 # ---------------------------------------------------------------------------
@@ -47,10 +49,6 @@ KMEANS_RESTARTS = 10
 HIDDEN_GEM_WEIGHT = 0.70
 OVERPERFORMANCE_WEIGHT = 0.30
 RAW_FILES = ("players_raw.csv", "teams.csv")
-# ---------------------------------------------------------------------------
-
-L, D, S, B = LongType(), DoubleType(), StringType(), BooleanType()
-
 # Core raw columns every season is conformed to (``starts`` is missing in early layouts).
 CORE_FIELDS = [
     ("code", L), ("web_name", S), ("first_name", S), ("second_name", S),
@@ -63,37 +61,6 @@ CORE_FIELDS = [
 ]
 # Actual-versus-expected inputs, absent before the layout change.
 XG_FIELDS = [("expected_goals", D), ("expected_assists", D), ("expected_goal_involvements", D)]
-
-RAW_FIELDS = CORE_FIELDS + XG_FIELDS
-RAW_SCHEMA = StructType([StructField(n, t) for n, t in RAW_FIELDS])
-
-SILVER_FIELDS = CORE_FIELDS + XG_FIELDS + [
-    ("team_name", S), ("season", S), ("season_start_year", L), ("season_end_year", L),
-    ("position", S), ("ingest_seq", L),
-]
-REJECTED_FIELDS = SILVER_FIELDS + [("reject_reason", S)]
-
-MEASURE_COLUMNS = [
-    "minutes", "starts", "goals_scored", "assists", "clean_sheets", "goals_conceded",
-    "own_goals", "yellow_cards", "red_cards", "saves", "penalties_missed", "penalties_saved",
-    "bonus", "bps", "influence", "creativity", "threat", "ict_index", "now_cost",
-    "selected_by_percent", "total_points", "points_per_game", "expected_goals",
-    "expected_assists", "expected_goal_involvements",
-]
-_TYPES = dict(CORE_FIELDS + XG_FIELDS)
-FACT_FIELDS = [("fact_id", L), ("player_key", L), ("team_key", L), ("season_key", L),
-               ("position_key", L)] + [(c, _TYPES[c]) for c in MEASURE_COLUMNS]
-DIM_PLAYER_FIELDS = [("player_key", L), ("code", L), ("web_name", S), ("first_name", S),
-                     ("second_name", S)]
-DIM_TEAM_FIELDS = [("team_key", L), ("team_name", S)]
-DIM_SEASON_FIELDS = [("season_key", L), ("season", S), ("start_year", L)]
-DIM_POSITION_FIELDS = [("position_key", L), ("position_code", S), ("position_name", S)]
-
-# Star-join projection feeding the feature table (``position_code AS position``).
-WIDE_FIELDS = [("code", L), ("web_name", S), ("team_name", S), ("season", S),
-               ("start_year", L), ("position", S)] + [
-    (c, _TYPES[c]) for c in MEASURE_COLUMNS]
-
 # (feature name, numerator columns) of the per-90 rates, in output order.
 PER_90 = [
     ("goals_per_90", ["goals_scored"]),
@@ -118,6 +85,44 @@ HISTORY_FIELDS = ["points_per_game_prev_season", "points_per_game_yoy_change",
                   "points_per_90_prev_season", "points_per_90_yoy_change",
                   "points_consistency_std", "goals_per_90_trend_slope",
                   "assists_per_90_trend_slope"]
+OUTLIER_OUTPUT_COLUMNS = [
+    "web_name", "team_name", "position", "minutes", "cost_millions", "total_points",
+    "points_per_million", "selected_by_percent", "goals_per_90", "assists_per_90",
+    "goals_minus_xg_per_90", "assists_minus_xa_per_90", "hidden_gem_score",
+    "overperformance_score", "discovery_score",
+]
+# labels of rows that are in no cluster
+TOO_FEW_PLAYERS = "insufficient_players_for_clustering"
+TOO_FEW_FEATURES = "insufficient_feature_data"
+NOT_CLUSTERED = "not_clustered"
+# ---------------------------------------------------------------------------
+
+RAW_FIELDS = CORE_FIELDS + XG_FIELDS
+RAW_SCHEMA = StructType([StructField(n, t) for n, t in RAW_FIELDS])
+
+SILVER_FIELDS = CORE_FIELDS + XG_FIELDS + [
+    ("team_name", S), ("season", S), ("season_start_year", L), ("season_end_year", L),
+    ("position", S), ("ingest_seq", L),
+]
+REJECTED_FIELDS = SILVER_FIELDS + [("reject_reason", S)]
+
+#: Raw columns that describe a player rather than a season of one.
+_DESCRIPTIVE = ("code", "web_name", "first_name", "second_name", "element_type", "team")
+MEASURE_COLUMNS = [n for n, _ in RAW_FIELDS if n not in _DESCRIPTIVE]
+_TYPES = dict(RAW_FIELDS)
+FACT_FIELDS = [("fact_id", L), ("player_key", L), ("team_key", L), ("season_key", L),
+               ("position_key", L)] + [(c, _TYPES[c]) for c in MEASURE_COLUMNS]
+DIM_PLAYER_FIELDS = [("player_key", L), ("code", L), ("web_name", S), ("first_name", S),
+                     ("second_name", S)]
+DIM_TEAM_FIELDS = [("team_key", L), ("team_name", S)]
+DIM_SEASON_FIELDS = [("season_key", L), ("season", S), ("start_year", L)]
+DIM_POSITION_FIELDS = [("position_key", L), ("position_code", S), ("position_name", S)]
+
+# Star-join projection feeding the feature table (``position_code AS position``).
+WIDE_FIELDS = [("code", L), ("web_name", S), ("team_name", S), ("season", S),
+               ("start_year", L), ("position", S)] + [
+    (c, _TYPES[c]) for c in MEASURE_COLUMNS]
+
 FEATURE_FIELDS = (
     WIDE_FIELDS
     + [(n, D) for n, _ in PER_90]
@@ -128,14 +133,6 @@ FEATURE_FIELDS = (
        ("has_xa_data", B)]
 )
 
-OUTLIER_OUTPUT_COLUMNS = [
-    "web_name", "team_name", "position", "minutes", "cost_millions", "total_points",
-    "points_per_million", "selected_by_percent", "goals_per_90", "assists_per_90",
-    "goals_minus_xg_per_90", "assists_minus_xa_per_90", "hidden_gem_score",
-    "overperformance_score", "discovery_score",
-]
-
-
 def struct_of(fields) -> StructType:
     return StructType([StructField(n, t) for n, t in fields])
 

@@ -176,3 +176,14 @@ def test_of_two_writers_one_fails(spark):
     with pytest.raises(versions.PublishConflict):
         layer.publish({"a": "2"}, after=0)
     assert layer.publish({"b": "3"}, after=1) == 2 and layer.current() == (2, {"a": "1", "b": "3"})
+
+
+def test_scratch_is_cleared_on_demand(spark, monkeypatch):
+    from periodstats import session
+    monkeypatch.setattr(session, "_MADE", {})  # paths of other tests stay
+    path = session.scratch_path(spark, "t-clear")
+    spark.range(3).write.parquet(path)
+    unused = session.scratch_path(spark, "t-clear")
+    assert os.path.exists(as_local_path(path)) and not os.path.exists(as_local_path(unused))
+    assert session.clear_scratch(spark) == 1 and session.clear_scratch(spark) == 0
+    assert not os.path.exists(as_local_path(path))
