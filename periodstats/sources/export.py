@@ -57,8 +57,10 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     lines = records.lines_of(spark, [path])
     placed = records.placed(lines, records.blocks_of(lines))
     rows = records.records_of(placed, ["path"]).where((F.col("line_no") > 0) & (F.length("record") > 0))
-    return rows.select(F.from_csv("record", schema.simpleString()[7:-1].replace(":", " "),
-                                  {"escape": '"', "multiLine": "true"}).alias("r")).select("r.*")
+    # An absent value is written as nothing, an empty string in quotes; by default both read as absent.
+    options = {"escape": '"', "multiLine": "true", "nullValue": "\u0000", "emptyValue": ""}
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    return rows.select(F.from_csv("record", fields, options).alias("r")).select("r.*")
 
 
 read_exported = read_csv

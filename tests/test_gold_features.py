@@ -153,3 +153,91 @@ def test_export_counts_rows_while_writing(spark, synthetic):
     export.export_tables(gold, scratch_path(spark, "t-export"), counts)
     assert counts == {"dim_player": 12, "dim_team": 3, "dim_season": 2, "dim_position": 4,
                       "fact_player_season_stats": 17}
+
+
+def _two_seasons(spark):
+    from fixtures import season_frames
+    frames, teams = season_frames(spark)
+    return Warehouse(spark, None, frames=frames, teams=teams)
+
+
+def test_a_fact_with_orphans_is_not_published(spark, monkeypatch):
+    """The write of the fact counts keys that did not resolve; the old Gold stays."""
+    from periodstats.operators import star
+    wh = _two_seasons(spark)
+    facts = wh.read("fact_player_season_stats").count()
+    assert facts == 17
+    before = wh.layer("gold").current()
+    build = star.fact_table
+    monkeypatch.setattr(star, "fact_table", lambda *a: build(*a).withColumn(
+        "team_key", F.when(F.col("fact_id") != 3, F.col("team_key"))))
+    wh._built.discard("gold")
+    with pytest.raises(AssertionError, match="team.: 1"):
+        wh.read("dim_player")
+    monkeypatch.undo()
+    assert wh.layer("gold").current() == before
+    again = Warehouse(spark, None, root=wh.root, frames=[], teams=None)
+    again._built |= {"raw", "silver", "gold", "features"}  # reads what is published, builds nothing
+    assert again.read("fact_player_season_stats").where("team_key IS NULL").count() == 0
+    assert again.read("fact_player_season_stats").count() == facts
+    wh.read("dim_player")  # the next build publishes
+    assert wh.layer("gold").current()[0] == before[0] + 1
+
+
+@pytest.mark.parametrize("dies_at", ["dim_player", "fact_player_season_stats"])
+def test_a_gold_build_that_dies_leaves_the_old_tables(spark, monkeypatch, dies_at):
+    wh = _two_seasons(spark)
+    names = {t: wh.read(t).count() for t in ("dim_player", "dim_team", "fact_player_season_stats")}
+    write = Warehouse._write_counted
+
+    def dying(self, df, counts, path, by=None):
+        if f"/{dies_at}/" in path:
+            raise RuntimeError("lost")
+        return write(self, df.limit(1), counts, path, by)
+    monkeypatch.setattr(Warehouse, "_write_counted", dying)
+    wh._built.discard("gold")
+    with pytest.raises(RuntimeError, match="lost"):
+        wh.read("dim_team")
+    assert {t: wh._published(t).count() for t in names} == names
+
+
+def test_feature_rows_come_in_order_and_one_file_holds_a_key(spark):
+    wh = _two_seasons(spark)
+    rows = [(r.season, r.position, r.code) for f in sorted(
+        r.path for r in wh.feature_files().collect())
+        for r in spark.read.parquet(f).withColumn("season", F.lit(f.split("season=")[1].split("/")[0]))
+        .select("season", "position", "code").collect()]
+    assert rows == sorted(rows) and len(rows) == 17
+    season, position, code = rows[5]
+    one = wh.feature_row(season, position, code)
+    assert one.columns == wh.features().columns and one.first().code == code
+    assert len(one.inputFiles()) == 1
+    assert wh.feature_row(season, position, -1).isEmpty()
+
+
+def test_metrics_are_those_of_the_writes(spark):
+    wh = _two_seasons(spark)
+    got = {(r.stage, r.season, r.metric): r.value for r in wh.metrics().collect()}
+    clean = {r.season: r["count"] for r in wh.silver().groupBy("season").count().collect()}
+    for s, n in clean.items():
+        assert got["silver", s, "clean_rows"] == got["features", s, "feature_rows"] == n
+        assert got["silver", s, "rejected_rows"] == 0
+    assert got["silver", None, "total_clean_rows"] == got["features", None, "feature_rows"] == 17
+    assert got["features", None, "players"] == wh.features().select("code").distinct().count()
+    assert "Scan parquet" not in wh.metrics()._jdf.queryExecution().toString()
+
+
+def test_sinks_are_compared_by_content(spark):
+    from periodstats.session import scratch_path
+    from periodstats.sources import export
+    df = spark.createDataFrame([(1, 'He said "hi", ok', 0.1), (2, "two\nlines", -1e-300), (3, "", None),
+                                (4, None, 1e300), (5, " edge ", float("inf")), (5, " edge ", float("inf"))],
+                               "code bigint, name string, x double").repartition(3)
+    path = scratch_path(spark, "t-sink") + "/t.csv"
+    r = export.compared(spark, "t", df, path).first()
+    assert (r.table_name, r.rows, r.same_rows, r.same_content) == ("t", 6, True, True)
+    back = export.read_csv(spark, path, df.schema)
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+    other = back.withColumn("x", F.when(F.col("code") != 4, F.col("x")))
+    one, two = (d.agg(export.fingerprint(d.columns).alias("f")).first().f for d in (df, other))
+    assert one != two
