@@ -83,6 +83,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {"op1_length_buckets": packing.oracle_sql(),
             "op2_chat_format": chat_format.oracle_sql(),
+            "op6_url_reputation": url_reputation.oracle_sql(),
             "op11_rlz_repeats": repeats.oracle_sql(),
             "op12_spelling_variants": spelling.oracle_sql(),
             "op13_collocations": collocations.oracle_sql()}

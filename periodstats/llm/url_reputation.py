@@ -142,7 +142,8 @@ def reputation(pages: DataFrame, outcomes: DataFrame, settings: Settings) -> dic
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str, str]],
                settings: Settings | None = None) -> DataFrame:
-    """page_id, host, path, rule, verdict, posterior mean and lower bound of the bad share."""
+    """page_id, host, path, rule, verdict, posterior mean and lower bound of the bad share (the
+    last two rounded to 6 digits; the verdict is of the unrounded bound)."""
     settings = settings or Settings()
     df = parsed(pages.select("page_id", "url"), settings)
     levels = reputation(df, outcomes, settings)
@@ -159,4 +160,71 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str
     own = F.when(F.col("bad_bound") > settings.bad_share, "block").otherwise("allow")
     return df.select("page_id", "host", "path", F.col("__rule.rule").alias("rule"),
                      F.coalesce(F.col("__rule.verdict"), own).alias("verdict"),
-                     "bad_share", "bad_bound")
+                     F.round("bad_share", 6).alias("bad_share"),
+                     F.round("bad_bound", 6).alias("bad_bound"))
+
+
+def oracle_sql(settings: Settings | None = None, digits: int = 6) -> str:
+    """The same in DuckDB for outcomes from ``labels``; posteriors rounded to ``digits``."""
+    s = settings or Settings()
+    two = ", ".join(f"'{x}'" for x in s.two_part_suffixes) or "NULL"
+    rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)
+
+    def level(name: str, above: str | None) -> str:
+        keys = f"{above}, {name}" if above else name
+        source = (f"SELECT c.{name}, sum(n) AS n, sum(bad) AS bad, any_value(u.mean) AS prior "
+                  f"FROM counts c JOIN p_{above} u USING ({above}) GROUP BY {keys}" if above else
+                  f"SELECT {name}, sum(n) AS n, sum(bad) AS bad, (SELECT share FROM total) AS prior "
+                  f"FROM counts GROUP BY {name}")
+        return f"""
+s_{name} AS ({source}),
+m_{name} AS (
+  SELECT sum((bad - n * prior) ** 2) AS seen, sum(n * prior * (1 - prior)) AS noise,
+         sum(n * prior * (1 - prior) * (n - 1)) AS room FROM s_{name}),
+r_{name} AS (SELECT CASE WHEN room > 0 THEN (seen - noise) / room ELSE 0 END AS rho FROM m_{name}),
+t_{name} AS (SELECT least(greatest(CASE WHEN rho > 1e-9 THEN 1 / rho - 1 ELSE {s.most_strength} END,
+                                   {s.least_strength}), {s.most_strength}) AS strength FROM r_{name}),
+p_{name} AS (
+  SELECT {name}, bad + prior * strength AS a, n - bad + (1 - prior) * strength AS b,
+         (bad + prior * strength) / (n + strength) AS mean FROM s_{name}, t_{name})"""
+
+    return f"""
+WITH rest AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END
+    AS rest FROM pages),
+split AS (
+  SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), '{_LOWER[0]}',
+                            '{_LOWER[1]}') AS host,
+         regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+named AS (SELECT *, regexp_replace(string_split(host, '@')[-1], ':[0-9]*$', '') AS name FROM split),
+parts AS (SELECT *, string_split(name, '.') AS w FROM named),
+parsed AS (
+  SELECT page_id, host, path, name,
+    CASE WHEN two IN ({two}) THEN two ELSE w[-1] END AS suffix,
+    CASE WHEN two IN ({two}) THEN array_to_string(w[-3:], '.') ELSE two END AS domain
+  FROM (SELECT *, array_to_string(w[-2:], '.') AS two FROM parts)),
+known AS (SELECT doc_id AS page_id, count(*) AS n, count_if(quality = 0) AS bad FROM labels
+          WHERE quality IS NOT NULL GROUP BY 1),
+counts AS (
+  SELECT suffix, domain, name AS host, sum(n)::DOUBLE AS n, sum(bad)::DOUBLE AS bad
+  FROM (SELECT DISTINCT page_id, suffix, domain, name FROM parsed) JOIN known USING (page_id)
+  GROUP BY 1, 2, 3),
+total AS (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) AS share FROM counts),
+{level("suffix", None).strip()},{level("domain", "suffix")},{level("host", "domain")},
+rules AS (SELECT * FROM (VALUES {rules}) v(verdict, rhost, rpath)),
+ruled AS (
+  SELECT page_id, host, path, name, suffix, domain, (
+    SELECT {{'rule': rhost || rpath, 'verdict': verdict}} FROM rules
+    WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+    ORDER BY length(rhost || rpath) DESC, verdict, rhost, rpath LIMIT 1) AS r FROM parsed),
+judged AS (
+  SELECT page_id, j.host, path, r, coalesce(h.a, d.a, x.a) AS a, coalesce(h.b, d.b, x.b) AS b
+  FROM ruled j LEFT JOIN p_host h ON h.host = j.name LEFT JOIN p_domain d ON d.domain = j.domain
+  LEFT JOIN p_suffix x ON x.suffix = j.suffix),
+bounded AS (
+  SELECT *, a / (a + b) AS mean,
+         a / (a + b) - {s.z} * sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1)) AS low FROM judged)
+SELECT page_id, host, path, r.rule AS rule,
+  coalesce(r.verdict, CASE WHEN low > {s.bad_share} THEN 'block' ELSE 'allow' END) AS verdict,
+  round(mean, {digits}) AS bad_share, round(low, {digits}) AS bad_bound
+FROM bounded"""

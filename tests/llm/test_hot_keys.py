@@ -94,7 +94,7 @@ def test_posteriors_equal_a_second_computation(spark):
         a, b = next(post[x] for x in reversed(level[h]) if x in post)
         m = a / (a + b)
         bound = m - s.z * math.sqrt(m * (1 - m) / (a + b + 1))
-        assert got[i] == (pytest.approx(m), pytest.approx(bound))
+        assert got[i] == (pytest.approx(m, abs=1e-6), pytest.approx(bound, abs=1e-6))
 
 
 def test_equal_rows_meet_their_representative_once(docs_of):
