@@ -172,7 +172,7 @@ def test_queries_match_their_sql(spark):
     duckdb = pytest.importorskip("duckdb")
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "pages", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     for name, sql in registry.oracle_sql().items():
         rel = con.sql(sql)
