@@ -58,7 +58,7 @@ def main() -> None:
     # cold pass (clusters, landed files) are computed again, not reused
     fresh = Warehouse(spark, sf_dir)
     warm = {"build_layers": _run(fresh.build_all)}
-    wh_mod._CACHE[(spark.sparkContext.applicationId, sf_dir)] = fresh
+    wh_mod.serve(fresh)
     for name in names:
         warm[name] = _run(query(name))
 

@@ -411,8 +411,19 @@ def _contents(spark: SparkSession, sf_dir: str) -> tuple:
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The run's warehouse for ``sf_dir``: built once per application and state of the folder."""
-    key = (spark.sparkContext.applicationId, sf_dir, _contents(spark, sf_dir))
+    key = _key(spark, sf_dir)
     with _CACHE_LOCK:
         if key not in _CACHE:
             _CACHE[key] = Warehouse(spark, sf_dir)
         return _CACHE[key]
+
+
+def _key(spark: SparkSession, sf_dir: str) -> tuple:
+    return spark.sparkContext.applicationId, sf_dir, _contents(spark, sf_dir)
+
+
+def serve(wh: Warehouse) -> None:
+    """Let ``warehouse`` give this one for its folder from now on."""
+    key = _key(wh.spark, wh.sf_dir)
+    with _CACHE_LOCK:
+        _CACHE[key] = wh
