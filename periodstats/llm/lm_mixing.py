@@ -34,6 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +49,7 @@ class Settings:
     least_count: int = 3         # and how often such a token occurs; rarer ones teach spelling
     table_bits: int = 18         # slots of each hashed predictor
     flush_tokens: int = 400_000  # distinct tokens counted in a task before they are given out
+    split_bytes: int = 2_000_000  # bytes of texts split into words at once
     batch_symbols: int = 60_000  # symbols expanded at once
     first_block: int = 32        # symbols of a text before the first update
     last_block: int = 4096
@@ -64,33 +66,76 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """Words in lower case (A-Z only), then the end."""
-    return [*text.lower().split(), END]
+def _texts(batch: pa.RecordBatch) -> pa.Array:
+    return batch.column("text").cast(pa.large_binary()).fill_null(b"")
 
 
-# -- corpus counts -------------------------------------------------------------------------
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words in lower case (A-Z only) of all texts, laid end to end, and how many each text has.
 
-def _binary(batch: pa.RecordBatch) -> list[bytes]:
-    return batch.column("text").cast(pa.binary()).fill_null(b"").to_pylist()
+    Only ASCII is looked at, so the bytes need not be valid UTF-8.
+    """
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.large_string())))
+    words = parts.flatten()
+    some = pc.binary_length(words).to_numpy() > 0  # white space at a border gives empty strings
+    before = np.concatenate(([0], np.cumsum(some)))
+    counts = np.diff(before[parts.offsets.to_numpy()])
+    return words.filter(pa.array(some)).view(pa.large_binary()), counts
+
+
+def _laid_out(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all strings and the length of each."""
+    offsets = np.frombuffer(strings.buffers()[1], dtype=np.int64)[
+        strings.offset:strings.offset + len(strings) + 1] if len(strings) else np.zeros(1, np.int64)
+    if offsets[0] == offsets[-1]:
+        return np.empty(0, dtype=np.uint8), np.diff(offsets)
+    data = np.frombuffer(strings.buffers()[2], dtype=np.uint8)
+    return data[offsets[0]:offsets[-1]], np.diff(offsets)
+
+
+def _runs(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of texts of at most ``most`` in all; a larger text comes alone."""
+    lo = held = 0
+    for i, size in enumerate(sizes.tolist()):
+        if i > lo and held + size > most:
+            yield lo, i
+            lo, held = i, 0
+        held += size
+    if lo < len(sizes):
+        yield lo, len(sizes)
+
+
+def _pieces(texts: pa.Array, settings: Settings) -> Iterator[tuple[int, int]]:
+    return _runs(pc.binary_length(texts).to_numpy(), settings.split_bytes)
+
+
+# -- corpus counts -------------------------------------------------------------------------
 
 
 def _count(settings: Settings):
-    def give(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())],
-            names=["token", "c"])
+    def merged(parts: list[pa.RecordBatch]) -> pa.Table:
+        whole = pa.Table.from_batches(parts).group_by("token", use_threads=False)
+        return whole.aggregate([("c", "sum")]).rename_columns({"c_sum": "c"}).select(["token", "c"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        parts, held = [], 0
         for batch in batches:
-            for text in _binary(batch):
-                counts.update(tokens(text))
-                if len(counts) > settings.flush_tokens:
-                    yield give(counts)
-                    counts = Counter()
-        if counts:
-            yield give(counts)
+            texts = _texts(batch)
+            for lo, hi in _pieces(texts, settings):
+                times = words_of(texts.slice(lo, hi - lo))[0].value_counts()
+                found = times.field("values").cast(pa.binary()), times.field("counts")
+                ends = pa.array([END], pa.binary()), pa.array([hi - lo], pa.int64())
+                parts += [pa.RecordBatch.from_arrays(list(x), names=["token", "c"])
+                          for x in (found, ends)]
+                held += len(times) + 1
+                if held > 2 * settings.flush_tokens:
+                    whole = merged(parts)
+                    parts, held = whole.to_batches(), len(whole)
+                    if held > settings.flush_tokens:
+                        yield from parts
+                        parts, held = [], 0
+        if parts:
+            yield from merged(parts).to_batches()
     return run
 
 
@@ -146,7 +191,8 @@ class Codes:
     """Symbols: head tokens, escape, 256 bytes, end of word; their paths laid end to end."""
 
     def __init__(self, head: list[tuple[bytes, int]], rest: int) -> None:
-        self.numbers = {t: i for i, (t, _) in enumerate(head)}
+        self.words = pa.array([t for t, _ in head], pa.large_binary())
+        self.end = [t for t, _ in head].index(END)
         n = len(head)
         self.escape, self.byte, self.stop = n, n + 1, n + 257
         self.symbols = n + 258
@@ -162,14 +208,14 @@ class Codes:
         self.length = np.array([len(p) for p in paths], dtype=np.int64)
         self.start = np.cumsum(self.length) - self.length
         flat = [x for p in paths for x in p]
-        self.node = np.array([a for a, _ in flat], dtype=np.int32)
-        self.bit = np.array([b for _, b in flat], dtype=np.uint8)
+        node = np.array([a for a, _ in flat], dtype=np.int32)
+        bit = np.array([b for _, b in flat], dtype=np.int32)
         self.nodes = shift + 256
         # Gates of the places: words 0 to 7 by depth, spelling 8 and 9.
         symbol = np.repeat(np.arange(self.symbols), self.length)
         depth = np.arange(len(symbol)) - self.start[symbol]
-        self.gate = np.where(symbol > self.escape, 8 + np.minimum(depth, 1),
-                             np.minimum(depth >> 1, 7)).astype(np.int8)
+        gate = np.where(symbol > self.escape, 8 + np.minimum(depth, 1), np.minimum(depth >> 1, 7))
+        self.places = node << 5 | gate.astype(np.int32) << 1 | bit  # read at once, in ``expand``
 
     @classmethod
     def of(cls, state: dict) -> Codes:
@@ -178,35 +224,60 @@ class Codes:
         out.__dict__.update(state)
         return out
 
-    def stream(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list]:
-        """Symbols, the text of each, and per text (tokens, head ids, tokens outside)."""
-        get = self.numbers.get
-        per_text, all_ids, rare_all, sizes = [], [], [], []
-        for text in texts:
-            words = tokens(text)
-            ids = np.array([get(w, -1) for w in words], dtype=np.int64)
-            rare = [words[i] for i in np.flatnonzero(ids < 0).tolist()]
-            per_text.append((len(words), ids, rare))
-            all_ids.append(ids)
-            rare_all += rare
-            sizes.append(len(ids) + sum(map(len, rare)) + 2 * len(rare) - len(rare))
-        ids = np.concatenate(all_ids)
-        rare_len = np.array([len(w) for w in rare_all], dtype=np.int64)
+    def stream(self, texts: pa.Array | list[bytes]) -> tuple[np.ndarray, np.ndarray, Words]:
+        """Symbols, the text of each, and the tokens behind them."""
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.large_binary())
+        words, counts = words_of(texts)
+        found = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy()
+        sizes = counts + 1
+        ends = np.cumsum(sizes) - 1
+        is_word = np.ones(len(found) + len(texts), dtype=bool)
+        is_word[ends] = False
+        ids = np.full(len(is_word), self.end, dtype=np.int64)
+        ids[is_word] = found
+        rare = words.filter(pa.array(found < 0))
+        spelled, rare_len = _laid_out(rare)
         width = np.ones(len(ids), dtype=np.int64)
         is_rare = ids < 0
         width[is_rare] = rare_len + 2
         at = np.cumsum(width) - width
         out = np.empty(int(width.sum()), dtype=np.int64)
         out[at[~is_rare]] = ids[~is_rare]
-        if rare_all:
+        if len(rare):
             first = at[is_rare]
             out[first] = self.escape
             out[first + rare_len + 1] = self.stop
-            spelled = np.frombuffer(b"".join(rare_all), dtype=np.uint8).astype(np.int64)
             inside = np.arange(len(spelled)) - np.repeat(np.cumsum(rare_len) - rare_len, rare_len)
-            out[np.repeat(first + 1, rare_len) + inside] = spelled + self.byte
-        lengths = [int(w.sum()) for w in np.split(width, np.cumsum([len(x) for x in all_ids])[:-1])]
-        return out, np.repeat(np.arange(len(texts)), lengths), per_text
+            out[np.repeat(first + 1, rare_len) + inside] = spelled + np.int64(self.byte)
+        lengths = np.add.reduceat(width, ends + 1 - sizes)
+        return out, np.repeat(np.arange(len(texts)), lengths), Words(sizes, ids, rare)
+
+
+@dataclass(frozen=True)
+class Words:
+    sizes: np.ndarray  # tokens of each text, its end included
+    ids: np.ndarray    # head numbers of the tokens of all texts, -1 outside the head
+    rare: pa.Array     # the tokens outside, in order
+
+    def head_counts(self) -> np.ndarray:
+        return np.add.reduceat(self.ids >= 0, np.cumsum(self.sizes) - self.sizes, dtype=np.int64)
+
+    def base_sums(self, base: np.ndarray) -> list[float]:
+        """Exactly rounded sums of ``base`` over the head tokens of each text."""
+        values = base[self.ids[self.ids >= 0]].tolist()
+        ends = np.cumsum(self.head_counts()).tolist()
+        return [math.fsum(values[a:b]) for a, b in zip([0, *ends], ends)]
+
+    def rare_counts(self) -> tuple[pa.Array, pa.Array]:
+        """Distinct tokens outside the head, per text, and how often each occurs there."""
+        coded = self.rare.cast(pa.binary()).dictionary_encode()
+        of_text = np.repeat(np.arange(len(self.sizes)), self.sizes)[self.ids < 0]
+        size = len(coded.dictionary) + 1
+        keys, times = np.unique(of_text * size + coded.indices.to_numpy(), return_counts=True)
+        bounds = pa.array(np.searchsorted(keys, np.arange(len(self.sizes) + 1) * size), pa.int32())
+        return (pa.ListArray.from_arrays(bounds, coded.dictionary.take(pa.array(keys % size))),
+                pa.ListArray.from_arrays(bounds, pa.array(times, pa.int32())))
 
 
 def _hash(x: np.ndarray) -> np.ndarray:
@@ -228,30 +299,17 @@ def contexts(symbols: np.ndarray, texts: np.ndarray, none: int) -> tuple[np.ndar
 
 def expand(codes: Codes, symbols: np.ndarray, h1: np.ndarray, h2: np.ndarray,
            bits: int) -> tuple[np.ndarray, ...]:
-    """Decisions of each symbol; per decision its place in the paths, node, bit and slots of
-    orders 1 and 2."""
+    """Decisions of each symbol; per decision its gate, node, bit and slots of orders 1 and 2."""
     n = codes.length[symbols]
     first = np.cumsum(n) - n
     where = np.arange(int(n.sum())) + np.repeat(codes.start[symbols] - first, n)
-    node = codes.node[where]
-    salt = node.astype(np.uint32) * np.uint32(0x9E3779B1)
+    place = codes.places[where]
+    node = place >> 5
+    salt = node.view(np.uint32) * np.uint32(0x9E3779B1)
     shift = np.uint32(32 - bits)
     s1 = ((np.repeat(h1, n) ^ salt) * np.uint32(0xC2B2AE35)) >> shift
     s2 = ((np.repeat(h2, n) ^ salt) * np.uint32(0x27D4EB2F)) >> shift
-    return n, where, node, codes.bit[where], s1, s2
-
-
-def _parts(texts: list[bytes], settings: Settings) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about ``batch_symbols`` symbols; a longer text comes alone."""
-    lo = held = 0
-    for i, t in enumerate(texts):
-        size = len(t) // 4 + 1
-        if held and held + size > settings.batch_symbols:
-            yield lo, i
-            lo, held = i, 0
-        held += size
-    if lo < len(texts):
-        yield lo, len(texts)
+    return n, place >> 1 & 15, node, (place & 1).astype(np.uint8), s1, s2
 
 
 # -- decision counts -----------------------------------------------------------------------
@@ -269,9 +327,9 @@ def _tally(codes, settings: Settings):
         seen = np.zeros((_slots(c, settings), 2), dtype=np.int64)  # zeros and ones per slot
         flat = seen.reshape(-1)
         for batch in batches:
-            texts = _binary(batch)
-            for lo, hi in _parts(texts, settings):
-                symbols, of_text, _ = c.stream(texts[lo:hi])
+            texts = _texts(batch)
+            for lo, hi in _pieces(texts, settings):
+                symbols, of_text, _ = c.stream(texts.slice(lo, hi - lo))
                 h1, h2 = contexts(symbols, of_text, c.symbols)
                 for a in range(0, len(symbols), settings.batch_symbols):
                     to = a + settings.batch_symbols
@@ -328,6 +386,11 @@ def predictor_logits(training: DataFrame, codes: Codes, shared, settings: Settin
 
 # -- mixing --------------------------------------------------------------------------------
 
+def _at(table: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """``table[places]`` for places known to be inside."""
+    return np.take(table, places.astype(np.intp, copy=False), mode="clip")
+
+
 def block_edges(most: int, settings: Settings) -> np.ndarray:
     edges, size = [0], settings.first_block
     while edges[-1] <= most:
@@ -345,44 +408,66 @@ def log_probabilities(codes: Codes, logits: np.ndarray, symbols: np.ndarray, of_
     h1, h2 = contexts(symbols, of_text, codes.symbols)
     first = np.searchsorted(of_text, np.arange(texts))
     place = np.arange(len(symbols)) - first[of_text]
-    block = np.searchsorted(block_edges(int(place.max()), settings), place, "right") - 1
-    order = np.argsort(block, kind="stable")
-    bounds = np.searchsorted(block[order], np.arange(block.max() + 2))
+    edges = block_edges(int(place.max()), settings)
+    block = np.searchsorted(edges, place, "right") - 1
+    # In a block, texts that end with it come last: nothing is predicted from what they teach.
+    last = block[np.append(first[1:], len(symbols)) - 1]
+    turn = 2 * block + (block == last[of_text])
+    order = np.argsort(turn, kind="stable")
+    bounds = np.searchsorted(turn[order], np.arange(2 * int(block.max()) + 3)).tolist()
     weights = np.repeat(np.array(settings.start_weights)[:, None], texts * GATES, axis=1)
     steps = settings.apm_steps
     centres = (np.arange(steps) + 0.5) / steps * 16 - 8
     apm_ones = np.tile(settings.apm_prior / (1 + np.exp(-centres)), texts * GATES)
     apm_all = np.full(texts * GATES * steps, settings.apm_prior)
     total = np.zeros(texts)
-    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+    for lo, going, hi in zip(bounds[:-2:2], bounds[1:-1:2], bounds[2::2], strict=True):
         at = order[lo:hi]
-        n, where, node, bit, s1, s2 = expand(codes, symbols[at], h1[at], h2[at],
-                                             settings.table_bits)
-        gate = np.repeat(of_text[at] * GATES, n) + codes.gate[where]
-        x = (t0[node], t1[s1], t2[s2])
+        n, gate, node, bit, s1, s2 = expand(codes, symbols[at], h1[at], h2[at],
+                                            settings.table_bits)
+        gate = np.repeat(of_text[at] * GATES, n) + gate
+        x = [_at(t, s) for t, s in ((t0, node), (t1, s1), (t2, s2))]
         w = weights.astype(np.float32)
-        z = w[0][gate] * x[0]
+        z = _at(w[0], gate) * x[0]
         for j in (1, 2):
-            z += w[j][gate] * x[j]
+            z += _at(w[j], gate) * x[j]
         np.clip(z, -16, 16, out=z)
-        p = 1 / (1 + np.exp(-z))
-        slot = gate * steps + np.clip((z + 8) * (steps / 16), 0, steps - 1).astype(np.int64)
-        refined = 0.5 * (p + (apm_ones / apm_all).astype(np.float32)[slot])
+        p = np.exp(-z)
+        p += 1
+        np.divide(1, p, out=p)
+        z += 8
+        z *= steps / 16
+        np.clip(z, 0, steps - 1, out=z)
+        slot = gate * steps
+        slot += z.astype(np.int64)
+        chance = _at((apm_ones / apm_all).astype(np.float32), slot)
+        chance += p
+        chance *= 0.5
         # The chance of what happened: p for a one, 1 - p for a zero.
-        chance = np.abs(refined - (bit == 0))
+        chance -= bit == 0
+        np.abs(chance, out=chance)
         np.maximum(chance, 1e-7, out=chance)
-        some = n > 0
-        symbol_logs = np.add.reduceat(np.log(chance), (np.cumsum(n) - n)[some], dtype=np.float64)
-        total += np.bincount(of_text[at[some]], symbol_logs, texts)
+        np.log(chance, out=chance)
+        own = of_text[at]  # in runs: one per text
+        runs = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        before = np.append(0, np.cumsum(n))
+        for text, a, b in zip(own[runs].tolist(), before[runs].tolist(),
+                              before[np.append(runs[1:], len(n))].tolist(), strict=True):
+            total[text] += chance[a:b].sum(dtype=np.float64)
+        d = int(n[:going - lo].sum())  # decisions of texts that go on
+        if not d:
+            continue
         # One damped Newton step per gate from the errors of the block; the curvature is
         # shared by the three weights.
-        error, curve = bit - p, p * (1 - p)
+        p, gate, x = p[:d], gate[:d], [v[:d] for v in x]
+        error, curve = bit[:d] - p, p * (1 - p)
         cells = texts * GATES
         down = np.bincount(gate, curve * (x[0] * x[0] + x[1] * x[1] + x[2] * x[2]), cells) + 20
         for j in range(3):
             weights[j] += np.bincount(gate, error * x[j], cells) / down
-        apm_ones += np.bincount(slot, bit, len(apm_ones))
-        apm_all += np.bincount(slot, minlength=len(apm_all))
+        seen = np.bincount(2 * slot[:d] + bit[:d], minlength=2 * len(apm_ones)).reshape(-1, 2)
+        apm_ones += seen[:, 1]
+        apm_all += seen[:, 0] + seen[:, 1]
     return total
 
 
@@ -400,22 +485,23 @@ def _score(shared, tables, settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, (logits, base) = Codes.of(shared.value), tables.value
         for batch in batches:
-            texts = _binary(batch)
-            for lo, hi in _parts(texts, settings):
-                symbols, of_text, per_text = codes.stream(texts[lo:hi])
-                logs = log_probabilities(codes, logits, symbols, of_text, hi - lo, settings)
-                rare = [Counter(x[2]) for x in per_text]
-                head = [x[1][x[1] >= 0] for x in per_text]
+            texts = _texts(batch)
+            for lo, hi in _pieces(texts, settings):
+                symbols, of_text, words = codes.stream(texts.slice(lo, hi - lo))
+                ends = np.searchsorted(of_text, np.arange(hi - lo + 1))
+                logs = [log_probabilities(codes, logits, symbols[ends[a]:ends[b]],
+                                          of_text[ends[a]:ends[b]] - a, b - a, settings)
+                        for a, b in _runs(np.diff(ends), settings.batch_symbols)]
+                rare, times = words.rare_counts()
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(lo, hi - lo),
                     batch.column("held_out").slice(lo, hi - lo),
-                    pa.array([x[0] for x in per_text], pa.int64()),
-                    pa.array([len(h) for h in head], pa.int64()),
-                    pa.array([len(t) for t in texts[lo:hi]], pa.int64()),
-                    pa.array([math.fsum(base[h]) for h in head], pa.float64()),
-                    pa.array(logs / math.log(10), pa.float64()),
-                    pa.array([list(r) for r in rare], pa.list_(pa.binary())),
-                    pa.array([list(r.values()) for r in rare], pa.list_(pa.int32()))],
+                    pa.array(words.sizes, pa.int64()),
+                    pa.array(words.head_counts(), pa.int64()),
+                    pc.binary_length(texts.slice(lo, hi - lo)).cast(pa.int64()),
+                    pa.array(words.base_sums(base), pa.float64()),
+                    pa.array(np.concatenate(logs) / math.log(10), pa.float64()),
+                    rare, times],
                     schema=schema)
     return run
 

@@ -6,10 +6,12 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from periodstats.llm import (bpe_chunks, lm_mixing, ngram_join, packing, quality_rules,
@@ -322,3 +324,57 @@ def test_lm_probabilities_of_a_code_sum_to_one():
     symbols, of_text, _ = codes.stream([b"AA xyz b", b""])
     assert symbols.tolist() == [0, codes.escape, *(codes.byte + c for c in b"xyz"), codes.stop, 1, 2, 2]
     assert of_text.tolist() == [0] * 8 + [1]
+
+
+def lm_codes(texts):
+    count = Counter(w for t in texts for w in [*t.lower().split(), b""])
+    head = sorted(((w, c) for w, c in count.items() if c > 2 or not w), key=lambda x: (-x[1], x[0]))
+    return lm_mixing.Codes(head, sum(count.values()) - sum(c for _, c in head))
+
+
+def test_lm_words_and_symbols_of_odd_texts():
+    texts = [b" Aa\x0bbb\xff \x1c c  d\n", b"", b" \t ", "É  x\x85y   İ".encode(), b"d D aa A\x00a", b"z" * 5000]
+    words, counts = lm_mixing.words_of(pa.array(texts, pa.large_binary()))
+    assert words.to_pylist() == [w for t in texts for w in t.lower().split()]
+    assert counts.tolist() == [len(t.split()) for t in texts]
+    codes = lm_mixing.Codes([(b"d", 9), (b"aa", 3), (b"", 6)], 4)
+    numbers = {b"d": 0, b"aa": 1, b"": 2}
+    symbols, of_text, found = codes.stream(texts)
+    per_text = [[numbers.get(w, w) for w in [*t.lower().split(), b""]] for t in texts]
+    spelled = [[y for x in own for y in ([x] if isinstance(x, int) else
+                [codes.escape, *(codes.byte + b for b in x), codes.stop])] for own in per_text]
+    assert symbols.tolist() == [y for own in spelled for y in own]
+    assert of_text.tolist() == [i for i, own in enumerate(spelled) for _ in own]
+    rare, times = found.rare_counts()
+    assert [dict(zip(r, n)) for r, n in zip(rare.to_pylist(), times.to_pylist())] == \
+        [Counter(x for x in own if isinstance(x, bytes)) for own in per_text]
+    assert found.head_counts().tolist() == [sum(isinstance(x, int) for x in own) for own in per_text]
+
+
+def test_lm_scores_do_not_depend_on_neighbours():
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(VOCABULARY, k=rng.choice([0, 3, 40, 700]))).encode() for _ in range(40)]
+    codes, s = lm_codes(texts), lm_mixing.Settings(table_bits=12)
+    logits = np.random.default_rng(1).normal(size=lm_mixing._slots(codes, s)).astype(np.float32)
+
+    def scores(some):
+        symbols, of_text, _ = codes.stream(some)
+        return lm_mixing.log_probabilities(codes, logits, symbols, of_text, len(some), s).tolist()
+    assert scores(texts) == pytest.approx([scores([t])[0] for t in texts], rel=1e-12)
+
+
+def test_lm_symbols_take_little_more_time_than_a_look_up_a_word():
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices(VOCABULARY, k=2000)).encode() for _ in range(150)]
+    codes = lm_codes(texts)
+    numbers = {w: i for i, w in enumerate(dict.fromkeys(w for t in texts for w in t.split()))}
+
+    def least(work):
+        took = []
+        for _ in range(5):
+            begun = time.process_time()
+            work()
+            took.append(time.process_time() - begun)
+        return min(took)
+    one_by_one = least(lambda: [[numbers.get(w, -1) for w in [*t.lower().split(), b""]] for t in texts])
+    assert least(lambda: codes.stream(texts)) < 1.4 * one_by_one  # 1.8 when words passed one by one
