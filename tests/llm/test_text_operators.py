@@ -378,3 +378,33 @@ def test_lm_symbols_take_little_more_time_than_a_look_up_a_word():
         return min(took)
     one_by_one = least(lambda: [[numbers.get(w, -1) for w in [*t.lower().split(), b""]] for t in texts])
     assert least(lambda: codes.stream(texts)) < 1.4 * one_by_one  # 1.8 when words passed one by one
+
+
+class CountingTokenizer:
+    """A tokenizer that notes its calls."""
+
+    def __init__(self, inner):
+        self.inner, self.calls = inner, 0
+
+    def __getattr__(self, name):
+        if name.startswith("encode"):
+            self.calls += 1
+        return getattr(self.inner, name)
+
+
+def test_joins_of_a_batch_are_checked_in_few_calls():
+    tokenizers = pytest.importorskip("tokenizers")
+    path = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as f:
+        enc = bpe_chunks.Encoder(f.read(), bpe_chunks.Settings(mask_bits=5))
+    enc.tokenizer = CountingTokenizer(enc.tokenizer)
+    lib = tokenizers.Tokenizer.from_file(path)
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choices("abcde\x01'", k=rng.randint(1, 9))) for _ in range(300))
+             for _ in range(20)] + ["", "  ", "a'b\x0b" * 60, "z" * 3000]
+    for _ in range(2):  # then from the memory of chunks and words
+        got = list(bpe_chunks.encode_texts([t.encode() for t in texts], enc))
+        for t, made in zip(texts, got):
+            ids = lib.encode(t, add_special_tokens=False).ids
+            assert (made[0] if isinstance(made, tuple) else made) == np.array(ids, "<u4").tobytes()
+    assert enc.reused and enc.tokenizer.calls < 100
