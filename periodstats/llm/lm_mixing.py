@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
